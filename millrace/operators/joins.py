@@ -210,7 +210,7 @@ def lateral_explode(df: DataFrame, arr: str, out: str, outer: bool = False, pos:
 
 def split_to_rows(df: DataFrame, col: str, sep: str, out: str) -> DataFrame:
     """Delimited text to one row per non-empty trimmed piece, without a limit on pieces."""
-    pieces = F.filter(F.transform(F.split(F.col(col), sep), F.trim), lambda x: x != "")
+    pieces = F.filter(F.transform(F.split(F.col(col), sep), lambda x: F.trim(x)), lambda x: x != "")
     return df.withColumn(out, F.explode(pieces))
 
 
