@@ -72,3 +72,25 @@ PARENT_ORDERS = """parent_orders as (
 
 def ctes(*frames: str) -> str:
     return "with " + ",\n".join(frames)
+
+MART_ORDERS = """mart_orders as (
+  select *, case when is_sourced then closed_at + to_days((order_id % 4)::int) end as sourced_at,
+         subtotal_cents * (order_id % 35 + 60) // 100 as cost_cents
+  from (select o_orderkey as order_id, o_custkey as contact_id, case when o_custkey % 4 <> 0 then o_custkey // 5 end as company_id,
+               (['CNC', '3DP', 'IM', 'SM'])[(o_orderkey % 4 + 1)::int] as technology, o_orderdate as created_at,
+               case when o_orderkey % 10 <> 0 then o_orderdate + to_days((o_orderkey % 3)::int) end as submitted_at,
+               o_orderstatus <> 'O' as is_closed,
+               case when o_orderstatus <> 'O' then o_orderdate + to_days((o_orderkey % 9 + 1)::int) end as closed_at,
+               o_orderstatus = 'F' as is_sourced, round(o_totalprice * 100)::bigint as subtotal_cents,
+               o_custkey % 3 = 0 as is_strategic, o_orderpriority as priority
+        from orders))"""
+
+CONTACTS = """contacts as (
+  select c_custkey as contact_id, case when c_custkey % 4 <> 0 then c_custkey // 5 end as company_id, c_name as name,
+         c_mktsegment as segment, n_name as country, r_name as region,
+         case when c_custkey % 10 = 0 then 'outbound' else 'inbound' end as channel_type,
+         case when c_custkey % 5 <> 0 then 'tok' || (c_custkey // 3) else '' end as token,
+         timestamp '1994-06-01' + to_days((c_custkey * 7 % 900)::int) as created_at,
+         case when c_custkey % 6 <> 0 then timestamp '1994-06-01' + to_days((c_custkey * 7 % 900 + c_custkey % 5)::int) end as lead_at,
+         round(c_acctbal * 100)::bigint as balance_cents
+  from customer left join nation on n_nationkey = c_nationkey left join region on r_regionkey = n_regionkey)"""

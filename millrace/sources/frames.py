@@ -135,3 +135,46 @@ def parent_orders(t: Frames) -> DataFrame:
     base = t["orders"].select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
     linked = lag_delta(base, ["o_custkey"], ["o_orderdate", "o_orderkey"], {"_prev": "o_orderkey"}, F.trunc("o_orderdate", "quarter"))
     return linked.select(*base.columns, F.when(F.col("o_orderkey") % 4 == 0, F.col("_prev")).alias("parent_key"))
+
+
+TECHNOLOGIES = ["CNC", "3DP", "IM", "SM"]
+
+
+def mart_orders(t: Frames) -> DataFrame:
+    """Orders under business names: contact, company (some contacts have none), life-cycle dates, amounts in cents."""
+    k, cust = F.col("o_orderkey"), F.col("o_custkey")
+    closed = F.col("o_orderstatus") != "O"
+    sourced = F.col("o_orderstatus") == "F"
+    base = t["orders"].select(
+        k.alias("order_id"), cust.alias("contact_id"),
+        F.when(cust % 4 != 0, F.floor(cust / F.lit(5))).alias("company_id"),
+        F.element_at(F.array(*[F.lit(x) for x in TECHNOLOGIES]), (k % 4 + 1).cast("int")).alias("technology"),
+        F.col("o_orderdate").alias("created_at"),
+        F.when(k % 10 != 0, add_part("o_orderdate", k % 3, "day")).alias("submitted_at"),
+        closed.alias("is_closed"), F.when(closed, add_part("o_orderdate", k % 9 + 1, "day")).alias("closed_at"),
+        sourced.alias("is_sourced"), F.rint(F.col("o_totalprice") * 100).cast("long").alias("subtotal_cents"),
+        (cust % 3 == 0).alias("is_strategic"), F.col("o_orderpriority").alias("priority"),
+    )
+    order = F.col("order_id")
+    return base.withColumns({
+        "sourced_at": F.when(F.col("is_sourced"), add_part("closed_at", order % 4, "day")),
+        "cost_cents": F.floor(F.col("subtotal_cents") * (order % 35 + 60) / F.lit(100)),
+    })
+
+
+def contacts(t: Frames) -> DataFrame:
+    """Customers as contacts with geography and a browser token that some share."""
+    k = F.col("c_custkey")
+    geo = t["nation"].join(t["region"], F.col("n_regionkey") == F.col("r_regionkey")).select("n_nationkey", "n_name", "r_name")
+    return (
+        t["customer"].join(geo, F.col("c_nationkey") == F.col("n_nationkey"), "left")
+        .select(
+            k.alias("contact_id"), F.when(k % 4 != 0, F.floor(k / F.lit(5))).alias("company_id"), F.col("c_name").alias("name"),
+            F.col("c_mktsegment").alias("segment"), F.col("n_name").alias("country"), F.col("r_name").alias("region"),
+            F.when(k % 10 == 0, F.lit("outbound")).otherwise(F.lit("inbound")).alias("channel_type"),
+            F.when(k % 5 != 0, F.concat(F.lit("tok"), F.floor(k / F.lit(3)).cast("string"))).otherwise(F.lit("")).alias("token"),
+            add_part(F.lit("1994-06-01").cast("timestamp_ntz"), k * 7 % 900, "day").alias("created_at"),
+            F.when(k % 6 != 0, add_part(F.lit("1994-06-01").cast("timestamp_ntz"), k * 7 % 900 + k % 5, "day")).alias("lead_at"),
+            F.rint(F.col("c_acctbal") * 100).cast("long").alias("balance_cents"),
+        )
+    )

@@ -12,6 +12,7 @@ CLUSTER_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
 
@@ -20,6 +21,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     settings = CLUSTER_SETTINGS | {
         "spark.sql.shuffle.partitions": str(shuffle_partitions),
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         "spark.driver.memory": "12g",
     }
     for key, value in settings.items():
