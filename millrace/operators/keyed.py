@@ -30,13 +30,13 @@ def order_struct(o: list[str]):
     return F.struct(*[F.col(name) for name in o])
 
 
-def join_known(df: DataFrame, side: DataFrame, left_key: str, right_key: str) -> DataFrame:
-    """Left join where the left key may be unknown for many rows.
+def join_known(df: DataFrame, side: DataFrame, key: str, spread_by: str) -> DataFrame:
+    """Left join on a key that many left rows lack.
 
-    Unknown keys match nothing, yet would all hash to one partition; a second key column, derived from
-    the row, spreads them.
+    Unknown keys match nothing, yet would all hash to one partition; a second key column, derived
+    from ``spread_by``, spreads them. The side holds no null keys.
     """
-    spread = F.when(F.col(left_key).isNull(), F.pmod(F.xxhash64(*df.columns), F.lit(1024))).otherwise(F.lit(0))
-    right = side.withColumnRenamed(right_key, "_known").withColumn("_one", F.lit(0).cast("long"))
-    cond = (F.col(left_key) == F.col("_known")) & (F.col("_salt") == F.col("_one"))
+    spread = F.when(F.col(key).isNull(), F.pmod(F.xxhash64(spread_by), F.lit(1024))).otherwise(F.lit(0))
+    right = side.withColumnRenamed(key, "_known").withColumn("_one", F.lit(0).cast("long"))
+    cond = (F.col(key) == F.col("_known")) & (F.col("_salt") == F.col("_one"))
     return df.withColumn("_salt", spread).join(right, cond, "left").drop("_salt", "_known", "_one")

@@ -18,11 +18,11 @@ from millrace.operators.keyed import attach, order_struct
 CHUNK = "_chunk"
 
 
-def _window(k: list[str], o: list[str]):
+def ordered_window(k: list[str], o: list[str]):
     return Window.partitionBy(*k).orderBy(*[F.col(name) for name in o])
 
 
-def _carry(df: DataFrame, k: list[str], summaries: dict[str, Column], carried: dict[str, Column]) -> DataFrame:
+def carry_over(df: DataFrame, k: list[str], summaries: dict[str, Column], carried: dict[str, Column]) -> DataFrame:
     """Per (key, chunk) summaries, then ``carried`` window columns over the chunks of a key."""
     per_chunk = df.groupBy(*k, CHUNK).agg(*[agg.alias(name) for name, agg in summaries.items()])
     return per_chunk.select(*k, CHUNK, *[col.alias(name) for name, col in carried.items()])
@@ -32,14 +32,14 @@ def lag_delta(df: DataFrame, k: list[str], o: list[str], cols: dict[str, str], c
     """Add for each out -> col the value of col on the previous row of the key."""
     values = F.struct(*[F.col(col).alias(out) for out, col in cols.items()])
     if chunk is None:
-        out = df.withColumn("_prev", F.lag(values).over(_window(k, o)))
+        out = df.withColumn("_prev", F.lag(values).over(ordered_window(k, o)))
     else:
         rows = df.withColumn(CHUNK, chunk)
-        carry = _carry(
+        carry = carry_over(
             rows, k, {"_end": F.max_by(values, order_struct(o))},
-            {"_from_before": F.lag("_end").over(_window(k, [CHUNK]))},
+            {"_from_before": F.lag("_end").over(ordered_window(k, [CHUNK]))},
         )
-        local = rows.withColumn("_inner", F.lag(values).over(_window([*k, CHUNK], o)))
+        local = rows.withColumn("_inner", F.lag(values).over(ordered_window([*k, CHUNK], o)))
         out = attach(local, carry, [*k, CHUNK]).withColumn("_prev", F.coalesce("_inner", "_from_before"))
     return out.select(*df.columns, *[F.col(f"_prev.{name}").alias(name) for name in cols])
 
@@ -48,14 +48,14 @@ def lead_values(df: DataFrame, k: list[str], o: list[str], cols: dict[str, str],
     """Add for each out -> col the value of col on the next row of the key."""
     values = F.struct(*[F.col(col).alias(out) for out, col in cols.items()])
     if chunk is None:
-        out = df.withColumn("_next", F.lead(values).over(_window(k, o)))
+        out = df.withColumn("_next", F.lead(values).over(ordered_window(k, o)))
     else:
         rows = df.withColumn(CHUNK, chunk)
-        carry = _carry(
+        carry = carry_over(
             rows, k, {"_start": F.min_by(values, order_struct(o))},
-            {"_from_after": F.lead("_start").over(_window(k, [CHUNK]))},
+            {"_from_after": F.lead("_start").over(ordered_window(k, [CHUNK]))},
         )
-        local = rows.withColumn("_inner", F.lead(values).over(_window([*k, CHUNK], o)))
+        local = rows.withColumn("_inner", F.lead(values).over(ordered_window([*k, CHUNK], o)))
         out = attach(local, carry, [*k, CHUNK]).withColumn("_next", F.coalesce("_inner", "_from_after"))
     return out.select(*df.columns, *[F.col(f"_next.{name}").alias(name) for name in cols])
 
@@ -64,14 +64,14 @@ def forward_fill(df: DataFrame, k: list[str], o: list[str], col: str, out: str,
     """Last non-null value of col up to and including the row."""
     unbounded = Window.unboundedPreceding
     if chunk is None:
-        return df.withColumn(out, F.last(col, True).over(_window(k, o).rowsBetween(unbounded, 0)))
+        return df.withColumn(out, F.last(col, True).over(ordered_window(k, o).rowsBetween(unbounded, 0)))
     rows = df.withColumn(CHUNK, chunk)
     known = F.when(F.col(col).isNotNull(), order_struct(o))
-    carry = _carry(
+    carry = carry_over(
         rows, k, {"_end": F.max_by(col, known)},
-        {"_from_before": F.last("_end", True).over(_window(k, [CHUNK]).rowsBetween(unbounded, -1))},
+        {"_from_before": F.last("_end", True).over(ordered_window(k, [CHUNK]).rowsBetween(unbounded, -1))},
     )
-    local = rows.withColumn("_inner", F.last(col, True).over(_window([*k, CHUNK], o).rowsBetween(unbounded, 0)))
+    local = rows.withColumn("_inner", F.last(col, True).over(ordered_window([*k, CHUNK], o).rowsBetween(unbounded, 0)))
     joined = attach(local, carry, [*k, CHUNK])
     return joined.select(*df.columns, F.coalesce("_inner", "_from_before").alias(out))
 
@@ -80,14 +80,14 @@ def backward_fill(df: DataFrame, k: list[str], o: list[str], col: str, out: str,
     """First non-null value of col from the row on."""
     unbounded = Window.unboundedFollowing
     if chunk is None:
-        return df.withColumn(out, F.first(col, True).over(_window(k, o).rowsBetween(0, unbounded)))
+        return df.withColumn(out, F.first(col, True).over(ordered_window(k, o).rowsBetween(0, unbounded)))
     rows = df.withColumn(CHUNK, chunk)
     known = F.when(F.col(col).isNotNull(), order_struct(o))
-    carry = _carry(
+    carry = carry_over(
         rows, k, {"_start": F.min_by(col, known)},
-        {"_from_after": F.first("_start", True).over(_window(k, [CHUNK]).rowsBetween(1, unbounded))},
+        {"_from_after": F.first("_start", True).over(ordered_window(k, [CHUNK]).rowsBetween(1, unbounded))},
     )
-    local = rows.withColumn("_inner", F.first(col, True).over(_window([*k, CHUNK], o).rowsBetween(0, unbounded)))
+    local = rows.withColumn("_inner", F.first(col, True).over(ordered_window([*k, CHUNK], o).rowsBetween(0, unbounded)))
     joined = attach(local, carry, [*k, CHUNK])
     return joined.select(*df.columns, F.coalesce("_inner", "_from_after").alias(out))
 
@@ -96,13 +96,13 @@ def running_total(df: DataFrame, k: list[str], o: list[str], col: str, out: str,
     """Sum of col over the key's rows up to and including the row; nulls add nothing."""
     unbounded = Window.unboundedPreceding
     if chunk is None:
-        return df.withColumn(out, F.sum(col).over(_window(k, o).rowsBetween(unbounded, 0)))
+        return df.withColumn(out, F.sum(col).over(ordered_window(k, o).rowsBetween(unbounded, 0)))
     rows = df.withColumn(CHUNK, chunk)
-    carry = _carry(
+    carry = carry_over(
         rows, k, {"_total": F.sum(col)},
-        {"_from_before": F.sum("_total").over(_window(k, [CHUNK]).rowsBetween(unbounded, -1))},
+        {"_from_before": F.sum("_total").over(ordered_window(k, [CHUNK]).rowsBetween(unbounded, -1))},
     )
-    local = rows.withColumn("_inner", F.sum(col).over(_window([*k, CHUNK], o).rowsBetween(unbounded, 0)))
+    local = rows.withColumn("_inner", F.sum(col).over(ordered_window([*k, CHUNK], o).rowsBetween(unbounded, 0)))
     joined = attach(local, carry, [*k, CHUNK])
     total = F.when(
         F.col("_inner").isNotNull() | F.col("_from_before").isNotNull(),

@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.functions.columns import count_when, ladder, sum_when
+from millrace.functions.columns import count_when, ladder, sum_when, zero
 from millrace.functions.dates import add_part, boundary_diff, day, month
 from millrace.operators.aggregates import percentile_tier
 from millrace.operators.keyed import attach, join_known
-from millrace.operators.ordered import lag_delta, lead_values, running_total
+from millrace.operators.ordered import CHUNK, carry_over, lag_delta, lead_values, ordered_window, running_total
 from millrace.operators.windows import first_rows
 
 # Segment per (recency, frequency, monetary) being high.
@@ -32,9 +32,13 @@ def as_of_ts(as_of: str) -> Column:
 
 
 def entity_summary(orders: DataFrame, k: str) -> DataFrame:
-    """One row per entity: first, second and latest dates, counts, totals, first technologies."""
+    """One row per entity: first, second and latest dates, counts, totals, first technologies.
+
+    Two aggregates over the orders: what stands alone, then what depends on the first close.
+    """
     known = orders.filter(F.col(k).isNotNull())
     closed, sub = F.col("is_closed"), F.col("submitted_at").isNotNull()
+    close = F.struct("closed_at", "order_id")
     basic = known.groupBy(k).agg(
         F.min("created_at").alias("became_created_at"),
         F.min("submitted_at").alias("became_opportunity_at"),
@@ -46,63 +50,67 @@ def entity_summary(orders: DataFrame, k: str) -> DataFrame:
         count_when(closed).alias("n_closed"),
         F.nullif(sum_when(closed, "subtotal_cents"), F.lit(0)).alias("closed_sales_cents"),
         F.min_by("technology", F.when(sub, F.struct("submitted_at", "order_id"))).alias("first_submitted_technology"),
-        F.min_by("technology", F.when(closed, F.struct("closed_at", "order_id"))).alias("first_closed_technology"),
+        F.min_by("technology", F.when(closed, close)).alias("first_closed_technology"),
+        F.min(F.when(closed, close)).alias("_first"),
     )
-    second = first_rows(known.filter(closed).select(k, "closed_at", "order_id"), [k], ["closed_at", "order_id"], 2, "_n")
-    second = second.filter("_n = 2").select(k, F.col("closed_at").alias("second_closed_at"))
-    since = attach(known, basic.select(k, "became_customer_at"), [k])
-    margin = F.col("subtotal_cents") - F.col("cost_cents")
-    new = closed & (boundary_diff("became_customer_at", "closed_at", "month") == 0)
+    since = attach(known.filter(closed), basic.select(k, "_first"), [k])
+    first_at, margin = F.col("_first.closed_at"), F.col("subtotal_cents") - F.col("cost_cents")
     early = since.groupBy(k).agg(
-        sum_when(new, "subtotal_cents").alias("closed_sales_new_cents"),
-        sum_when(F.col("closed_at") < add_part("became_customer_at", 90, "day"), margin).alias("margin_90d_cents"),
-        sum_when(F.col("closed_at") < add_part("became_customer_at", 24, "month"), margin).alias("margin_24m_cents"),
+        F.min(F.when(close > F.col("_first"), F.col("closed_at"))).alias("second_closed_at"),
+        sum_when(month("closed_at") == month(first_at), "subtotal_cents").alias("closed_sales_new_cents"),
+        sum_when(F.col("closed_at") < add_part(first_at, 90, "day"), margin).alias("margin_90d_cents"),
+        sum_when(F.col("closed_at") < add_part(first_at, 24, "month"), margin).alias("margin_24m_cents"),
     )
-    return attach(attach(basic, second, [k]), early, [k])
+    return attach(basic.drop("_first"), early, [k])
 
 
 def closed_order_numbers(orders: DataFrame, k: str) -> DataFrame:
-    """Closed orders numbered per entity: rank by close time, project (distinct close day) number, days since previous."""
+    """Closed orders numbered per entity: rank by close time, project (distinct close day) number, days since previous.
+
+    Numbers count inside (entity, quarter) and add what earlier quarters hold, so equal close times and
+    days, which never straddle a quarter, get equal numbers.
+    """
     closed = orders.filter(F.col("is_closed") & F.col(k).isNotNull()).select("order_id", k, "closed_at")
-    times = closed.groupBy(k, "closed_at").agg(F.count(F.lit(1)).alias("_n"))
-    upto = running_total(times, [k], ["closed_at"], "_n", "_upto", QUARTER_OF_CLOSE)
-    ranks = upto.select(k, "closed_at", (F.col("_upto") - F.col("_n") + 1).alias("closed_number"))
-    days = closed.select(k, day("closed_at").alias("_day")).distinct().withColumn("_one", F.lit(1))
-    projects = running_total(days, [k], ["_day"], "_one", "project_number", F.trunc("_day", "quarter")).drop("_one")
-    numbered = attach(closed, ranks, [k, "closed_at"]).withColumn("_day", day("closed_at"))
-    numbered = attach(numbered, projects, [k, "_day"]).drop("_day")
-    prev = lag_delta(numbered, [k], ["closed_at", "order_id"], {"previous_closed_at": "closed_at"}, QUARTER_OF_CLOSE)
-    return prev.withColumn("days_since_previous", boundary_diff("previous_closed_at", "closed_at", "day"))
+    closed = closed.withColumn(CHUNK, QUARTER_OF_CLOSE)
+    before = ordered_window([k], [CHUNK]).rowsBetween(Window.unboundedPreceding, -1)
+    carry = carry_over(
+        closed, [k],
+        {"_n": F.count(F.lit(1)), "_days": F.count_distinct(day("closed_at")), "_last": F.max("closed_at")},
+        {"_n": F.sum("_n").over(before), "_days": F.sum("_days").over(before), "_last": F.lag("_last").over(ordered_window([k], [CHUNK]))},
+    )
+    inside = Window.partitionBy(k, CHUNK)
+    local = closed.withColumn("_day", day("closed_at")).withColumns({
+        "_previous": F.lag("closed_at").over(inside.orderBy("closed_at", "order_id")),
+        "_rank": F.rank().over(inside.orderBy("closed_at")),
+        "_project": F.dense_rank().over(inside.orderBy("_day")),
+    })
+    previous = F.coalesce("_previous", "_last")
+    return attach(local, carry, [k, CHUNK]).select(
+        "order_id", (F.col("_rank") + zero("_n")).alias("closed_number"), (F.col("_project") + zero("_days")).alias("project_number"),
+        previous.alias("previous_closed_at"), boundary_diff(previous, "closed_at", "day").alias("days_since_previous"),
+    )
 
 
 def customer_lifecycle(orders: DataFrame) -> DataFrame:
     """Every order with the life-cycle facts of its contact, its company and its client."""
-    contact = entity_summary(orders, "contact_id")
-    company = entity_summary(orders, "company_id")
-    clients = orders.withColumn("client_id", client_id())
-    client = clients.filter(F.col("client_id").isNotNull()).groupBy("client_id").agg(
+    base = orders.select("order_id", "contact_id", "company_id", client_id().alias("client_id"), "created_at", "closed_at")
+    client = base.filter(F.col("client_id").isNotNull()).groupBy("client_id").agg(
         F.min("created_at").alias("became_created_at_client"), F.min("closed_at").alias("became_customer_at_client")
     )
 
     def named(df: DataFrame, k: str, suffix: str) -> DataFrame:
-        return df.select(F.col(k), *[F.col(x).alias(f"{x}_{suffix}") for x in df.columns if x not in (k, "order_id", "closed_at")])
+        return df.select(F.col(k), *[F.col(x).alias(f"{x}_{suffix}") for x in df.columns if x != k])
 
-    out = join_known(clients, named(contact, "contact_id", "contact"), "contact_id", "contact_id")
-    out = join_known(out, named(company, "company_id", "company"), "company_id", "company_id")
-    out = attach(out, client, ["client_id"])
+    out = join_known(base, client, "client_id", "order_id")
     for k, suffix in (("contact_id", "contact"), ("company_id", "company")):
-        numbers = closed_order_numbers(orders, k)
-        names = {x: f"{x}_{suffix}" for x in ("closed_number", "project_number", "previous_closed_at", "days_since_previous")}
-        out = attach(out, numbers.select("order_id", *[F.col(x).alias(n) for x, n in names.items()]), ["order_id"])
+        out = join_known(out, named(entity_summary(orders, k), k, suffix), k, "order_id")
+        out = out.join(named(closed_order_numbers(orders, k), "order_id", suffix), "order_id", "left")
     flags = {
         f"{what}_order_is_from_new_{who}": F.coalesce(boundary_diff(f"{first}_{who}", at, "month") == 0, F.lit(False))
         for who in ("contact", "company", "client")
         for what, first, at in (("created", "became_created_at", "created_at"), ("closed", "became_customer_at", "closed_at"))
     }
-    return out.withColumns(flags).drop(
-        "technology", "created_at", "submitted_at", "is_closed", "closed_at", "is_sourced", "subtotal_cents", "is_strategic",
-        "priority", "sourced_at", "cost_cents",
-    )
+    return out.withColumns(flags).drop("created_at", "closed_at")
 
 
 def client_id() -> Column:
