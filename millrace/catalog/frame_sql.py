@@ -94,3 +94,16 @@ CONTACTS = """contacts as (
          case when c_custkey % 6 <> 0 then timestamp '1994-06-01' + to_days((c_custkey * 7 % 900 + c_custkey % 5)::int) end as lead_at,
          round(c_acctbal * 100)::bigint as balance_cents
   from customer left join nation on n_nationkey = c_nationkey left join region on r_regionkey = n_regionkey)"""
+
+DOC_LINES = """doc_lines as (
+  select l_orderkey as order_id, l_orderkey * 10 + case l_returnflag when 'A' then 0 when 'N' then 2 else 4 end + case when l_linestatus = 'O' then 1 else 0 end as doc_id,
+         case when l_returnflag = 'A' then 'quote' else 'purchase_order' end as doc_type, l_linestatus = 'O' as is_active, l_linenumber::bigint as line_number,
+         l_partkey as part_id, l_suppkey as supplier_id, round(l_extendedprice * 100)::bigint as cents, round(l_discount * 100)::bigint as discount_pct,
+         l_quantity::bigint as quantity, l_shipdate as dated_at
+  from lineitem)"""
+
+DOCUMENTS = DOC_LINES + """, documents as (
+  select order_id, doc_id, doc_type, is_active, min(dated_at) as created_at, sum(cents)::bigint as subtotal_cents, min(supplier_id) as supplier_id,
+         count(*) as n_lines, max(line_number) as revision, bool_or(discount_pct > 8) as is_admin,
+         case when doc_id % 7 <> 0 then max(dated_at) end as finalized_at, (['USD', 'EUR', 'GBP'])[(order_id % 3 + 1)::int] as currency, order_id % 4 + 1 as technology_id
+  from doc_lines group by 1, 2, 3, 4)"""

@@ -57,7 +57,7 @@ def ladder(steps: list[tuple[Column, object]], default: object = None) -> Column
 
 
 def half_even(x: Column | str) -> Column:
-    return F.bround(c(x), 0)
+    return F.rint(c(x))
 
 
 def nearest_step(x: Column | str, steps_per_unit: int) -> Column:

@@ -150,3 +150,10 @@ def order_statistics(df: DataFrame, k: list[str], col: str, points: dict[str, fl
         ]
         outs.append((F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * F.col(f"_w{i}")).alias(name))
     return sized.groupBy(*k).agg(*picks).select(*k, *outs)
+
+
+def rank_in_group(df: DataFrame, k: list[str], col: str, out: str, chunk: Column | None = None) -> DataFrame:
+    """rank() of col inside the key: 1 + rows with a smaller value, from counts per value."""
+    counts = df.groupBy(*k, col).agg(F.count(F.lit(1)).alias("_n"))
+    ranked = running_total(counts, k, [col], "_n", "_upto", chunk)
+    return attach(df, ranked.select(*k, col, (F.col("_upto") - F.col("_n") + 1).alias(out)), [*k, col])

@@ -178,3 +178,31 @@ def contacts(t: Frames) -> DataFrame:
             F.rint(F.col("c_acctbal") * 100).cast("long").alias("balance_cents"),
         )
     )
+
+
+def doc_lines(t: Frames) -> DataFrame:
+    """Line items as lines of order documents: up to two quotes and four purchase orders per order."""
+    flag = F.when(F.col("l_returnflag") == "A", 0).when(F.col("l_returnflag") == "N", 2).otherwise(4)
+    opened = F.col("l_linestatus") == "O"
+    return t["lineitem"].select(
+        F.col("l_orderkey").alias("order_id"), (F.col("l_orderkey") * 10 + flag + opened.cast("int")).alias("doc_id"),
+        F.when(F.col("l_returnflag") == "A", "quote").otherwise("purchase_order").alias("doc_type"), opened.alias("is_active"),
+        F.col("l_linenumber").cast("long").alias("line_number"), F.col("l_partkey").alias("part_id"), F.col("l_suppkey").alias("supplier_id"),
+        F.rint(F.col("l_extendedprice") * 100).cast("long").alias("cents"), F.rint(F.col("l_discount") * 100).cast("long").alias("discount_pct"),
+        F.col("l_quantity").cast("long").alias("quantity"), F.col("l_shipdate").alias("dated_at"),
+    )
+
+
+def documents(t: Frames) -> DataFrame:
+    """Document headers: totals and dates over their lines."""
+    order = F.col("order_id")
+    heads = doc_lines(t).groupBy("order_id", "doc_id", "doc_type", "is_active").agg(
+        F.min("dated_at").alias("created_at"), F.max("dated_at").alias("_last"), F.sum("cents").alias("subtotal_cents"),
+        F.min("supplier_id").alias("supplier_id"), F.count(F.lit(1)).alias("n_lines"), F.max("line_number").alias("revision"),
+        F.bool_or(F.col("discount_pct") > 8).alias("is_admin"),
+    )
+    return heads.withColumns({
+        "finalized_at": F.when(F.col("doc_id") % 7 != 0, F.col("_last")),
+        "currency": F.element_at(F.array(*[F.lit(x) for x in CURRENCIES]), (order % 3 + 1).cast("int")),
+        "technology_id": order % 4 + 1,
+    }).drop("_last")
