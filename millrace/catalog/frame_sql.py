@@ -107,3 +107,33 @@ DOCUMENTS = DOC_LINES + """, documents as (
          count(*) as n_lines, max(line_number) as revision, bool_or(discount_pct > 8) as is_admin,
          case when doc_id % 7 <> 0 then max(dated_at) end as finalized_at, (['USD', 'EUR', 'GBP'])[(order_id % 3 + 1)::int] as currency, order_id % 4 + 1 as technology_id
   from doc_lines group by 1, 2, 3, 4)"""
+
+
+def path(url: str) -> str:
+    return f"regexp_replace(split_part(regexp_replace({url}, '^https?://', ''), '?', 1), '^[^/]*/?', '')"
+
+
+def page(url: str) -> str:
+    return f"case when length({path(url)}) < 2 then '/' else replace('/' || {path(url)} || '/', '//', '/') end"
+
+
+def host(url: str) -> str:
+    return f"split_part(split_part(regexp_replace({url}, '^(https?|android-app)://', ''), '/', 1), '?', 1)"
+
+
+def param(url: str, name: str) -> str:
+    return f"nullif(split_part(split_part({url}, '{name}=', 2), '&', 1), '')"
+
+
+WEB_CONTACTS = CONTACTS + """, web_contacts as (
+  select contact_id, company_id, country, token, created_at, created_at + to_hours(contact_id % 37 - 18) as first_visit_at,
+         (['ORGANIC_SEARCH', 'DIRECT_TRAFFIC', 'PAID_SEARCH', 'OFFLINE', 'SOCIAL_MEDIA'])[(contact_id % 6 + 1)::int] as source,
+         case when contact_id % 6 = 3 then (['IMPORT', 'API', 'INTEGRATION', 'SALES'])[(contact_id // 6 % 4 + 1)::int] else 'kw' || (contact_id % 9) end as source_data_1,
+         case when contact_id % 8 = 3 then 'list-1' end as source_data_2,
+         url || case when contains(url, '?') then '&' else '?' end || 'utm_campaign=c' || (contact_id % 20)
+           || case contact_id % 11 when 0 then '&utm_source=youtube' when 1 then '&utm_medium=display' else '' end as first_url
+  from contacts left join pages on page_id = contact_id // 6)"""
+
+PAGE_GROUPS = f"""page_groups as (
+  select page, case when length(page) % 3 = 0 then 'Homepage' else 'Service' end as page_group
+  from (select distinct lower({page('url')}) as page from pages) where length(page) % 3 <> 2)"""

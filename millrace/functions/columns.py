@@ -92,6 +92,12 @@ def url_path(url: Column | str) -> Column:
     return F.regexp_replace(bare, r"^[^/]*/?", "")
 
 
+def page_of(url: Column | str) -> Column:
+    """'/' for a missing path, else the path between single slashes."""
+    path = url_path(url)
+    return F.when(F.length(path) < 2, "/").otherwise(F.regexp_replace(F.concat(F.lit("/"), path, F.lit("/")), "//", "/"))
+
+
 def url_parameter(url: Column | str, name: str) -> Column:
     value = split_part(split_part(url, f"{name}=", 2), "&", 1)
     return F.when(value != "", value)

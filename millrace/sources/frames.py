@@ -7,6 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.functions.columns import page_of
 from millrace.functions.dates import add_part
 from millrace.operators.ordered import lag_delta
 
@@ -206,3 +207,33 @@ def documents(t: Frames) -> DataFrame:
         "currency": F.element_at(F.array(*[F.lit(x) for x in CURRENCIES]), (order % 3 + 1).cast("int")),
         "technology_id": order % 4 + 1,
     }).drop("_last")
+
+
+SOURCE_NAMES = ["ORGANIC_SEARCH", "DIRECT_TRAFFIC", "PAID_SEARCH", "OFFLINE", "SOCIAL_MEDIA"]
+OFFLINE_DETAILS = ["IMPORT", "API", "INTEGRATION", "SALES"]
+
+
+def web_contacts(t: Frames) -> DataFrame:
+    """Contacts with the source and page of their first visit."""
+    k = F.col("contact_id")
+    base = contacts(t).select("contact_id", "company_id", "country", "token", "created_at")
+    pages = t["pages"].select("page_id", "url")
+    joined = base.join(pages, F.floor(k / F.lit(6)) == F.col("page_id"), "left")
+    extra = F.when(k % 11 == 0, "&utm_source=youtube").when(k % 11 == 1, "&utm_medium=display").otherwise("")
+    mark = F.when(F.col("url").contains("?"), "&").otherwise("?")
+    return joined.select(
+        *base.columns, add_part("created_at", k % 37 - 18, "hour").alias("first_visit_at"),
+        F.get(F.array(*[F.lit(x) for x in SOURCE_NAMES]), (k % 6).cast("int")).alias("source"),
+        F.when(k % 6 == 3, F.get(F.array(*[F.lit(x) for x in OFFLINE_DETAILS]), (F.floor(k / F.lit(6)) % 4).cast("int")))
+        .otherwise(F.concat(F.lit("kw"), (k % 9).cast("string"))).alias("source_data_1"),
+        F.when(k % 8 == 3, F.lit("list-1")).alias("source_data_2"),
+        F.concat("url", mark, F.lit("utm_campaign=c"), (k % 20).cast("string"), extra).alias("first_url"),
+    )
+
+
+def page_groups(t: Frames) -> DataFrame:
+    """Page to page group, for the pages that are grouped."""
+    page = F.lower(page_of(F.col("url")))
+    size = F.length("page") % 3
+    known = t["pages"].select(page.alias("page")).distinct().filter(F.length("page") % 3 != 2)
+    return known.select("page", F.when(size == 0, "Homepage").otherwise("Service").alias("page_group"))
