@@ -11,6 +11,7 @@ from millrace.functions.dates import add_part
 from millrace.plans import contacts as P
 from millrace.plans import customers as K
 from millrace.sources import frames
+from millrace.sources.session import cut_lineage
 
 TRACKING = {"home": "1994-09-01", "abroad": "1994-11-01", "first_party": "1996-01-05", "landing": "1996-03-25"}
 
@@ -186,10 +187,10 @@ def contact_dim(t):
     return P.contact_dimension(people, channels(t), K.entity_summary(frames.mart_orders(t), "contact_id"), leads(t))
 
 
-def company_dim(t):
+def company_dim(t, contact):
     orders = frames.mart_orders(t)
     return P.company_dimension(
-        contact_dim(t), K.entity_summary(orders, "company_id"), K.retention_episodes(orders, "company_id", AS_OF), K.rfm_segments(orders, "company_id", AS_OF)
+        contact, K.entity_summary(orders, "company_id"), K.retention_episodes(orders, "company_id", AS_OF), K.rfm_segments(orders, "company_id", AS_OF)
     )
 
 
@@ -200,7 +201,7 @@ def contact_dimension(t):
 
 @register("company_dimension", f"{DIM_BASE}, {COMPANY_DIM} select * from company_dim")
 def company_dimension(t):
-    return company_dim(t)
+    return company_dim(t, contact_dim(t))
 
 
 @register("client_dimension", f"""{DIM_BASE}, {COMPANY_DIM}
@@ -208,7 +209,8 @@ def company_dimension(t):
     from contact_dim where not is_part_of_company
     union select md5('company' || company_id), null, company_id, 'company', became_opportunity_at, became_customer_at, n_submitted, n_closed, closed_sales_cents, channel, channel_grouped from company_dim""")
 def client_dimension(t):
-    return P.client_dimension(contact_dim(t), company_dim(t))
+    contact = cut_lineage(contact_dim(t), "contact-dimension")
+    return P.client_dimension(contact, company_dim(t, contact))
 
 
 @register("user_and_supplier_dims", """

@@ -137,3 +137,19 @@ WEB_CONTACTS = CONTACTS + """, web_contacts as (
 PAGE_GROUPS = f"""page_groups as (
   select page, case when length(page) % 3 = 0 then 'Homepage' else 'Service' end as page_group
   from (select distinct lower({page('url')}) as page from pages) where length(page) % 3 <> 2)"""
+
+BIDS = """bids as (
+  select l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey || '-' || round(l_extendedprice * 100)::bigint as bid_id,
+         l_orderkey * 10 + case when l_linestatus = 'O' then 1 else 0 end as auction_id, l_orderkey as order_id, l_orderkey % 5 = 0 as is_rfq, l_suppkey as supplier_id,
+         l_shipdate - interval 3 day as assigned_at, case when l_linenumber % 3 <> 0 then l_shipdate - interval 2 day end as seen_at,
+         case when l_linenumber % 7 <> 0 then l_shipdate end as placed_at,
+         case when l_linenumber % 7 <> 0 then case l_returnflag when 'A' then 'accepted' when 'N' then 'countered' else 'rejected' end end as response_type,
+         case when l_returnflag <> 'R' then round(l_extendedprice * 100)::bigint end as bid_cents, l_quantity::bigint as lead_time,
+         round(l_discount * 100)::bigint as margin_pct, l_linenumber % 2 = 0 as is_active
+  from lineitem)"""
+
+AUCTIONS = BIDS + """, auctions as (
+  select auction_id, order_id, is_rfq, case when is_rfq then 'RFQ' else 'RDA' end as auction_type, min(assigned_at) as started_at, max(placed_at) as finished_at,
+         case when auction_id % 4 <> 0 then arg_min(bid_id, (bid_cents, bid_id)) filter (where response_type in ('accepted', 'countered')) end as winning_bid_id,
+         sum(bid_cents)::bigint as amount_cents
+  from bids group by auction_id, order_id, is_rfq)"""

@@ -13,6 +13,7 @@ from millrace.operators.ordered import rank_in_group
 from millrace.operators.sets import union_distinct
 from millrace.operators.windows import first_rows
 from millrace.plans.customers import client_id
+from millrace.sources.session import cut_lineage
 
 # Words in a lower-case job title, first group found wins.
 JOB_ROLES = [
@@ -148,27 +149,30 @@ def team_membership(users: DataFrame, invites: DataFrame) -> DataFrame:
     )
 
 
-def inside_numbers(contacts: DataFrame, col: str, out: str) -> DataFrame:
-    """Position of a contact inside its company by a date; 1 for contacts without company."""
-    dated = contacts.filter(F.col("company_id").isNotNull() & F.col(col).isNotNull()).select("contact_id", "company_id", col)
-    return rank_in_group(dated, ["company_id"], col, out, F.trunc(col, "quarter")).select("contact_id", out)
+def inside_numbers(contacts: DataFrame, dates: dict[str, str]) -> DataFrame:
+    """Position of each contact inside its company by several dates: out -> date column. One ranking for all."""
+    dated = contacts.filter(F.col("company_id").isNotNull()).select(
+        "contact_id", "company_id", F.inline(F.array(*[F.struct(F.lit(out).alias("what"), F.col(col).alias("at")) for out, col in dates.items()]))
+    )
+    ranked = rank_in_group(dated.filter("at is not null"), ["company_id", "what"], "at", "n", F.trunc("at", "quarter"))
+    return ranked.groupBy("contact_id").agg(*[F.max(F.when(F.col("what") == out, F.col("n"))).alias(out) for out in dates])
 
 
 def contact_dimension(contacts: DataFrame, channels: DataFrame, orders_summary: DataFrame, leads: DataFrame) -> DataFrame:
     """One row per contact: attributes, role, channel, lead, orders and the position inside the company."""
-    out = contacts.join(channels.select("contact_id", "channel", "channel_grouped", "first_page_grouped"), "contact_id", "left")
-    out = out.join(leads.select("contact_id", "lead_date", "lead_type"), "contact_id", "left")
     cols = ["became_opportunity_at", "became_customer_at", "n_submitted", "n_closed", "closed_sales_cents", "first_closed_technology"]
-    out = out.join(orders_summary.select("contact_id", *cols), "contact_id", "left")
-    for col, name in (("lead_date", "inside_lead_number"), ("became_opportunity_at", "inside_opportunity_number"), ("became_customer_at", "inside_customer_number")):
-        out = out.join(inside_numbers(out, col, name), "contact_id", "left")
-        out = out.withColumn(name, F.when(F.col("company_id").isNull(), F.lit(1)).otherwise(F.col(name)))
+    facts = leads.select("contact_id", "lead_date", "lead_type").join(orders_summary.select("contact_id", *cols), "contact_id", "full")
+    # the hub of this plan: used by the company ranking and by the output, so it is computed once
+    base = cut_lineage(contacts.join(facts, "contact_id", "left"), "contact-base")
+    numbers = inside_numbers(base, {
+        "inside_lead_number": "lead_date", "inside_opportunity_number": "became_opportunity_at", "inside_customer_number": "became_customer_at",
+    })
+    out = base.join(channels.select("contact_id", "channel", "channel_grouped", "first_page_grouped"), "contact_id", "left")
+    out = out.join(numbers, "contact_id", "left")
     title = F.lower("job_title")
     role = F.when(title.isNotNull(), ladder([(title.rlike(p), label) for p, label in JOB_ROLES], "Other"))
-    return out.withColumns({
-        "job_role": role, "is_part_of_company": F.col("company_id").isNotNull(),
-        "client_id": client_id(),
-    })
+    first = {name: F.when(F.col("company_id").isNull(), F.lit(1)).otherwise(F.col(name)) for name in numbers.columns if name != "contact_id"}
+    return out.withColumns(first | {"job_role": role, "is_part_of_company": F.col("company_id").isNotNull(), "client_id": client_id()})
 
 
 def company_dimension(contact_dim: DataFrame, orders_summary: DataFrame, retention: DataFrame, rfm: DataFrame) -> DataFrame:

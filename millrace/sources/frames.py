@@ -237,3 +237,33 @@ def page_groups(t: Frames) -> DataFrame:
     size = F.length("page") % 3
     known = t["pages"].select(page.alias("page")).distinct().filter(F.length("page") % 3 != 2)
     return known.select("page", F.when(size == 0, "Homepage").otherwise("Service").alias("page_group"))
+
+
+def bids(t: Frames) -> DataFrame:
+    """Line items as supplier bids in auctions: two auctions per order, some of them requests for quotation."""
+    line, status = F.col("l_linenumber"), F.col("l_returnflag")
+    price = F.rint(F.col("l_extendedprice") * 100).cast("long")
+    placed = line % 7 != 0
+    response = F.when(status == "A", "accepted").when(status == "N", "countered").otherwise("rejected")
+    key = F.concat_ws("-", *[F.col(x).cast("string") for x in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")], price.cast("string"))
+    return t["lineitem"].select(
+        key.alias("bid_id"), (F.col("l_orderkey") * 10 + (F.col("l_linestatus") == "O").cast("int")).alias("auction_id"),
+        F.col("l_orderkey").alias("order_id"), (F.col("l_orderkey") % 5 == 0).alias("is_rfq"), F.col("l_suppkey").alias("supplier_id"),
+        add_part("l_shipdate", -3, "day").alias("assigned_at"), F.when(line % 3 != 0, add_part("l_shipdate", -2, "day")).alias("seen_at"),
+        F.when(placed, F.col("l_shipdate")).alias("placed_at"), F.when(placed, response).alias("response_type"),
+        F.when(response != "rejected", price).alias("bid_cents"), F.col("l_quantity").cast("long").alias("lead_time"),
+        F.rint(F.col("l_discount") * 100).cast("long").alias("margin_pct"), (line % 2 == 0).alias("is_active"),
+    )
+
+
+def auctions(t: Frames) -> DataFrame:
+    """Auction headers; the cheapest answered bid wins, except where nobody did."""
+    answered = F.col("response_type").isin("accepted", "countered")
+    heads = bids(t).groupBy("auction_id", "order_id", "is_rfq").agg(
+        F.min("assigned_at").alias("started_at"), F.max("placed_at").alias("finished_at"),
+        F.min(F.when(answered, F.struct("bid_cents", "bid_id"))).alias("_w"), F.sum("bid_cents").alias("amount_cents"),
+    )
+    return heads.select(
+        "auction_id", "order_id", "is_rfq", F.when(F.col("is_rfq"), "RFQ").otherwise("RDA").alias("auction_type"), "started_at", "finished_at",
+        F.when(F.col("auction_id") % 4 != 0, F.col("_w.bid_id")).alias("winning_bid_id"), "amount_cents",
+    )
