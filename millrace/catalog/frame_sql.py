@@ -153,3 +153,13 @@ AUCTIONS = BIDS + """, auctions as (
          case when auction_id % 4 <> 0 then arg_min(bid_id, (bid_cents, bid_id)) filter (where response_type in ('accepted', 'countered')) end as winning_bid_id,
          sum(bid_cents)::bigint as amount_cents
   from bids group by auction_id, order_id, is_rfq)"""
+
+ORDER_TIMELINE = MILESTONES + """, order_timeline as (
+  select *, coalesce(from_cross_dock_at, shipped_at) as shipped_to_customer_at from (
+    select *, to_cross_dock_at + to_days((order_id % 5)::int) as from_cross_dock_at, order_id % 3 as first_leg_buffer_days from (
+      select *, case when is_cross_docking then shipped_at + to_days((order_id % 4)::int) end as to_cross_dock_at from (
+        select o_orderkey as order_id, created_at, created_at + interval 2 day as sourced_at, case when o_orderkey % 23 <> 0 then created_at + interval 8 day end as promised_supplier_at,
+               case when o_orderkey % 29 <> 0 then promised_at end as promised_customer_at, promised_at + to_days((o_orderkey % 4)::int) as expected_at,
+               case when o_orderkey % 17 <> 0 then shipped_at end as shipped_at, shipped_at - to_days((o_orderkey % 3)::int) as label_at,
+               case when cancelled_at is not null then 'canceled' when delivered_at is not null then 'delivered' else 'in_production' end as status,
+               o_orderkey % 31 = 0 as on_customer_hold, delivered_at, o_orderkey % 2 = 1 as is_cross_docking from milestones))))"""

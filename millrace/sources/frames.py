@@ -267,3 +267,20 @@ def auctions(t: Frames) -> DataFrame:
         "auction_id", "order_id", "is_rfq", F.when(F.col("is_rfq"), "RFQ").otherwise("RDA").alias("auction_type"), "started_at", "finished_at",
         F.when(F.col("auction_id") % 4 != 0, F.col("_w.bid_id")).alias("winning_bid_id"), "amount_cents",
     )
+
+
+def order_timeline(t: Frames) -> DataFrame:
+    """Sourcing, promise, shipping and cross-dock dates per order; odd orders go through a cross dock."""
+    k = F.col("order_id")
+    base = milestones(t).select(
+        F.col("o_orderkey").alias("order_id"), "created_at", add_part("created_at", 2, "day").alias("sourced_at"),
+        F.when(F.col("o_orderkey") % 23 != 0, add_part("created_at", 8, "day")).alias("promised_supplier_at"),
+        F.when(F.col("o_orderkey") % 29 != 0, F.col("promised_at")).alias("promised_customer_at"), add_part("promised_at", F.col("o_orderkey") % 4, "day").alias("expected_at"),
+        F.when(F.col("o_orderkey") % 17 != 0, F.col("shipped_at")).alias("shipped_at"), add_part("shipped_at", -(F.col("o_orderkey") % 3), "day").alias("label_at"),
+        F.when(F.col("cancelled_at").isNotNull(), "canceled").when(F.col("delivered_at").isNotNull(), "delivered").otherwise("in_production").alias("status"),
+        (F.col("o_orderkey") % 31 == 0).alias("on_customer_hold"), "delivered_at", (F.col("o_orderkey") % 2 == 1).alias("is_cross_docking"),
+    )
+    docked = base.withColumn("to_cross_dock_at", F.when(F.col("is_cross_docking"), add_part("shipped_at", k % 4, "day")))
+    return docked.withColumns({
+        "from_cross_dock_at": add_part("to_cross_dock_at", k % 5, "day"), "first_leg_buffer_days": k % 3,
+    }).withColumn("shipped_to_customer_at", F.coalesce("from_cross_dock_at", "shipped_at"))
