@@ -11,7 +11,10 @@ from millrace.functions.dates import day
 from millrace.operators import ordered as O
 from millrace.operators import windows as W
 
-QUARTER = F.trunc("o_orderdate", "quarter")
+
+def quarter():
+    return F.trunc("o_orderdate", "quarter")
+
 LINE_ORDER = ["l_shipdate", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity"]
 
 
@@ -63,7 +66,7 @@ def lag_delta(t):
     orders = t["orders"].withColumn("cents", cents("o_totalprice"))
     prev = O.lag_delta(
         orders, ["o_custkey"], ["o_orderdate", "o_orderkey"],
-        {"previous_order": "o_orderkey", "prev_date": "o_orderdate", "prev_cents": "cents"}, QUARTER,
+        {"previous_order": "o_orderkey", "prev_date": "o_orderdate", "prev_cents": "cents"}, quarter(),
     )
     return prev.select(
         "o_orderkey", "o_custkey", "previous_order", F.datediff("o_orderdate", "prev_date").alias("days_since_previous"),
@@ -153,7 +156,7 @@ def moving_sum_rows(t):
     from orders""")
 def running_total(t):
     orders = t["orders"].select("o_orderkey", "o_custkey", "o_orderdate", cents("o_totalprice").alias("cents"))
-    out = O.running_total(orders, ["o_custkey"], ["o_orderdate", "o_orderkey"], "cents", "running_cents", QUARTER)
+    out = O.running_total(orders, ["o_custkey"], ["o_orderdate", "o_orderkey"], "cents", "running_cents", quarter())
     return out.drop("o_orderdate", "cents")
 
 

@@ -24,7 +24,9 @@ RFM_SEGMENTS = {
     (False, False, False): "8 Low Value Churn",
 }
 
-QUARTER_OF_CLOSE = F.trunc("closed_at", "quarter")
+
+def quarter_of_close() -> Column:
+    return F.trunc("closed_at", "quarter")
 
 
 def as_of_ts(as_of: str) -> Column:
@@ -71,7 +73,7 @@ def closed_order_numbers(orders: DataFrame, k: str) -> DataFrame:
     days, which never straddle a quarter, get equal numbers.
     """
     closed = orders.filter(F.col("is_closed") & F.col(k).isNotNull()).select("order_id", k, "closed_at")
-    closed = closed.withColumn(CHUNK, QUARTER_OF_CLOSE)
+    closed = closed.withColumn(CHUNK, quarter_of_close())
     before = ordered_window([k], [CHUNK]).rowsBetween(Window.unboundedPreceding, -1)
     carry = carry_over(
         closed, [k],
@@ -175,8 +177,8 @@ def retention_episodes(orders: DataFrame, k: str, as_of: str, gap_days: int = 36
     """Activation and reactivation points with the churn that ended each episode."""
     closed = orders.filter(F.col("closed_at").isNotNull() & F.col(k).isNotNull()).select(k, "closed_at", "order_id")
     order = ["closed_at", "order_id"]
-    around = lag_delta(closed, [k], order, {"_before": "closed_at"}, QUARTER_OF_CLOSE)
-    around = lead_values(around, [k], order, {"_after": "closed_at"}, QUARTER_OF_CLOSE)
+    around = lag_delta(closed, [k], order, {"_before": "closed_at"}, quarter_of_close())
+    around = lead_values(around, [k], order, {"_after": "closed_at"}, quarter_of_close())
     until = F.coalesce("_after", as_of_ts(as_of))
     points = around.withColumns({
         "_churned_at": F.when(boundary_diff("closed_at", until, "day") > gap_days, add_part("closed_at", gap_days, "day")),
