@@ -10,6 +10,7 @@ from millrace.functions.dates import add_part, day
 from millrace.plans import calendar as C
 from millrace.plans import events as P
 from millrace.sources import frames
+from millrace.sources.session import cut_lineage
 
 SAMPLES = [
     "Completed the order", "Created a new order", "Aftership says completed", "Canceled an auction after review", "Opened a Dispute", "Created a new reorder, now completed",
@@ -98,15 +99,19 @@ REVIEWS = """reviews as (
          case when rejected_at is not null then 'rejected' when completed_at is not null then 'completed' end as result, minutes_new, minutes_ongoing from g)"""
 
 
+def reviews(t):
+    return P.review_iterations(cut_lineage(stages(t), "stages"), day("changed_at"))
+
+
 @register("review_iterations", f"{S.ctes(STAGES, REVIEWS)} select * from reviews")
 def review_iterations(t):
-    return P.review_iterations(stages(t), day("changed_at"))
+    return reviews(t)
 
 
 @register("reviews_per_deal", f"""{S.ctes(STAGES, REVIEWS)}
     select deal_id, max(iteration) as n_reviews, sum(minutes_new)::bigint as minutes_new, sum(minutes_ongoing)::bigint as minutes_ongoing, max(review_completed_at) as last_review_completed_at from reviews group by 1""")
 def reviews_per_deal(t):
-    return P.reviews_per_deal(P.review_iterations(stages(t), day("changed_at")))
+    return P.reviews_per_deal(reviews(t))
 
 
 STATUS = """status_rows as (

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from millrace.catalog import frame_sql as S
 from millrace.catalog.registry import register
 from millrace.functions.columns import cents
-from millrace.operators.aggregates import calendar_rollup
 from millrace.plans import marketing as P
 from millrace.sources import frames
 
@@ -102,13 +101,7 @@ def ad_spend_daily(t):
     select 'week' as grain, source, campaign_group, date_trunc('week', date)::timestamp as start, sum(clicks)::bigint as clicks, sum(cost_cents)::bigint as cost_cents from spend group by all
     union all select 'month', source, campaign_group, date_trunc('month', date)::timestamp, sum(clicks)::bigint, sum(cost_cents)::bigint from spend group by all""")
 def ad_spend_weekly_monthly(t):
-    daily = spend(t)
-    parts = [
-        calendar_rollup(daily, ["source", "campaign_group"], "date", unit, {"clicks": F.sum("clicks"), "cost_cents": F.sum("cost_cents")})
-        .withColumnRenamed(unit, "start").withColumn("grain", F.lit(unit))
-        for unit in ("week", "month")
-    ]
-    return parts[0].unionByName(parts[1])
+    return P.spend_by_grain(spend(t), ["week", "month"])
 
 
 @register("search_console", S.ctes(S.PAGE_GROUPS) + f"""

@@ -11,7 +11,7 @@ from millrace.functions.columns import cents
 from millrace.functions.dates import add_part
 from millrace.plans import orders as P
 from millrace.sources import frames
-from millrace.sources.session import cut_lineage
+from millrace.sources.session import cut_all
 
 # Cancellation reasons of this binding.
 CANCELLATIONS = {0: "New order created", 1: "Lead time cannot be met", 2: "Unusable files"}
@@ -68,7 +68,9 @@ def order_fact_frame(t):
     quotes = frames.documents(t).filter("doc_type = 'quote'").groupBy("order_id").agg(F.max(F.struct("revision", "doc_id", "subtotal_cents")).alias("_q"))
     quoted = quotes.select("order_id", F.col("_q.subtotal_cents").alias("quoted_cents"))
     # every side is a staging table of its own; written once, the assembly's plan stays small
-    sides = [cut_lineage(build(t).select("order_id", *[F.col(src).alias(out) for out, src in cols.items()]), name) for name, (build, cols) in SIDES.items()]
+    sides = cut_all({
+        name: (lambda build=build, cols=cols: build(t).select("order_id", *[F.col(src).alias(out) for out, src in cols.items()])) for name, (build, cols) in SIDES.items()
+    })
     legacy = frames.legacy_orders(t).select(
         (k + 10_000_000).alias("order_id"), F.col("o_custkey").alias("contact_id"), F.col("o_orderdate").alias("created_at"), F.col("o_orderdate").alias("closed_at"),
         F.lit(True).alias("is_closed"), cents("o_totalprice").alias("closed_cents"), "channel",

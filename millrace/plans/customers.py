@@ -11,6 +11,7 @@ from millrace.operators.aggregates import percentile_tier
 from millrace.operators.keyed import attach, join_known
 from millrace.operators.ordered import CHUNK, carry_over, lag_delta, lead_values, ordered_window, running_total
 from millrace.operators.windows import first_rows
+from millrace.sources.session import cut_lineage
 
 # Segment per (recency, frequency, monetary) being high.
 RFM_SEGMENTS = {
@@ -127,19 +128,21 @@ def order_series(orders: DataFrame, k: str) -> DataFrame:
     """Start and first close of an entity's second and third series of orders.
 
     A series starts with the first order created more than 7 days after the previous series'
-    first close. Orders shrink to distinct (created, closed) pairs before any entity is gathered.
+    first close. Each date depends on the one before, so each is one grouped pass over the distinct
+    (created, closed) pairs; pairs and the dates so far are written in between, which keeps every pass a
+    join and a partial aggregate that a hot entity cannot pile up in one task.
     """
-    pairs = orders.filter(F.col(k).isNotNull()).select(k, "created_at", "closed_at").distinct()
-    out = pairs.groupBy(k).agg(F.min("closed_at").alias("first_closed_at"))
+    pairs = cut_lineage(orders.filter(F.col(k).isNotNull()).select(k, "created_at", "closed_at").distinct(), "series-pairs")
+    out = cut_lineage(pairs.groupBy(k).agg(F.min("closed_at").alias("first_closed_at")), "series-first")
+
+    def next_date(dates: DataFrame, name: str, candidate: str, after: Column) -> DataFrame:
+        found = attach(pairs, dates, [k]).groupBy(k).agg(F.min(F.when(F.col(candidate) > after, F.col(candidate))).alias(name))
+        return cut_lineage(attach(dates, found, [k]), name)
+
     previous = "first_closed_at"
     for name in ("two", "three"):
-        started = attach(pairs, out.select(k, previous), [k]).groupBy(k).agg(
-            F.min(F.when(F.col("created_at") > add_part(previous, 7, "day"), F.col("created_at"))).alias(f"series_{name}_created_at")
-        )
-        closed = attach(pairs, started, [k]).groupBy(k).agg(
-            F.min(F.when(F.col("closed_at") > F.col(f"series_{name}_created_at"), F.col("closed_at"))).alias(f"series_{name}_closed_at")
-        )
-        out = attach(attach(out, started, [k]), closed, [k])
+        out = next_date(out, f"series_{name}_created_at", "created_at", add_part(previous, 7, "day"))
+        out = next_date(out, f"series_{name}_closed_at", "closed_at", F.col(f"series_{name}_created_at"))
         previous = f"series_{name}_closed_at"
     return out
 

@@ -10,6 +10,7 @@ from millrace.functions.dates import boundary_diff
 from millrace.operators.joins import fx_convert, fx_convert_effective_date
 from millrace.operators.keyed import attach
 from millrace.operators.ordered import lag_delta, rank_in_group
+from millrace.sources.session import cut_lineage
 
 # Lead-time limits in days and the sourcing window in hours that goes with them.
 SOURCING_WINDOWS = [(5, 6), (10, 15), (15, 24), (20, 32)]
@@ -129,6 +130,7 @@ def po_lines(lines: DataFrame) -> DataFrame:
 
 def reorder_detection(lines: DataFrame, identity: list[str], order: str, at: str, chunk: Column) -> DataFrame:
     """Lines of parts that a client ordered more than once, numbered by time; later ones are re-orders."""
+    lines = cut_lineage(lines, "reorder-lines")
     distinct_orders = lines.select(*identity, order).distinct().groupBy(*identity).agg(F.count(F.lit(1)).alias("n_orders"))
     repeated = attach(lines, distinct_orders.filter("n_orders > 1"), identity, "inner").drop("n_orders")
     ranked = rank_in_group(repeated, identity, at, "rank", chunk)

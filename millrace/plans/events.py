@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from millrace.functions.columns import ladder, sum_when
 from millrace.functions.dates import boundary_diff, day
 from millrace.operators.joins import interval_expand_join
-from millrace.operators.ordered import forward_fill, lead_values, sequence_number_in_group
+from millrace.operators.ordered import lead_values, running_total
 from millrace.operators.projections import classify_first_match
 
 # Patterns of an event description and the standard event id; first match wins.
@@ -84,8 +84,10 @@ def review_iterations(history: DataFrame, chunk: Column) -> DataFrame:
     """Review rounds of a deal: a round starts with 'In review - New' and lasts until the next one."""
     stage = F.col("stage")
     reviews = history.filter(stage.startswith("In review"))
-    numbered = sequence_number_in_group(reviews, ["deal_id"], ["changed_at", "event_id"], stage.startswith("In review - New"), "_new", chunk)
-    rounds = forward_fill(numbered, ["deal_id"], ["changed_at", "event_id"], "_new", "iteration", chunk)
+    started = reviews.withColumn("_new", F.when(stage.startswith("In review - New"), 1).otherwise(0))
+    rounds = running_total(started, ["deal_id"], ["changed_at", "event_id"], "_new", "iteration", chunk)
+    # stages before the first round belong to none
+    rounds = rounds.withColumn("iteration", F.nullif("iteration", F.lit(0)))
 
     def first(name: str) -> Column:
         return F.min(F.when(stage.startswith(f"In review - {name}"), F.col("changed_at")))

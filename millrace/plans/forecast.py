@@ -11,6 +11,7 @@ from millrace.functions.columns import ladder, sum_when
 from millrace.functions.dates import add_part, boundary_diff, day, month
 from millrace.operators.aggregates import median_stddev
 from millrace.operators.keyed import attach
+from millrace.sources.session import cut_lineage
 
 # Days of run rate, working days in them, share of sourced value that survives, months of recognition history.
 RUN_RATE_DAYS, RUN_RATE_WORKDAYS, SURVIVAL = 42, 30, 0.98
@@ -56,6 +57,7 @@ def revenue_forecast(orders: DataFrame, holidays: DataFrame, as_of: str, large_c
     share = F.col("_sourced") / F.sum("_sourced").over(Window.partitionBy("technology", "lead_time"))
     leakage = F.col("_recognized") / F.nullif("_sourced", F.lit(0))
     delays = delays.select(F.col("lead_time").alias("_lead"), F.col("technology").alias("_tech"), "lag_days", (share * leakage).alias("share"))
+    delays = cut_lineage(delays, "recognition-delays")
 
     def spread(df: DataFrame) -> DataFrame:
         joined = df.join(delays, (F.col("lead_time") == F.col("_lead")) & (F.col("technology") == F.col("_tech")), "left")
@@ -118,7 +120,7 @@ def large_deal_forecast(orders: DataFrame, base: DataFrame, as_of: str, large_ce
 
     orders: technology, lead_time, promised_at, closed_at, sourced_at, recognized_at, subtotal_cents; base: recognized_on, cents.
     """
-    delays = delay_statistics(orders, as_of, large_cents)
+    delays = cut_lineage(delay_statistics(orders, as_of, large_cents), "delays")
     large = orders.filter(F.col("subtotal_cents") >= large_cents)
 
     def by_scenario(df: DataFrame, start: Column, slack: Column, kind: str) -> DataFrame:

@@ -94,6 +94,13 @@ def ad_spend_daily(keywords: DataFrame, campaigns: DataFrame) -> DataFrame:
     return campaign_parts(keywords.select(rest.columns).unionByName(rest))
 
 
+def spend_by_grain(daily: DataFrame, grains: list[str]) -> DataFrame:
+    """Daily spend rolled up to several calendar grains in one pass."""
+    starts = F.array(*[F.struct(F.lit(g).alias("grain"), F.trunc("date", g).alias("start")) for g in grains])
+    rows = daily.select("source", "campaign_group", "clicks", "cost_cents", F.inline(starts))
+    return rows.groupBy("grain", "source", "campaign_group", "start").agg(F.sum("clicks").alias("clicks"), F.sum("cost_cents").alias("cost_cents"))
+
+
 def campaign_parts(df: DataFrame) -> DataFrame:
     """Network, language, market and group from a name like 'SN_EN_US_branded'."""
     name, network, market = F.col("campaign_name"), F.col("campaign_network"), F.col("campaign_market")

@@ -9,6 +9,7 @@ from millrace.functions.columns import any_of, count_when, is_true
 from millrace.functions.dates import add_part
 from millrace.operators.keyed import attach
 from millrace.operators.windows import first_rows
+from millrace.sources.session import cut_lineage
 
 # Dispute window in days, rows of the moving window, thresholds (percent, counts, price in cents).
 DISPUTE_DAYS = 14
@@ -59,6 +60,8 @@ def qc_risk_score(lines: DataFrame, interactions: DataFrame, checked_places: Col
     """
     attributes = ["supplier_id", "material", "finish", "tolerance_key"]
     rows = lines.withColumns({"tolerance_key": F.coalesce("tolerance", F.lit("null")), "week": week_index("shipped_at")}).filter("shipped_at is not null")
+    # the joined lines feed four histories and the output: computed once
+    rows = cut_lineage(rows, "qc-lines")
     made = rows.filter("technology = 'CNC'").drop("week")
     per_attribute = history_at(weekly(made, attributes), rows, attributes)
     per_supplier = history_at(weekly(made, ["supplier_id"]), rows, ["supplier_id"]).select("supplier_id", "week", F.col("recent_percent").alias("supplier_percent"))
@@ -79,6 +82,7 @@ def qc_risk_score(lines: DataFrame, interactions: DataFrame, checked_places: Col
     bits = F.concat(*[F.when(is_true(rule), "1").otherwise("0") for rule in rules])
     should = any_of([is_true(r) for r in rules] + [c("technology") != "CNC"]) & is_true(checked_places)
     scored = out.select("line_id", "order_id", "shipped_at", "is_cross_docking", c("disputed_at").isNotNull().alias("is_disputed"), should.alias("should_check"), bits.alias("rule_bits"))
+    scored = cut_lineage(scored, "qc-scored")
     since = F.add_months(F.trunc(F.lit(as_of).cast("date"), "quarter"), -12).cast("timestamp_ntz")
     judged = scored.filter(c("is_cross_docking") & c("should_check") & (c("shipped_at") >= since))
     rates = judged.groupBy("rule_bits").agg(count_when(c("is_disputed")).alias("_d"), F.count(F.lit(1)).alias("_n")).filter("_d > 0")
