@@ -11,6 +11,7 @@ from millrace.functions.dates import add_part, day
 from millrace.plans import fulfilment as P
 from millrace.plans import sourcing
 from millrace.sources import frames
+from millrace.sources.session import cut_lineage
 
 
 def on_time_sql(promised, happened, due=None, hold="false"):
@@ -82,8 +83,9 @@ COMPONENTS = """components as (
 
 
 def components(t):
-    history = sourcing.auction_history(frames.auctions(t))
-    winners = frames.auctions(t).select("auction_id", "winning_bid_id")
+    auctions = cut_lineage(frames.auctions(t), "auctions")
+    history = sourcing.auction_history(auctions)
+    winners = auctions.select("auction_id", "winning_bid_id")
     bids = frames.bids(t).join(winners, "auction_id").select(
         "auction_id", "order_id", (F.col("bid_id") == F.col("winning_bid_id")).alias("is_winning"), add_part("placed_at", 10, "day").alias("original_ship_by"),
         add_part("placed_at", F.col("lead_time") % 7 + 7, "day").alias("accepted_ship_by"),

@@ -8,12 +8,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def attach(df: DataFrame, side: DataFrame, k: list[str], how: str = "left") -> DataFrame:
+def attach(df: DataFrame, side: DataFrame, k: list[str], how: str = "left", null_keys: bool = True) -> DataFrame:
     """Join a keyed side (one row per key) back to the rows it was derived from.
 
-    Nulls in the key match each other, as they do in a grouping. A hot key stays splittable:
-    the side holds one row per key, so adaptive skew handling may cut the big side at will.
+    Nulls in the key match each other, as they do in a grouping; ``null_keys=False`` where the key has none saves the
+    extra join columns that this costs. A hot key stays splittable: the side holds one row per key, so adaptive skew
+    handling may cut the big side at will. Both inputs are evaluated: write an expensive ``df`` once (cut_lineage) before.
     """
+    if not null_keys:
+        return df.join(side, k, how)
     renamed = side.withColumnsRenamed({name: f"_r_{name}" for name in k})
     cond = reduce(lambda a, b: a & b, [F.col(name).eqNullSafe(F.col(f"_r_{name}")) for name in k])
     return df.join(renamed, cond, how).drop(*[f"_r_{name}" for name in k])

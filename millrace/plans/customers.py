@@ -9,7 +9,7 @@ from millrace.functions.columns import count_when, ladder, sum_when, zero
 from millrace.functions.dates import add_part, boundary_diff, day, month
 from millrace.operators.aggregates import percentile_tier
 from millrace.operators.keyed import attach, join_known
-from millrace.operators.ordered import CHUNK, carry_over, lag_delta, lead_values, ordered_window, running_total
+from millrace.operators.ordered import BEFORE, GROUP, across, carry_over, in_chunks, inside, lag_delta, lead_values, running_total
 from millrace.operators.windows import first_rows
 from millrace.sources.session import cut_lineage
 
@@ -74,21 +74,19 @@ def closed_order_numbers(orders: DataFrame, k: str) -> DataFrame:
     days, which never straddle a quarter, get equal numbers.
     """
     closed = orders.filter(F.col("is_closed") & F.col(k).isNotNull()).select("order_id", k, "closed_at")
-    closed = closed.withColumn(CHUNK, quarter_of_close())
-    before = ordered_window([k], [CHUNK]).rowsBetween(Window.unboundedPreceding, -1)
+    rows = in_chunks(closed, [k], quarter_of_close())
+    before = across([k]).rowsBetween(*BEFORE)
     carry = carry_over(
-        closed, [k],
-        {"_n": F.count(F.lit(1)), "_days": F.count_distinct(day("closed_at")), "_last": F.max("closed_at")},
-        {"_n": F.sum("_n").over(before), "_days": F.sum("_days").over(before), "_last": F.lag("_last").over(ordered_window([k], [CHUNK]))},
+        rows, {"_n": F.count(F.lit(1)), "_days": F.count_distinct(day("closed_at")), "_last": F.max("closed_at")},
+        {"_n": F.sum("_n").over(before), "_days": F.sum("_days").over(before), "_last": F.lag("_last").over(across([k]))},
     )
-    inside = Window.partitionBy(k, CHUNK)
-    local = closed.withColumn("_day", day("closed_at")).withColumns({
-        "_previous": F.lag("closed_at").over(inside.orderBy("closed_at", "order_id")),
-        "_rank": F.rank().over(inside.orderBy("closed_at")),
-        "_project": F.dense_rank().over(inside.orderBy("_day")),
+    local = rows.withColumn("_day", day("closed_at")).withColumns({
+        "_previous": F.lag("closed_at").over(inside(["closed_at", "order_id"])),
+        "_rank": F.rank().over(inside(["closed_at"])),
+        "_project": F.dense_rank().over(inside(["_day"])),
     })
     previous = F.coalesce("_previous", "_last")
-    return attach(local, carry, [k, CHUNK]).select(
+    return local.join(carry, GROUP, "left").select(
         "order_id", (F.col("_rank") + zero("_n")).alias("closed_number"), (F.col("_project") + zero("_days")).alias("project_number"),
         previous.alias("previous_closed_at"), boundary_diff(previous, "closed_at", "day").alias("days_since_previous"),
     )

@@ -11,6 +11,7 @@ from millrace.operators.joins import coalesced_exception_override, fx_convert
 from millrace.operators.keyed import attach, only_matching
 from millrace.operators.ordered import lag_delta, lead_values, running_total
 from millrace.operators.windows import first_rows
+from millrace.sources.session import cut_lineage
 
 # Words in a carrier message that tell of a delay logistics can resolve.
 ALERT_WORDS = """restriction attention missing company name e number ave contacted investigation message pre funds street about product
@@ -163,6 +164,8 @@ def tracking_messages(entities: dict[str, DataFrame], chunk: Column) -> DataFram
         }).drop("message")
         part = first_rows(judged, ["tracking_number", "_day", "location", "_digest"], ["received_at", "message_id"]).drop("_day", "_digest")
         out = part if out is None else out.unionByName(part)
+    # reading the texts is the expensive part and the numbering looks at the rows four times
+    out = cut_lineage(out, "tracking-messages")
     order = ["received_at", "message_id"]
     numbered = running_total(out, ["tracking_number"], order, "_one", "message_number", chunk)
     nxt = lead_values(numbered, ["tracking_number"], order, {"_next": "received_at"}, chunk)

@@ -70,8 +70,8 @@ def qc_risk_score(lines: DataFrame, interactions: DataFrame, checked_places: Col
     per_country = per_country.select("country", "week", percent("_d", "_l").alias("country_percent"))
     # attributes of suppliers without any CNC line have no history at all
     known = made.select(*attributes).distinct().withColumn("_known", F.lit(True))
-    out = attach(attach(rows, per_attribute, [*attributes, "week"]), known, attributes)
-    out = attach(attach(out, per_supplier, ["supplier_id", "week"]), per_country, ["country", "week"]).join(interactions, "order_id", "left")
+    out = rows.join(per_attribute, [*attributes, "week"], "left").join(known, attributes, "left")
+    out = out.join(per_supplier, ["supplier_id", "week"], "left").join(per_country, ["country", "week"], "left").join(interactions, "order_id", "left")
     c = F.col
     history = c("_known")
     rules = [
@@ -87,7 +87,7 @@ def qc_risk_score(lines: DataFrame, interactions: DataFrame, checked_places: Col
     judged = scored.filter(c("is_cross_docking") & c("should_check") & (c("shipped_at") >= since))
     rates = judged.groupBy("rule_bits").agg(count_when(c("is_disputed")).alias("_d"), F.count(F.lit(1)).alias("_n")).filter("_d > 0")
     rates = rates.select("rule_bits", (c("_d") * 100 / c("_n")).alias("dispute_rate"))
-    return attach(scored.drop("shipped_at", "is_cross_docking", "is_disputed"), rates, ["rule_bits"])
+    return attach(scored.drop("shipped_at", "is_cross_docking", "is_disputed"), rates, ["rule_bits"], null_keys=False)
 
 
 def latest_labels(geometry: DataFrame) -> DataFrame:

@@ -11,6 +11,7 @@ from millrace.operators.joins import interval_overlap_load
 from millrace.operators.keyed import attach
 from millrace.operators.ordered import running_total
 from millrace.operators.windows import first_rows
+from millrace.sources.session import cut_lineage
 
 QUARTER_SECONDS = 90 * 24 * 3600
 
@@ -57,6 +58,7 @@ def supplier_capacity(work: DataFrame, behaviour: DataFrame, on_time: DataFrame,
 
 def auction_history(auctions: DataFrame) -> DataFrame:
     """Auctions with their recency inside the order (and type), and the order's first and last successful one."""
+    auctions = cut_lineage(auctions, "auctions")
     newest_first = auctions.withColumns({"_back": -epoch_s("started_at"), "_one": F.lit(1)})
     chunk = F.floor(F.col("_back") / F.lit(QUARTER_SECONDS))
     order = ["_back", "auction_id"]
@@ -91,6 +93,8 @@ def bid_behaviour(bids: DataFrame, auctions: DataFrame) -> DataFrame:
     current = first_rows(bids.withColumn("_inactive", ~F.col("is_active")), ["auction_id", "supplier_id"], ["_inactive", "-placed_at", "bid_id"]).drop("_inactive")
     heads = auctions.select("auction_id", "winning_bid_id", "auction_type", "amount_cents")
     out = current.join(heads, "auction_id").withColumn("is_winning", is_true(F.col("bid_id") == F.col("winning_bid_id")))
+    # the current bids feed two groupings, the ranking and the output: written once
+    out = cut_lineage(out, "current-bids")
     place = F.struct(
         (~F.col("is_winning")).alias("lost"), F.coalesce("response_type", F.lit("~")).alias("r"),
         (-F.coalesce(epoch_s("placed_at"), F.lit(0))).alias("back"),
@@ -99,10 +103,11 @@ def bid_behaviour(bids: DataFrame, auctions: DataFrame) -> DataFrame:
     top = F.max(F.when(F.col("is_winning"), F.struct("bid_cents", "lead_time"))).alias("_top")
     in_auction = out.groupBy("auction_id").agg(top, count_when(F.col("response_type") == "countered").alias("n_counter"))
     ranked = running_total(
-        current.select("auction_id", "assigned_at", "bid_id").withColumn("_one", F.lit(1)), ["auction_id"], ["assigned_at", "bid_id"], "_one", "assigned_rank",
+        out.select("auction_id", "assigned_at", "bid_id").withColumn("_one", F.lit(1)), ["auction_id"], ["assigned_at", "bid_id"], "_one", "assigned_rank",
         F.trunc("assigned_at", "month"),
     ).select("bid_id", "auction_id", "assigned_rank")
-    out = attach(attach(attach(out, best, ["order_id", "supplier_id"]), in_auction, ["auction_id"]), ranked, ["auction_id", "bid_id"])
+    out = attach(out, best, ["order_id", "supplier_id"], null_keys=False)
+    out = attach(attach(out, in_auction, ["auction_id"], null_keys=False), ranked, ["auction_id", "bid_id"], null_keys=False)
     is_best, won = place == F.col("_best"), F.col("_top").isNotNull()
     return out.select(
         "bid_id", "auction_id", "order_id", "supplier_id", "auction_type", "is_rfq", "assigned_at", "seen_at", "placed_at", "response_type", "assigned_rank", "is_winning",
