@@ -78,14 +78,17 @@ def catalog_tables(spark: SparkSession, pattern: str) -> dict[str, DataFrame]:
 
 
 class Tables(Mapping):
-    """The registered tables under one folder, read when asked for."""
+    """The registered tables under one folder, listed once when first asked for."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root
+        self._frames: dict[str, DataFrame] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
-        return read_source(self.spark, self.root, name)
+        if name not in self._frames:
+            self._frames[name] = read_source(self.spark, self.root, name)
+        return self._frames[name]
 
     def __iter__(self) -> Iterator[str]:
         return iter(SOURCES)
