@@ -315,7 +315,8 @@ def co2_estimate(t):
         [("NATION_1", "LARGE", 2000), ("NATION_1", "SMALL", 1500), ("NATION_2", "PROMO", 9000), ("Other", "ECONOMY", 5000)], "country string, material string, per_kg int"
     )
     logistics = t["orders"].filter("o_orderkey % 5 <> 0").select(F.col("o_orderkey").alias("order_id"), (F.col("o_custkey") % 1000).alias("logistics_g"))
-    return finance.co2_estimate(lines, electricity, materials, logistics)
+    # both lookups are the literals above
+    return finance.co2_estimate(lines, F.broadcast(electricity), F.broadcast(materials), logistics)
 
 
 @register("reorder_detection", """

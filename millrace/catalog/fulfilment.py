@@ -248,7 +248,7 @@ def geo_resolution(t):
     addresses = t["customer"].select(
         c.alias("address_id"), F.col("c_nationkey").alias("country_id"), F.get(areas, (c % 4).cast("int")).alias("area"), F.concat(F.lit("city "), (c % 50).cast("string")).alias("city")
     )
-    states = t.spark.createDataFrame([("CA", "California"), ("NY", "New York"), ("TX", "Texas")], "code string, state string")
+    states = F.broadcast(t.spark.createDataFrame([("CA", "California"), ("NY", "New York"), ("TX", "Texas")], "code string, state string"))
     exceptions = t["orders"].filter("o_orderkey % 400 = 9").select(k.alias("order_id"), F.lit(5).cast("long").alias("address_id"))
     suppliers = t["supplier"].select(F.col("s_suppkey").alias("supplier_id"), F.col("s_nationkey").alias("country_id"))
     return P.geo_resolution(orders, suppliers, addresses, countries, states, exceptions)

@@ -41,7 +41,7 @@ def rank_first(t):
     from orders""")
 def dense_rank_group(t):
     orders = t["orders"].select("o_orderkey", "o_custkey", F.trunc("o_orderdate", "month").alias("project_month"))
-    return W.dense_rank_group(orders, ["o_custkey"], "project_month", "project_number")
+    return W.dense_rank_group(orders, ["o_custkey"], "project_month", "project_number", F.trunc("project_month", "year"))
 
 
 @register("sequence_number_in_group", """

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.operators.keyed import attach, order_struct
+from millrace.operators.ordered import running_total
 
 
 def _sort(o: list[str]) -> list[Column]:
@@ -39,11 +40,10 @@ def rank_first(df: DataFrame, k: list[str], o: list[str]) -> DataFrame:
     return attach(df, best, k).filter(order_struct(o) == F.col("_first")).drop("_first")
 
 
-def dense_rank_group(df: DataFrame, k: list[str], col: str, out: str) -> DataFrame:
-    """Dense rank of col inside the key, computed over its distinct values and joined back."""
-    values = df.select(*k, col).distinct()
-    ranked = values.withColumn(out, F.row_number().over(Window.partitionBy(*k).orderBy(col)))
-    return attach(df, ranked, [*k, col])
+def dense_rank_group(df: DataFrame, k: list[str], col: str, out: str, chunk: Column | None = None) -> DataFrame:
+    """Dense rank of col inside the key: the distinct values are numbered (along chunks) and joined back."""
+    values = df.select(*k, col).distinct().withColumn("_one", F.lit(1))
+    return attach(df, running_total(values, k, [col], "_one", out, chunk).drop("_one"), [*k, col])
 
 
 def first_last_full_frame(

@@ -154,7 +154,7 @@ def co2_estimate(lines: DataFrame, electricity: DataFrame, materials: DataFrame,
 
     Fixed values: 0.33 kWh per removed cm3; material factors are per kilogram, weights in grams.
     """
-    known = lines.join(F.broadcast(electricity), "country", "left").join(F.broadcast(materials), ["country", "material"], "left")
+    known = lines.join(electricity, "country", "left").join(materials, ["country", "material"], "left")
     machining = F.round((F.col("box_cm3") - F.col("volume_cm3")) * 0.33 * F.col("grid"), 0).cast("long")
     procurement = F.round(F.col("density") * F.col("box_cm3") * F.col("per_kg") * 0.001, 0).cast("long")
     valued = known.withColumns({"_m": machining, "_p": procurement}).filter("_m > 0")

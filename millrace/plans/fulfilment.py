@@ -274,7 +274,7 @@ def geo_resolution(orders: DataFrame, suppliers: DataFrame, addresses: DataFrame
     by_code = states.select(F.lower("code").alias("_area"), F.col("state").alias("_by_code"))
     by_name = states.select(F.lower("state").alias("_area"), F.col("state").alias("_by_name"))
     area = F.lower(F.regexp_replace("area", "^US-", ""))
-    places = addresses.withColumn("_area", area).join(F.broadcast(by_code), "_area", "left").join(F.broadcast(by_name), "_area", "left")
+    places = addresses.withColumn("_area", area).join(by_code, "_area", "left").join(by_name, "_area", "left")
     places = places.join(countries.select("country_id", F.col("country").alias("destination_country"), F.col("region").alias("destination_region")), "country_id", "left")
     places = places.select("address_id", "destination_country", "destination_region", F.col("city").alias("destination_city"), F.coalesce("_by_code", "_by_name").alias("destination_state"))
     origin = suppliers.join(countries, "country_id", "left").select("supplier_id", F.col("country").alias("origin_country"), F.col("region").alias("origin_region"))

@@ -83,6 +83,7 @@ def test_rank_windows(skewed):
     assert rows(W.rank_first(skewed, ["k"], ["t"])) == rows(first)
     dense = skewed.withColumn("d", F.dense_rank().over(w.orderBy("t")))
     assert rows(W.dense_rank_group(skewed, ["k"], "t", "d")) == rows(dense)
+    assert rows(W.dense_rank_group(skewed, ["k"], "t", "d", chunk())) == rows(dense)
     last = skewed.withColumn("is_last", F.row_number().over(w.orderBy(F.desc("t"), F.desc("id"))) == 1)
     assert rows(W.is_last_flag(skewed, ["k"], ["t", "id"])) == rows(last)
     full = w.orderBy("t", "id").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
