@@ -9,7 +9,6 @@ from millrace.catalog.registry import register
 from millrace.functions.columns import cents
 from millrace.functions.dates import add_part
 from millrace.plans import commissions as P
-from millrace.sources import frames
 
 BIG = 40_000_000
 ROLES = ["outside", "strategic", "inside", "strategic lead", "inside lead", "director"]

@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.columns import cents, ladder
+from millrace.functions.columns import ladder
 from millrace.operators.keyed import attach
 from millrace.operators.ordered import order_statistics
 
@@ -156,8 +156,3 @@ def rolling_distinct_12m(df: DataFrame, ts: str, entity: str, as_of: str, months
     spread = active.select(entity, report.alias("month"))
     spread = spread.filter(F.col("month").between(F.add_months(this_month, -(months - 1)), this_month))
     return spread.groupBy("month").agg(F.count_distinct(entity).alias("entities"))
-
-
-def with_cents(df: DataFrame, cols: Mapping[str, str]) -> DataFrame:
-    """Add integer-cent versions of two-decimal amounts."""
-    return df.withColumns({out: cents(col) for out, col in cols.items()})

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from millrace.functions.columns import any_of, is_true, ladder, text_flag
-from millrace.operators.keyed import only_matching
 
 
 def base_projection(df: DataFrame, mapping: Mapping[str, Column | str]) -> DataFrame:
@@ -105,7 +104,3 @@ def unit_conversion(frames: list[tuple[DataFrame, Mapping[str, float]]]) -> Data
         part = df.withColumns({name: F.col(name) * F.lit(factor) for name, factor in factors.items()})
         out = part if out is None else out.unionByName(part)
     return out
-
-
-def without(df: DataFrame, keys: DataFrame, k: list[str]) -> DataFrame:
-    return only_matching(df, keys, k, "left_anti")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from millrace.functions.columns import is_true, ladder, page_of, split_part, url_parameter
 from millrace.functions.dates import boundary_diff, day
 from millrace.operators.joins import disjunctive_join
-from millrace.operators.keyed import attach, join_known
+from millrace.operators.keyed import join_known
 from millrace.operators.ordered import rank_in_group
 from millrace.operators.sets import union_distinct
 from millrace.operators.windows import first_rows
@@ -43,7 +43,7 @@ def identity_merge(contacts: DataFrame, import_since: str, outbound_list: str) -
     )
     keyed = contacts.withColumn("_person", person)
     first = keyed.groupBy("_person").agg(F.min_by(attributes, F.struct(F.least("first_visit_at", "created_at"), "contact_id")).alias("_a"))
-    merged = attach(keyed, first, ["_person"])
+    merged = keyed.join(first, "_person")
     imported = is_true(F.col("_a.source").contains("offline")) & is_true(F.lower("_a.data_1").contains("import"))
     outbound = (imported & (F.col("created_at") > F.lit(import_since).cast("timestamp_ntz"))) | (
         is_true(F.lower("_a.data_1") == "integration") & is_true(F.col("_a.data_2") == outbound_list)

@@ -56,7 +56,7 @@ def entity_summary(orders: DataFrame, k: str) -> DataFrame:
         F.min_by("technology", F.when(closed, close)).alias("first_closed_technology"),
         F.min(F.when(closed, close)).alias("_first"),
     )
-    since = attach(known.filter(closed), basic.select(k, "_first"), [k])
+    since = known.filter(closed).join(basic.select(k, "_first"), k)
     first_at, margin = F.col("_first.closed_at"), F.col("subtotal_cents") - F.col("cost_cents")
     early = since.groupBy(k).agg(
         F.min(F.when(close > F.col("_first"), F.col("closed_at"))).alias("second_closed_at"),
@@ -64,7 +64,7 @@ def entity_summary(orders: DataFrame, k: str) -> DataFrame:
         sum_when(F.col("closed_at") < add_part(first_at, 90, "day"), margin).alias("margin_90d_cents"),
         sum_when(F.col("closed_at") < add_part(first_at, 24, "month"), margin).alias("margin_24m_cents"),
     )
-    return attach(basic.drop("_first"), early, [k])
+    return basic.drop("_first").join(early, k, "left")
 
 
 def closed_order_numbers(orders: DataFrame, k: str) -> DataFrame:
@@ -134,8 +134,8 @@ def order_series(orders: DataFrame, k: str) -> DataFrame:
     out = cut_lineage(pairs.groupBy(k).agg(F.min("closed_at").alias("first_closed_at")), "series-first")
 
     def next_date(dates: DataFrame, name: str, candidate: str, after: Column) -> DataFrame:
-        found = attach(pairs, dates, [k]).groupBy(k).agg(F.min(F.when(F.col(candidate) > after, F.col(candidate))).alias(name))
-        return cut_lineage(attach(dates, found, [k]), name)
+        found = pairs.join(dates, k).groupBy(k).agg(F.min(F.when(F.col(candidate) > after, F.col(candidate))).alias(name))
+        return cut_lineage(dates.join(found, k), name)
 
     previous = "first_closed_at"
     for name in ("two", "three"):

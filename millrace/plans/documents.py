@@ -44,7 +44,8 @@ def line_item_rollup(lines: DataFrame, k: str) -> DataFrame:
     parts = lines.filter(part)
     counts = parts.groupBy(k).agg(F.count_distinct("material").alias("n_materials"), F.count_distinct("process").alias("n_processes"))
     titles = parts.select(k, "title").distinct().groupBy(k).agg(F.array_join(F.array_sort(F.collect_list("title")), ", ").alias("titles"))
-    joined = attach(attach(grouped, counts, [k]), titles, [k])
+    # the three groupings share the key, so these joins need no further shuffle
+    joined = grouped.join(counts, k, "left").join(titles, k, "left")
     return joined.withColumn("leading_title", F.col("_lead.t")).drop("_lead")
 
 
@@ -94,13 +95,13 @@ def document_versions(docs: DataFrame, rates: DataFrame) -> DataFrame:
         F.min(F.when(final, fields)).alias("p1"),
         F.max(F.when(po & F.col("is_active"), latest)).alias("pa"),
     )
-    judged = attach(valued.filter(final), one.select("order_id", "p1"), ["order_id"])
+    judged = valued.filter(final).join(one.select("order_id", "p1"), "order_id", "left")
     days = boundary_diff("p1.finalized_at", "finalized_at", "day")
     # Days after sourcing within which a purchase order still counts as production.
     in_time = F.when(F.col("technology_id") == 2, days <= 2).otherwise(days <= 7) | (F.col("p1.doc_id") == F.col("doc_id"))
     two = judged.filter(in_time).groupBy("order_id").agg(F.max(fields).alias("pp"))
     lead = boundary_diff("q.created_at", "q.finalized_at", "day")
-    out = attach(one, two, ["order_id"])
+    out = one.join(two, "order_id", "left")
     return out.select(
         "order_id", F.col("q1.doc_id").alias("first_quote_id"), F.col("q1.is_admin").alias("first_quote_by_admin"),
         F.col("q.doc_id").alias("main_quote_id"), ladder([(lead <= days_, hours) for days_, hours in SOURCING_WINDOWS], LONGEST_WINDOW).alias("sourcing_window"),
@@ -118,7 +119,7 @@ def quote_lines(lines: DataFrame, heads: DataFrame) -> DataFrame:
     main = heads.filter("doc_type = 'quote'").groupBy("order_id").agg(F.max(F.struct("revision", "doc_id")).alias("_m"))
     quoted = lines.join(main.select(F.col("_m.doc_id").alias("doc_id")), "doc_id", "left_semi")
     cost = po_lines(lines).groupBy("order_id", "line_number").agg(F.min("cents").alias("cost_cents"))
-    return attach(quoted, cost, ["order_id", "line_number"])
+    return quoted.join(cost, ["order_id", "line_number"], "left")
 
 
 def po_lines(lines: DataFrame) -> DataFrame:
@@ -152,7 +153,7 @@ def purchase_order_increments(docs: DataFrame, orders: DataFrame, rates: DataFra
     listed = exceptions.select("doc_id", F.col("recognized_at").alias("_listed"))
     steps = steps.join(listed, "doc_id", "left")
     active = pos.groupBy("order_id").agg(F.bool_or("is_active").alias("_active"))
-    steps = attach(steps, active, ["order_id"])
+    steps = steps.join(active, "order_id", "left")
     day = recognition_day("finalized_at", "completed_at", "recognized_at", cut_over, as_of)
     recognised = F.coalesce("_listed", F.when(F.col("_active"), day))
     first = F.col("_doc").isNull()

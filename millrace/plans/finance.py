@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from millrace.functions.columns import count_when, is_true, ladder, sum_when, zero
 from millrace.functions.dates import add_part, day
 from millrace.operators.joins import fx_convert, semi_join
-from millrace.operators.keyed import attach
 from millrace.plans.documents import recognition_day
 
 

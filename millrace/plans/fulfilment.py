@@ -82,7 +82,7 @@ def batch_on_time_rate(batches: DataFrame, orders: DataFrame, as_of: str) -> Dat
             delay_days("promised_customer_at", "shipped_to_customer_at").alias("delay_to_customer_days"), "quantity", "is_last_batch",
         )
 
-    by_batch = attach(first, last, ["order_id"]).withColumn("is_last_batch", F.col("batch_number") == F.col("_last"))
+    by_batch = first.join(last, "order_id").withColumn("is_last_batch", F.col("batch_number") == F.col("_last"))
     whole = only_matching(orders, batches.select("order_id"), ["order_id"], "left_anti")
     whole = whole.withColumns({"batch_number": F.lit(1).cast("long"), "is_last_batch": F.lit(True)})
     return rated(by_batch, "batches").unionByName(rated(whole, "orders"))
@@ -202,7 +202,7 @@ def shipment_fact(shipments: DataFrame, messages: DataFrame, orders: DataFrame,
     delivered = F.coalesce("tracked_delivered_at", "delivered_at")
     out = joined.withColumns({"leg": F.coalesce("leg_override", leg), "_received": received, "_delivered": delivered})
     first = out.groupBy("order_id", "leg").agg(F.min(F.struct("created_at", "shipment_id")).alias("_f"))
-    out = attach(out, first, ["order_id", "leg"])
+    out = out.join(first, ["order_id", "leg"])
     valid = F.col("_delivered").isNotNull() | (F.coalesce("n_messages", F.lit(0)) >= 3) | F.col("_received").isNotNull()
     facts = out.select(
         "shipment_id", "order_id", "batch_id", "tracking_number", "created_at", F.col("_received").alias("received_at"), F.col("_delivered").alias("delivered_at"),
@@ -228,7 +228,7 @@ def batch_fact(shipments: DataFrame) -> DataFrame:
     )
     carriers = shipments.filter(F.col("batch_id").isNotNull() & (~cross | customer)).select("batch_id", "carrier").distinct()
     listed = carriers.groupBy("batch_id").agg(F.array_join(F.array_sort(F.collect_list("carrier")), " ").alias("carriers_to_customer"))
-    return attach(grouped, listed, ["batch_id"]).withColumns({
+    return grouped.join(listed, "batch_id", "left").withColumns({
         "is_valid_batch": F.col("n_shipments") > 0, "has_had_alerts": F.col("n_alerts") > 0, "first_label_at": F.coalesce("label_to_cross_dock_at", "label_to_customer_at"),
     }).drop("n_alerts")
 

@@ -68,7 +68,7 @@ def auction_history(auctions: DataFrame) -> DataFrame:
     ends = auctions.filter(won).groupBy("order_id").agg(
         F.min(F.struct("started_at", "auction_id")).alias("_first"), F.max(F.struct("finished_at", "auction_id")).alias("_last")
     )
-    out = attach(out, ends, ["order_id"]).withColumns({
+    out = out.join(ends, "order_id", "left").withColumns({
         "is_first_successful": is_true(F.col("_first.auction_id") == F.col("auction_id")),
         "is_last_successful": is_true(F.col("_last.auction_id") == F.col("auction_id")),
         "is_latest_of_type": F.col("recency_idx_type") == 1,

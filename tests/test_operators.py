@@ -148,3 +148,11 @@ def test_dense_ids_follow_label_order(spark):
 def test_period_filter(spark, unit, n, want):
     df = spark.createDataFrame([(ts(x),) for x in ("1998-12-31", "1999-01-01", "2000-05-05", "2001-08-01")], "t timestamp_ntz")
     assert P.period_filter(df, "t", n, unit, "2001-09-01").count() == want
+
+
+def test_assembly_sides_are_checked_for_repeats(spark):
+    base = spark.createDataFrame([(1,), (2,)], "k int")
+    side = spark.createDataFrame([(1, "a"), (3, "c")], "k int, v string")
+    assert J.repeated_keys(side, ["k"]).count() == 0
+    assert J.repeated_keys(side.unionAll(side), ["k"]).count() == 2
+    assert rows(J.wide_fact_assembly(base, "k", [side])) == [(1, "a"), (2, None)]
