@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.sources.session import CLUSTER_SETTINGS
+from millrace.sources.session import in_utc
 from millrace.sources.tables import Tables
 
 AS_OF = "2001-09-01 00:00:00"
@@ -33,10 +33,7 @@ class Entry:
     sql: str | None
 
     def __call__(self, spark: SparkSession, sf_dir: str) -> DataFrame:
-        for key, value in CLUSTER_SETTINGS.items():
-            if spark.conf.get(key, None) != value:
-                spark.conf.set(key, value)
-        return widen(self.build(Tables(spark, sf_dir)))
+        return widen(self.build(Tables(in_utc(spark), sf_dir)))
 
 
 def widen(df: DataFrame) -> DataFrame:

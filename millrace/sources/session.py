@@ -2,27 +2,29 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Besides the time zone and adaptive execution: no call-site capture per Column call, which triples the time to build deep plans.
+UTC_NAMES = {"UTC", "Etc/UTC", "GMT", "Etc/GMT", "Z", "+00:00", "Zulu", "Universal", "Etc/Universal", "Etc/Zulu"}
+
+# What a cluster should run these jobs with. Only the time zone bears on results; queries set none of them in a session they are given.
 CLUSTER_SETTINGS = {
-    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
+# Static, hence for the builder only: no call-site capture per Column call, which triples the time to build deep plans.
+BUILDER_SETTINGS = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "millrace") -> SparkSession:
     builder = SparkSession.builder.master(f"local[{cores}]").appName(app)
-    settings = CLUSTER_SETTINGS | {
+    settings = CLUSTER_SETTINGS | BUILDER_SETTINGS | {
         "spark.sql.shuffle.partitions": str(shuffle_partitions),
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
@@ -35,17 +37,20 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor can reach, as the cluster names it in spark.checkpoint.dir.
+def in_utc(spark: SparkSession) -> SparkSession:
+    """The caller's session where it runs in UTC, else a sibling of it that does: the caller's settings stay as they are."""
+    if spark.conf.get("spark.sql.session.timeZone") in UTC_NAMES:
+        return spark
+    sibling = spark.newSession()
+    sibling.conf.set("spark.sql.session.timeZone", "UTC")
+    return sibling
 
-    Only a session without that setting (a local test) gets a folder of its own.
-    """
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder every executor can reach, as the session names it in spark.checkpoint.dir."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        folder = tempfile.mkdtemp(prefix="millrace-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        raise ValueError("set spark.checkpoint.dir to a folder shared by driver and executors")
     return folder
 
 
