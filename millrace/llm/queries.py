@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm import line_runs, quotations, shuffle
-from millrace.llm.registry import query, table
+from millrace.llm.registry import QUERIES, SQL, query, table
+
+__all__ = ["QUERIES", "SQL"]
 
 
 @query("op1_line_dedup", sql=r"""
