@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import line_runs, quotations, shuffle
+from millrace.llm import bayes_join, bpe, factorization, line_runs, quotations, shuffle, tiling
 from millrace.llm.registry import QUERIES, SQL, query, table
 
 __all__ = ["QUERIES", "SQL"]
@@ -69,3 +69,42 @@ def mailbox(conversations: DataFrame) -> DataFrame:
 def op10_quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = quotations.reply_ordered(mailbox(table(spark, sf_dir, "conversations")))
     return out.select("conv_id", "turn", "role", "reply_to", "depth", "reply_pos", "n_linked", F.sha2(F.encode("own_text", "UTF-8"), 256).alias("own_sha256"))
+
+
+def byte_codec() -> bpe.Codec:
+    import public_tokenizers
+
+    return bpe.read_codec(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+@query("op5_byte_bpe")
+def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    codec = byte_codec()
+    out = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), codec), codec)
+    return out.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def remainder(doc_id: str = "doc_id"):
+    """The fold of a document; rows of remainder 1 are held out from learning."""
+    return F.crc32(F.col(doc_id).cast("string").cast("binary")) % 3
+
+
+TOXIC_FROM = 0.7
+
+
+@query("op6_toxicity")
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = factorization.learn(docs, table(spark, sf_dir, "labels").select("doc_id", "toxic"), remainder() != 1)
+    out = factorization.score(docs, model)
+    return out.select("doc_id", F.coalesce(remainder() == 1, F.lit(False)).alias("held_out"), "score", (F.col("score") >= TOXIC_FROM).cast("int").alias("predicted"))
+
+
+@query("op7_benchmark_tiling")
+def op7_benchmark_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tiling.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op8_bayes_jaccard_join")
+def op8_bayes_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bayes_join.similar(table(spark, sf_dir, "documents"))
