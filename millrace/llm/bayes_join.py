@@ -18,7 +18,7 @@ from collections.abc import Callable, Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import _parse_datatype_string
@@ -268,3 +268,12 @@ def similar(docs: DataFrame, n: int = 5, threshold: float = 0.8, tolerance: floa
     full = drawn.where(F.col("c").isNotNull()).select("id", "c", "n_grams").join(named, "c").select("id", "class_id", "n_links", "n_grams")
     bare = drawn.where(F.col("c").isNull()).select("id", F.col("id").alias("class_id"), F.lit(0).cast("bigint").alias("n_links"), "n_grams")
     return full.unionByName(bare).withColumnRenamed("id", id_col)
+
+
+def keep_one(docs: DataFrame, n: int = 5, threshold: float = 0.8, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The rows of ``docs`` without near-duplicates: of every class the document whose id is the class id stays, once."""
+    placed = similar(docs, n, threshold, id_col=id_col, text_col=text_col, **options)
+    kept = placed.where(F.col(id_col).eqNullSafe(F.col("class_id"))).select(F.struct(F.col(id_col).alias("id")).alias("key")).distinct()
+    rows = docs.select(F.struct("*").alias("row"), F.struct(F.col(id_col).alias("id")).alias("key")).join(kept, "key", "left_semi")
+    same = Window.partitionBy("key", F.xxhash64(f"row.{text_col}")).orderBy(F.lit(0))
+    return rows.withColumn("nth", F.row_number().over(same)).where(F.col("nth") == 1).select("row.*")

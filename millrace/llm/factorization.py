@@ -11,12 +11,13 @@ result; other columns are ignored, whatever their names.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm.rows import Memo, map_rows, words
@@ -66,8 +67,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, learn: Column, most: int
     return [(r["key"], r["label"], np.frombuffer(r["columns"], np.int32)) for r in found]
 
 
-def fit(sample: list[tuple[int, int, np.ndarray]], bits: int = 18, rank: int = 8, rounds: int = 6, batch: int = 64, rate: float = 0.1, decay: float = 1e-4, least: int = 3, seed: int = 5) -> Model:
-    """Adaptive gradient steps on the logistic loss. Columns in fewer than ``least`` rows stay zero."""
+def fit(sample: list[tuple[int, int, np.ndarray]], bits: int = 18, rank: int = 8, rounds: int = 6, batch: int = 64, rate: float = 0.1, decay: float = 1e-4, least: int = 3, chance: float = 10.8, seed: int = 5) -> Model:
+    """Adaptive gradient steps on the logistic loss. Columns in fewer than ``least`` rows, or whose chi-square against the label is below ``chance``, stay zero."""
     size = 2**bits
     rng = np.random.default_rng(seed)
     weights, factors, bias = np.zeros(size, np.float32), np.zeros((size, rank), np.float32), 0.0
@@ -78,8 +79,16 @@ def fit(sample: list[tuple[int, int, np.ndarray]], bits: int = 18, rank: int = 8
     rows = np.zeros(size, np.int64)
     for _, _, columns in sample:
         rows[columns] += 1
-    factors[rows >= least] = rng.normal(0, 0.01, (int((rows >= least).sum()), rank))
-    data = [columns[rows[columns] >= least] for _, _, columns in sample]
+    toxic = np.zeros(size, np.int64)
+    for _, label, columns in sample:
+        toxic[columns] += label
+    n, share = len(y), float(y.mean())
+    expected = rows * share
+    with np.errstate(divide="ignore", invalid="ignore"):
+        chi = (toxic - expected) ** 2 / (expected * (1 - share) * (1 - rows / n))
+    useful = (rows >= least) & (np.nan_to_num(chi, nan=0.0, posinf=np.inf) >= chance)
+    factors[useful] = rng.normal(0, 0.01, (int(useful.sum()), rank))
+    data = [columns[useful[columns]] for _, _, columns in sample]
     bias = float(np.log(y.mean() / (1 - y.mean())))
     seen_w, seen_v = np.full(size, 1e-2, np.float32), np.full((size, rank), 1e-2, np.float32)
     for _ in range(rounds):
@@ -108,21 +117,23 @@ def fit(sample: list[tuple[int, int, np.ndarray]], bits: int = 18, rank: int = 8
     return Model(bits, bias, weights, factors)
 
 
-def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id and ``score`` of every row."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+def scorer(spark: SparkSession, model: Model) -> Callable[[str], Column]:
+    """A column function from whole texts to scores. Only the text travels to Python; the model goes out once, its size is fixed by ``bits`` and ``rank``."""
+    shared = spark.sparkContext.broadcast(model)
 
-    def start():
+    @F.pandas_udf("double")
+    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         model = shared.value
         columns = term_columns(model.bits)
+        for texts in batches:
+            yield pd.Series([model.score(columns(text)) for text in texts], dtype="float64")
 
-        def row(key, text) -> Iterable[tuple]:
-            return [(key, model.score(columns(text)))]
+    return score
 
-        return row
 
-    source = docs.select(id_col, text_col)
-    return map_rows(source, start, f"`{id_col}` {source.dtypes[0][1]}, score double")
+def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """id and ``score`` of every row."""
+    return docs.select(id_col, scorer(docs.sparkSession, model)(text_col).alias("score"))
 
 
 def learn(docs: DataFrame, labels: DataFrame, allowed: Column, most: int = 20_000, bits: int = 18, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", **options) -> Model:

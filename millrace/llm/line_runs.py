@@ -131,3 +131,10 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     for batch in batches_by_id(docs, batches, id_col):
         runs.add(batch, id_col, text_col)
     return drop_lines(docs, runs, id_col, text_col)
+
+
+def with_kept_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length_col: str = "n_chars", **options) -> DataFrame:
+    """The rows of ``docs`` with the text that stays, and its length in ``length_col`` where there is such a column."""
+    out = dedup_lines(docs, id_col, text_col, **options)
+    changed = {text_col: F.col("kept"), length_col: F.length("kept")}
+    return out.select(*[changed[c].cast(kind).alias(c) if c in changed else F.col(f"row.`{c}`") for c, kind in docs.dtypes])

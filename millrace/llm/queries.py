@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bayes_join, bpe, factorization, line_runs, quotations, shuffle, tiling
+from millrace.llm import bayes_join, block_max, bpe, chaining, edit_counts, factorization, line_runs, quotations, shuffle, tiling
 from millrace.llm.registry import QUERIES, SQL, query, table
 
 __all__ = ["QUERIES", "SQL"]
@@ -79,8 +79,13 @@ def byte_codec() -> bpe.Codec:
 
 @query("op5_byte_bpe")
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(table(spark, sf_dir, "documents"))
+
+
+def round_trip(docs: DataFrame) -> DataFrame:
+    """Digests of every document's ids and of what they decode to."""
     codec = byte_codec()
-    out = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), codec), codec)
+    out = bpe.decode(bpe.encode(docs, codec), codec)
     return out.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
@@ -92,11 +97,14 @@ def remainder(doc_id: str = "doc_id"):
 TOXIC_FROM = 0.7
 
 
+def toxicity_model(docs: DataFrame, labels: DataFrame) -> factorization.Model:
+    return factorization.learn(docs.select("doc_id", "text"), labels.select("doc_id", "toxic"), remainder() != 1)
+
+
 @query("op6_toxicity")
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    model = factorization.learn(docs, table(spark, sf_dir, "labels").select("doc_id", "toxic"), remainder() != 1)
-    out = factorization.score(docs, model)
+    out = factorization.score(docs, toxicity_model(docs, table(spark, sf_dir, "labels")))
     return out.select("doc_id", F.coalesce(remainder() == 1, F.lit(False)).alias("held_out"), "score", (F.col("score") >= TOXIC_FROM).cast("int").alias("predicted"))
 
 
@@ -108,3 +116,25 @@ def op7_benchmark_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_bayes_jaccard_join")
 def op8_bayes_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bayes_join.similar(table(spark, sf_dir, "documents"))
+
+
+@query("op9_chained_passages")
+def op9_chained_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chaining.passages(table(spark, sf_dir, "documents"))
+
+
+@query("op2_edit_token_counts")
+def op2_edit_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of every document before and after a clean-up of its whole text."""
+    codec = byte_codec()
+    state = edit_counts.build(table(spark, sf_dir, "documents"), codec)
+    out = edit_counts.apply_edits(edit_counts.with_cleaning(state), codec)
+    return out.select("doc_id", F.col("n_before").alias("n_tokens_before"), F.col("n_tokens").alias("n_tokens_after"), "n_edits", F.col("n_redone").alias("n_chars_encoded_again"), F.sha2(F.encode("text", "UTF-8"), 256).alias("text_sha256"))
+
+
+@query("op3_block_max_search")
+def op3_block_max_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents for every document whose id is divisible by 50."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = block_max.search_texts(docs.where(F.col("doc_id") % 50 == 0), docs)
+    return out.select(F.col("q").alias("query_id"), F.col("rank").cast("int").alias("rank"), F.col("id").alias("doc_id"), "score")

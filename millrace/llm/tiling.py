@@ -156,3 +156,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least: int = 5, coverage
     out = map_rows(ready, start, f"id {ready.dtypes[0][1]}, item {ready.dtypes[1][1]}, coverage double, n_tiles bigint, longest bigint")
     best = out.groupBy("id", "item").agg(F.max(F.struct("coverage", "longest", "n_tiles")).alias("b"))
     return best.select(F.col("id").alias(id_col), F.col("item").alias(item_col), "b.coverage", "b.n_tiles", "b.longest")
+
+
+def without_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
+    """The rows of ``docs`` that no benchmark item contaminates."""
+    bad = contaminated(docs, benchmark, id_col=id_col, **options).select(F.col(id_col).alias("bad_id")).distinct()
+    rows = docs.select(F.struct("*").alias("row"), F.struct(F.col(id_col).alias("id")).alias("key"))
+    return rows.join(bad.select(F.struct(F.col("bad_id").alias("id")).alias("key")), "key", "left_anti").select("row.*")
