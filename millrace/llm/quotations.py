@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from millrace.operators import ordered
 from millrace.sources.session import cut_lineage
 
-MARKS = r"^(\s*>)+"
+MARKS = r"^[\s>]*>"
 #: Line ends that introduce a quotation in the languages of the corpus.
 INTRODUCTION = r"(?i)(wrote|schrieb|a écrit|escribió)\s*:\s*$"
 CHUNK = 512
@@ -70,14 +70,18 @@ def links(msgs: DataFrame) -> DataFrame:
 
 
 def depths(edges: DataFrame) -> DataFrame:
-    """Distance of every message from the start of its conversation. Pointer doubling: rounds grow with the logarithm of the longest chain."""
+    """Distance of every message from the start of its conversation. Pointer doubling: rounds grow with the logarithm of the longest chain, and only messages that have not arrived take part."""
     hops = F.when(F.col("reply_to").isNull(), 0).otherwise(1).cast("long")
-    state = cut_lineage(edges.select("conv_id", "turn", F.col("reply_to").alias("up"), hops.alias("depth")), "reply-depths")
-    while not state.where(F.col("up").isNotNull()).isEmpty():
-        above = state.select("conv_id", F.col("turn").alias("up"), F.col("up").alias("next_up"), F.col("depth").alias("more"))
-        joined = state.join(above, ["conv_id", "up"], "left")
-        state = cut_lineage(joined.select("conv_id", "turn", F.col("next_up").alias("up"), (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth")), "reply-depths")
-    return state.select("conv_id", "turn", "depth")
+    moving = cut_lineage(edges.select("conv_id", "turn", F.col("reply_to").alias("up"), hops.alias("depth")), "reply-depths")
+    arrived = moving.where(F.col("up").isNull())
+    moving = moving.where(F.col("up").isNotNull())
+    while not moving.isEmpty():
+        above = arrived.union(moving).select("conv_id", F.col("turn").alias("up"), F.col("up").alias("next_up"), F.col("depth").alias("more"))
+        moved = moving.join(above, ["conv_id", "up"]).select("conv_id", "turn", F.col("next_up").alias("up"), (F.col("depth") + F.col("more")).alias("depth"))
+        moved = cut_lineage(moved, "reply-depths")
+        arrived = arrived.union(moved.where(F.col("up").isNull()))
+        moving = moved.where(F.col("up").isNotNull())
+    return arrived.select("conv_id", "turn", "depth")
 
 
 def reply_ordered(df: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
