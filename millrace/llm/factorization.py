@@ -67,8 +67,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, learn: Column, most: int
     return [(r["key"], r["label"], np.frombuffer(r["columns"], np.int32)) for r in found]
 
 
-def fit(sample: list[tuple[int, int, np.ndarray]], bits: int = 18, rank: int = 8, rounds: int = 6, batch: int = 64, rate: float = 0.1, decay: float = 1e-4, least: int = 3, chance: float = 10.8, seed: int = 5) -> Model:
-    """Adaptive gradient steps on the logistic loss. Columns in fewer than ``least`` rows, or whose chi-square against the label is below ``chance``, stay zero."""
+def fit(sample: list[tuple[int, int, np.ndarray]], bits: int = 18, rank: int = 8, steps: int = 1500, batch: int = 64, rate: float = 0.1, decay: float = 1e-4, least: int = 3, chance: float = 10.8, seed: int = 5) -> Model:
+    """At least ``steps`` adaptive gradient steps, and five rounds, on the logistic loss. Columns in fewer than ``least`` rows, or whose chi-square against the label is below ``chance``, stay zero."""
     size = 2**bits
     rng = np.random.default_rng(seed)
     weights, factors, bias = np.zeros(size, np.float32), np.zeros((size, rank), np.float32), 0.0
@@ -91,7 +91,7 @@ def fit(sample: list[tuple[int, int, np.ndarray]], bits: int = 18, rank: int = 8
     data = [columns[useful[columns]] for _, _, columns in sample]
     bias = float(np.log(y.mean() / (1 - y.mean())))
     seen_w, seen_v = np.full(size, 1e-2, np.float32), np.full((size, rank), 1e-2, np.float32)
-    for _ in range(rounds):
+    for _ in range(max(5, -(-steps * batch // len(data)))):
         order = rng.permutation(len(data))
         for at in range(0, len(order), batch):
             some = [data[i] for i in order[at : at + batch]]
