@@ -106,7 +106,7 @@ def dq_fewer_rows_than(t):
     select * from n where not (start_at < end_at and coalesce(end_at <= next_lower, next_lower is null))""")
 def dq_mutually_exclusive_ranges(t):
     spans = frames.order_interval(t).select("o_custkey", "o_orderkey", "start_at", "end_at")
-    return Q.dq_mutually_exclusive_ranges(spans, "start_at", "end_at", ["o_custkey"], chunk=F.trunc("start_at", "quarter"))
+    return Q.dq_mutually_exclusive_ranges(spans, "start_at", "end_at", ["o_custkey"], F.trunc("start_at", "quarter"))
 
 
 @register("dq_sequential_values", """
@@ -115,7 +115,7 @@ def dq_mutually_exclusive_ranges(t):
     select * from p where month <> previous_month + interval 1 month""")
 def dq_sequential_values(t):
     months = t["orders"].select("o_custkey", F.trunc("o_orderdate", "month").alias("month")).distinct()
-    return Q.dq_sequential_values(months, "month", 1, "month", ["o_custkey"], F.trunc("month", "year"))
+    return Q.dq_sequential_values(months, "month", ["o_custkey"], F.trunc("month", "year"), 1, "month")
 
 
 @register("dq_recency", "select max(o_orderdate) as most_recent, timestamp '2001-08-25' as threshold from orders having max(o_orderdate) < timestamp '2001-08-25'")

@@ -162,4 +162,6 @@ ORDER_TIMELINE = MILESTONES + """, order_timeline as (
                case when o_orderkey % 29 <> 0 then promised_at end as promised_customer_at, promised_at + to_days((o_orderkey % 4)::int) as expected_at,
                case when o_orderkey % 17 <> 0 then shipped_at end as shipped_at, shipped_at - to_days((o_orderkey % 3)::int) as label_at,
                case when cancelled_at is not null then 'canceled' when delivered_at is not null then 'delivered' else 'in_production' end as status,
+               case when o_orderkey % 11 = 0 then '3' else (o_orderkey % 3)::varchar end as technology_id, case when o_orderkey % 22 = 0 then 'Tooling & Samples' else 'standard' end as deal_type,
+               case when o_orderkey % 4 <> 0 then created_at + interval 6 day end as own_promise_at,
                o_orderkey % 31 = 0 as on_customer_hold, delivered_at, o_orderkey % 2 = 1 as is_cross_docking from milestones))))"""

@@ -26,14 +26,23 @@ def delay_sql(promised, happened):
 
 
 GRACE = "promised_supplier_at + interval 12 hour"
+OWN_SINCE = "1998-01-01"
+OWN_PROMISE = f"""case when technology_id = '3' and created_at < timestamp '{OWN_SINCE}' then null
+      when technology_id = '3' and lower(deal_type) = 'tooling & samples' and status <> 'canceled' then
+        case when shipped_at <= own_promise_at then true when shipped_at > own_promise_at then false when shipped_at is null and own_promise_at + interval 1 day < timestamp '2001-09-01' then false end
+      else {on_time_sql('promised_supplier_at', 'shipped_at', GRACE)} end"""
+LABEL = """case when promised_supplier_at > timestamp '2001-09-01' then null when promised_supplier_at is null then null
+      when status in ('completed', 'delivered', 'disputed', 'shipped') and label_at is null then null when status = 'canceled' then null
+      when label_at > promised_supplier_at then false when label_at <= promised_supplier_at then true
+      when label_at is null and promised_supplier_at + interval 1 day < date_trunc('day', timestamp '2001-09-01') then false end"""
 
 
 @register("on_time_rate", S.ctes(S.ORDER_TIMELINE) + f"""
     , d as (select l_orderkey as order_id, count(*) as n_delays, bool_or(l_linenumber % 2 = 0) as has_supplier_liability, min(l_shipdate) as first_delay_at, max(l_shipdate + to_days(l_linenumber)) as latest_new_shipping_at
             from lineitem where l_returnflag = 'R' group by 1)
     select o.order_id, {on_time_sql('promised_customer_at', 'shipped_to_customer_at', hold='on_customer_hold')} as on_time_to_customer,
-           {on_time_sql('expected_at', 'shipped_to_customer_at', hold='on_customer_hold')} as on_time_expected, {on_time_sql('promised_supplier_at', 'shipped_at', GRACE)} as on_time_by_supplier,
-           {on_time_sql('promised_supplier_at', 'label_at')} as on_time_label, {delay_sql('promised_customer_at', 'shipped_to_customer_at')} as delay_to_customer_days,
+           {on_time_sql('expected_at', 'shipped_to_customer_at', hold='on_customer_hold')} as on_time_expected, {OWN_PROMISE} as on_time_by_supplier,
+           {LABEL} as on_time_label, {delay_sql('promised_customer_at', 'shipped_to_customer_at')} as delay_to_customer_days,
            {delay_sql(GRACE, 'shipped_at')} as delay_by_supplier_days, n_delays, has_supplier_liability, first_delay_at, latest_new_shipping_at
     from order_timeline o left join d using (order_id)""")
 def on_time_rate(t):
@@ -42,7 +51,7 @@ def on_time_rate(t):
         F.col("l_orderkey").alias("order_id"), F.when(line % 2 == 0, "supplier").otherwise("carrier").alias("liability"), F.col("l_shipdate").alias("notified_at"),
         add_part("l_shipdate", line, "day").alias("new_shipping_at"),
     )
-    return P.on_time_rate(frames.order_timeline(t), delays, AS_OF)
+    return P.on_time_rate(frames.order_timeline(t), delays, AS_OF, OWN_SINCE)
 
 
 @register("batch_on_time_rate", S.ctes(S.ORDER_TIMELINE) + f"""

@@ -189,15 +189,15 @@ def full_outer_reconcile(t):
 
 
 @register("cross_join_scaffold", """
-    with m as (select unnest(generate_series(timestamp '1999-01-01', timestamp '2000-12-01', interval 1 month)) as month),
-         f as (select l_suppkey, date_trunc('month', l_shipdate) as month, count(*) as returned, sum(l_quantity) as qty from lineitem where l_returnflag = 'R' group by 1, 2)
+    with f as (select l_suppkey, date_trunc('month', l_shipdate) as month, count(*) as returned, sum(l_quantity) as qty from lineitem where l_returnflag = 'R' group by 1, 2),
+         m as (select unnest(generate_series((select min(month) from f)::timestamp, (select max(month) from f)::timestamp, interval 1 month)) as month)
     select s_suppkey, m.month, coalesce(returned, 0)::bigint as returned, coalesce(qty, 0) as qty
     from supplier cross join m left join f on f.l_suppkey = s_suppkey and f.month = m.month""")
 def cross_join_scaffold(t):
     returned = t["lineitem"].filter("l_returnflag = 'R'").groupBy(F.col("l_suppkey").alias("s_suppkey"), month("l_shipdate").alias("month"))
     facts = returned.agg(F.count(F.lit(1)).alias("returned"), F.sum("l_quantity").alias("qty"))
-    start, end = F.lit("1999-01-01").cast("date"), F.lit("2000-12-31").cast("date")
-    return J.cross_join_scaffold(t["supplier"], ["s_suppkey"], facts, start, end, "month", "month", ["returned", "qty"])
+    first, last = facts.agg(F.min("month").cast("date")).scalar(), facts.agg(F.max("month").cast("date")).scalar()
+    return J.cross_join_scaffold(t["supplier"], ["s_suppkey"], facts, first, last, "month", "month", ["returned", "qty"])
 
 
 @register("lateral_explode", """

@@ -43,13 +43,14 @@ def read_seed_(t):
 
 @register("read_tables_by_pattern", """
     select 'orders_' || year(o_orderdate) as _source, o_orderkey, o_custkey, o_orderpriority, case when year(o_orderdate) = 1999 then o_totalprice end as o_totalprice
-    from orders where year(o_orderdate) between 1997 and 2000 and year(o_orderdate) <> 1998""")
+    from orders where year(o_orderdate) <> 1998""")
 def read_tables_by_pattern_(t):
     def year(y):
         part = t["orders"].filter((F.col("o_orderdate") >= ts(f"{y}-01-01")) & (F.col("o_orderdate") < ts(f"{y + 1}-01-01")))
         return part.select("o_orderkey", "o_custkey", "o_orderpriority", *(["o_totalprice"] if y == 1999 else []))
 
-    yearly = {f"orders_{y}": year(y) for y in range(1997, 2001)} | {"returns_1999": t["lineitem"]}
+    span = t["orders"].agg(F.year(F.min("o_orderdate")).alias("first"), F.year(F.max("o_orderdate")).alias("last")).first()
+    yearly = {f"orders_{y}": year(y) for y in range(span["first"] or 1, (span["last"] or 0) + 1)} | {"returns_1999": t["lineitem"]}
     return read_tables_by_pattern(yearly, r"^orders_", r"1998$")
 
 

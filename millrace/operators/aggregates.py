@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.columns import ladder
-from millrace.operators.keyed import attach
+from millrace.operators.keyed import KEY, attach, packed
 from millrace.operators.ordered import order_statistics
 
 
@@ -95,9 +95,9 @@ def scalar_subquery_agg(df: DataFrame, sub: DataFrame) -> DataFrame:
 
 def ratio_to_report(df: DataFrame, part: list[str], label: list[str], col: str, out: str) -> DataFrame:
     """Share of each label in its partition's total; both sums are partial aggregates."""
-    sums = df.groupBy(*part, *label).agg(F.sum(col).alias(col))
-    totals = sums.groupBy(*part).agg(F.sum(col).alias("_total"))
-    return attach(sums, totals, part).withColumn(out, F.col(col) / F.col("_total")).drop("_total")
+    sums = packed(df, part).groupBy(KEY, *label).agg(F.sum(col).alias(col))
+    totals = sums.groupBy(KEY).agg(F.sum(col).alias("_total"))
+    return sums.join(totals, KEY, "left").select(f"{KEY}.*", *label, col, (F.col(col) / F.col("_total")).alias(out))
 
 
 def pivot_conditional(

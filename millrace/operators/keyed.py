@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+KEY = "_key"
+
 
 def attach(df: DataFrame, side: DataFrame, k: list[str], how: str = "left", null_keys: bool = True) -> DataFrame:
     """Join a keyed side (one row per key) back to the rows it was derived from.
@@ -22,6 +25,18 @@ def attach(df: DataFrame, side: DataFrame, k: list[str], how: str = "left", null
     return df.join(renamed, cond, how).drop(*[f"_r_{name}" for name in k])
 
 
+def packed(df: DataFrame, k: list[str]) -> DataFrame:
+    """Add the key as one struct column. Structs with equal fields are equal even where fields are null, so an aggregate by it joins back
+    with plain equality, and rows shuffled by it once stay where they are."""
+    return df.withColumn(KEY, F.struct(*[F.col(name) for name in k]))
+
+
+def attach_aggs(df: DataFrame, k: list[str], aggs: Mapping[str, Column]) -> DataFrame:
+    """Aggregates over the rows of the key, attached to every row: one shuffle for the partial aggregates, one for the rows."""
+    rows = packed(df, k)
+    return rows.join(rows.groupBy(KEY).agg(*[agg.alias(name) for name, agg in aggs.items()]), KEY, "left").drop(KEY)
+
+
 def only_matching(df: DataFrame, keys: DataFrame, k: list[str], how: str) -> DataFrame:
     """left_semi / left_anti on key columns."""
     renamed = keys.select(*[F.col(name).alias(f"_r_{name}") for name in k])

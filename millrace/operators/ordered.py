@@ -4,7 +4,7 @@ A plain ordered window sends every row of a key to one task, which fails when a
 holds a large share of the table. Each function here takes ``chunk``: a column that never
 decreases along the order (a month, a day, a value band). Rows are windowed inside
 (key, chunk); one summary row per (key, chunk) is carried along the chunks; the carried value
-is joined back. Results equal the plain window. With ``chunk=None`` the plain window is used,
+is joined back. Results equal the plain window. ``chunk`` has no default: ``UNCHUNKED`` asks for the plain window,
 for inputs whose groups are bounded by construction (for example monthly aggregates).
 
 Key and chunk travel as one struct column: the local window, the summary and the join all partition by it, so
@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from millrace.operators.keyed import attach, order_struct
 
 GROUP, CHUNK = "_group", "_chunk"
+UNCHUNKED = None
 BEFORE = (Window.unboundedPreceding, -1)
 AFTER = (1, Window.unboundedFollowing)
 SO_FAR = (Window.unboundedPreceding, Window.currentRow)
@@ -51,7 +52,7 @@ def carry_over(rows: DataFrame, summaries: dict[str, Column], carried: dict[str,
     return per_chunk.select(GROUP, *[col.alias(name) for name, col in carried.items()])
 
 
-def lag_delta(df: DataFrame, k: list[str], o: list[str], cols: dict[str, str], chunk: Column | None = None) -> DataFrame:
+def lag_delta(df: DataFrame, k: list[str], o: list[str], cols: dict[str, str], chunk: Column | None) -> DataFrame:
     """Add for each out -> col the value of col on the previous row of the key."""
     values = F.struct(*[F.col(col).alias(out) for out, col in cols.items()])
     if chunk is None:
@@ -64,7 +65,7 @@ def lag_delta(df: DataFrame, k: list[str], o: list[str], cols: dict[str, str], c
     return out.select(*df.columns, *[F.col(f"_prev.{name}").alias(name) for name in cols])
 
 
-def lead_values(df: DataFrame, k: list[str], o: list[str], cols: dict[str, str], chunk: Column | None = None) -> DataFrame:
+def lead_values(df: DataFrame, k: list[str], o: list[str], cols: dict[str, str], chunk: Column | None) -> DataFrame:
     """Add for each out -> col the value of col on the next row of the key."""
     values = F.struct(*[F.col(col).alias(out) for out, col in cols.items()])
     if chunk is None:
@@ -77,7 +78,7 @@ def lead_values(df: DataFrame, k: list[str], o: list[str], cols: dict[str, str],
     return out.select(*df.columns, *[F.col(f"_next.{name}").alias(name) for name in cols])
 
 
-def forward_fill(df: DataFrame, k: list[str], o: list[str], col: str, out: str, chunk: Column | None = None) -> DataFrame:
+def forward_fill(df: DataFrame, k: list[str], o: list[str], col: str, out: str, chunk: Column | None) -> DataFrame:
     """Last non-null value of col up to and including the row."""
     if chunk is None:
         return df.withColumn(out, F.last(col, True).over(plain_window(k, o).rowsBetween(*SO_FAR)))
@@ -88,7 +89,7 @@ def forward_fill(df: DataFrame, k: list[str], o: list[str], col: str, out: str,
     return local.join(carry, GROUP, "left").select(*df.columns, F.coalesce("_inner", "_from_before").alias(out))
 
 
-def backward_fill(df: DataFrame, k: list[str], o: list[str], col: str, out: str, chunk: Column | None = None) -> DataFrame:
+def backward_fill(df: DataFrame, k: list[str], o: list[str], col: str, out: str, chunk: Column | None) -> DataFrame:
     """First non-null value of col from the row on."""
     if chunk is None:
         return df.withColumn(out, F.first(col, True).over(plain_window(k, o).rowsBetween(*FROM_HERE)))
@@ -99,7 +100,7 @@ def backward_fill(df: DataFrame, k: list[str], o: list[str], col: str, out: str,
     return local.join(carry, GROUP, "left").select(*df.columns, F.coalesce("_inner", "_from_after").alias(out))
 
 
-def running_total(df: DataFrame, k: list[str], o: list[str], col: str, out: str, chunk: Column | None = None) -> DataFrame:
+def running_total(df: DataFrame, k: list[str], o: list[str], col: str, out: str, chunk: Column | None) -> DataFrame:
     """Sum of col over the key's rows up to and including the row; nulls add nothing."""
     if chunk is None:
         return df.withColumn(out, F.sum(col).over(plain_window(k, o).rowsBetween(*SO_FAR)))
@@ -114,7 +115,7 @@ def running_total(df: DataFrame, k: list[str], o: list[str], col: str, out: str,
 
 
 def sequence_number_in_group(
-    df: DataFrame, k: list[str], o: list[str], cond: Column, out: str, chunk: Column | None = None
+    df: DataFrame, k: list[str], o: list[str], cond: Column, out: str, chunk: Column | None
 ) -> DataFrame:
     """Number the rows of a key that satisfy cond 1, 2, ...; other rows get null."""
     flagged = df.withColumn("_hit", F.when(cond, F.lit(1)).otherwise(F.lit(0)))
@@ -123,7 +124,7 @@ def sequence_number_in_group(
 
 
 def status_duration(
-    df: DataFrame, k: list[str], ts: str, state: str, tiebreak: list[str], chunk: Column | None = None
+    df: DataFrame, k: list[str], ts: str, state: str, tiebreak: list[str], chunk: Column | None
 ) -> DataFrame:
     """Next non-null state and its time, and the seconds spent in the current state."""
     stated = df.filter(F.col(state).isNotNull())
@@ -154,7 +155,7 @@ def order_statistics(df: DataFrame, k: list[str], col: str, points: dict[str, fl
     return sized.groupBy(*k).agg(*picks).select(*k, *outs)
 
 
-def rank_in_group(df: DataFrame, k: list[str], col: str, out: str, chunk: Column | None = None) -> DataFrame:
+def rank_in_group(df: DataFrame, k: list[str], col: str, out: str, chunk: Column | None) -> DataFrame:
     """rank() of col inside the key: 1 + rows with a smaller value, from counts per value."""
     counts = df.groupBy(*k, col).agg(F.count(F.lit(1)).alias("_n"))
     ranked = running_total(counts, k, [col], "_n", "_upto", chunk)

@@ -122,10 +122,13 @@ def dq_fewer_rows_than(df: DataFrame, other: DataFrame) -> DataFrame:
 
 
 def dq_mutually_exclusive_ranges(
-    df: DataFrame, lower: str, upper: str, partition_by: list[str] = (), gaps: str = "allowed",
-    zero_length_range_allowed: bool = False, chunk: Column | None = None,
+    df: DataFrame, lower: str, upper: str, partition_by: list[str], chunk: Column | None, gaps: str = "allowed",
+    zero_length_range_allowed: bool = False,
 ) -> DataFrame:
-    """Ranges that are empty, inverted, overlap the next one, or break the gap rule."""
+    """Ranges that are empty, inverted, overlap the next one, or break the gap rule.
+
+    ``chunk`` spreads a long partition over tasks (see operators.ordered); UNCHUNKED sorts each partition in one.
+    """
     k = list(partition_by)
     nxt = lead_values(df, k, [lower, upper], {"next_lower": lower}, chunk)
     length_ok = F.col(lower) <= F.col(upper) if zero_length_range_allowed else F.col(lower) < F.col(upper)
@@ -139,9 +142,9 @@ def dq_mutually_exclusive_ranges(
 
 
 def dq_sequential_values(
-    df: DataFrame, col: str, interval: int = 1, datepart: str | None = None, partition_by: list[str] = (), chunk: Column | None = None
+    df: DataFrame, col: str, partition_by: list[str], chunk: Column | None, interval: int = 1, datepart: str | None = None
 ) -> DataFrame:
-    """Rows that do not follow their predecessor by exactly the interval."""
+    """Rows that do not follow their predecessor by exactly the interval. ``chunk`` as in dq_mutually_exclusive_ranges."""
     prev = lag_delta(df, list(partition_by), [col], {f"previous_{col}": col}, chunk)
     before = F.col(f"previous_{col}")
     if datepart:

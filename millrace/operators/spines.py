@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from millrace.functions import columns as C
 from millrace.functions.dates import add_part, boundary_diff
 from millrace.operators.keyed import attach
-from millrace.operators.ordered import running_total
+from millrace.sources.session import cut_lineage
 
 
 def date_spine(spark: SparkSession, part: str, start: str, end: str) -> DataFrame:
@@ -44,14 +44,19 @@ def assign_unified_ids(df: DataFrame, choices: list[tuple[str, str]], out: str)
     return df.withColumn(out, F.coalesce(*[F.md5(F.concat(F.lit(p), F.col(x).cast("string"))) for p, x in choices]))
 
 
-def dense_ids_for_labels(df: DataFrame, col: str, out: str, prefix: int = 2) -> DataFrame:
+def dense_ids_for_labels(df: DataFrame, col: str, out: str) -> DataFrame:
     """Stable ids 1.. in label order, numbered over the distinct labels.
 
-    Labels are numbered inside groups that share a text prefix, plus the count of all labels in
-    earlier groups, so that not even the label list passes through one task.
+    The labels are range-partitioned and written once with their partition; each is numbered inside its partition, plus the
+    labels of all partitions before. Labels that share a long prefix spread as evenly as others.
     """
-    labels = df.select(col).filter(F.col(col).isNotNull()).distinct().withColumn("_one", F.lit(1))
-    ids = running_total(labels, [], [col], "_one", out, F.substring(col, 1, prefix)).drop("_one")
+    ranged = df.select(col).filter(F.col(col).isNotNull()).distinct().repartitionByRange(col)
+    labels = cut_lineage(ranged.withColumn("_part", F.spark_partition_id()), "labels")
+    sizes = labels.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    # One row per partition: the only window without a key.
+    before = sizes.select("_part", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
+    inside = labels.withColumn("_rank", F.row_number().over(Window.partitionBy("_part").orderBy(col)))
+    ids = inside.join(before, "_part").select(col, (F.col("_rank") + F.col("_before")).cast("long").alias(out))
     return attach(df, ids, [col])
 
 

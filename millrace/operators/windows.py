@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.operators.keyed import attach, order_struct
+from millrace.operators.keyed import KEY, attach, attach_aggs, order_struct, packed
 from millrace.operators.ordered import running_total
 
 
@@ -36,11 +36,11 @@ def topk_per_group(df: DataFrame, k: list[str], o: list[str], n: int, out: str =
 
 def rank_first(df: DataFrame, k: list[str], o: list[str]) -> DataFrame:
     """All rows that share the first position of their key (ties kept)."""
-    best = df.groupBy(*k).agg(F.min(order_struct(o)).alias("_first"))
-    return attach(df, best, k).filter(order_struct(o) == F.col("_first")).drop("_first")
+    best = attach_aggs(df, k, {"_first": F.min(order_struct(o))})
+    return best.filter(order_struct(o) == F.col("_first")).drop("_first")
 
 
-def dense_rank_group(df: DataFrame, k: list[str], col: str, out: str, chunk: Column | None = None) -> DataFrame:
+def dense_rank_group(df: DataFrame, k: list[str], col: str, out: str, chunk: Column | None) -> DataFrame:
     """Dense rank of col inside the key: the distinct values are numbered (along chunks) and joined back."""
     values = df.select(*k, col).distinct().withColumn("_one", F.lit(1))
     return attach(df, running_total(values, k, [col], "_one", out, chunk).drop("_one"), [*k, col])
@@ -50,23 +50,23 @@ def first_last_full_frame(
     df: DataFrame, k: list[str], o: list[str], cols: list[str], ignore_nulls: bool = True
 ) -> DataFrame:
     """first_<col> and last_<col> over all rows of the key, attached to every row."""
-    aggs = []
+    aggs = {}
     for col in cols:
         order = F.when(F.col(col).isNotNull(), order_struct(o)) if ignore_nulls else order_struct(o)
-        aggs += [F.min_by(col, order).alias(f"first_{col}"), F.max_by(col, order).alias(f"last_{col}")]
-    return attach(df, df.groupBy(*k).agg(*aggs), k)
+        aggs |= {f"first_{col}": F.min_by(col, order), f"last_{col}": F.max_by(col, order)}
+    return attach_aggs(df, k, aggs)
 
 
 def nth_event(df: DataFrame, k: list[str], o: list[str], cols: dict[str, str], n: int) -> DataFrame:
     """Values of the key's n-th row (null when there are fewer), attached to every row."""
-    picked = first_rows(df, k, o, n, "_rn").filter(F.col("_rn") == n)
-    picked = picked.select(*k, *[F.col(col).alias(out) for out, col in cols.items()])
-    return attach(df, picked, k)
+    rows = packed(df, k)
+    picked = first_rows(rows, [KEY], o, n, "_rn").filter(F.col("_rn") == n)
+    return rows.join(picked.select(KEY, *[F.col(col).alias(out) for out, col in cols.items()]), KEY, "left").drop(KEY)
 
 
 def partition_aggs(df: DataFrame, k: list[str], aggs: dict[str, Column]) -> DataFrame:
     """Aggregates over all rows of the key, attached to every row."""
-    return attach(df, df.groupBy(*k).agg(*[agg.alias(name) for name, agg in aggs.items()]), k)
+    return attach_aggs(df, k, aggs)
 
 
 def moving_sum_rows(
@@ -85,8 +85,8 @@ def window_over_aggregate(df: DataFrame, k: list[str], aggs: dict[str, Column],
 
 def is_last_flag(df: DataFrame, k: list[str], o: list[str], out: str = "is_last") -> DataFrame:
     """True on the last row of the key in a total order."""
-    last = df.groupBy(*k).agg(F.max(order_struct(o)).alias("_last"))
-    return attach(df, last, k).withColumn(out, order_struct(o) == F.col("_last")).drop("_last")
+    last = attach_aggs(df, k, {"_last": F.max(order_struct(o))})
+    return last.withColumn(out, order_struct(o) == F.col("_last")).drop("_last")
 
 
 def deterministic_pick(df: DataFrame, k: list[str]) -> DataFrame:

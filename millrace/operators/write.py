@@ -50,6 +50,24 @@ def incremental_merge(
     return only_matching(target, new, k, "left_anti").unionByName(new)
 
 
+def merged_partitions(
+    target: DataFrame, new: DataFrame, k: list[str], part: list[str], watermarks: list[str] = (), latest: list[str] | None = None
+) -> DataFrame:
+    """incremental_merge, reduced to the partitions it changes: those new rows land in and those a replaced row leaves.
+
+    A partition that loses its last row keeps no file to be replaced by; such rows are rare (a key that moves), and are listed by ``emptied_partitions``.
+    """
+    state = incremental_merge(target, new, k, watermarks, latest)
+    changed = new.select(*part).union(only_matching(target, new, k, "left_semi").select(*part)).distinct()
+    return only_matching(state, changed, part, "left_semi")
+
+
+def emptied_partitions(target: DataFrame, new: DataFrame, k: list[str], part: list[str]) -> DataFrame:
+    """Partitions of the target that hold no row after the merge."""
+    left = only_matching(target, new, k, "left_anti").select(*part).union(new.select(*part)).distinct()
+    return only_matching(target.select(*part).distinct(), left, part, "left_anti")
+
+
 def trailing_window_reload(
     target: DataFrame, source: DataFrame, k: list[str], ts: str, days: int, as_of: str, latest: list[str]
 ) -> DataFrame:

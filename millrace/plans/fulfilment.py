@@ -24,6 +24,8 @@ CARRIER_HAS_IT = ["In Transit", "Acceptance scan", "Arrival scan", "Arrived at d
 
 # Hours of grace for the supplier's hand-over, days until an unreported delivery counts as done.
 GRACE_HOURS, ASSUMED_DELIVERY_DAYS = 12, 7
+# The technology whose sample deals have a promise date of their own, and since when.
+OWN_PROMISE_TECHNOLOGY, OWN_PROMISE_DEAL, OWN_PROMISE_SINCE = "3", "tooling & samples", "2024-10-01"
 SHIPPED_STATUSES = ["completed", "delivered", "disputed", "shipped"]
 
 
@@ -45,12 +47,31 @@ def on_time(promised: Column, happened: Column, status: Column, as_of: str, due:
     ])
 
 
+def on_time_label(promised: Column, happened: Column, status: Column, as_of: str) -> Column:
+    now = F.lit(as_of).cast("timestamp_ntz")
+    unjudged = (promised > now) | promised.isNull() | (status.isin(SHIPPED_STATUSES) & happened.isNull()) | (status == "canceled")
+    overdue = happened.isNull() & (add_part(promised, 1, "day") < day(now))
+    return ladder([(unjudged, F.lit(None).cast("boolean")), (happened > promised, False), (happened <= promised, True), (overdue, False)])
+
+
 def delay_days(promised: Column | str, happened: Column | str) -> Column:
     return F.round(boundary_diff(promised, happened, "minute") / F.lit(1440), 1)
 
 
-def on_time_rate(orders: DataFrame, delays: DataFrame, as_of: str) -> DataFrame:
-    """On-time flags to the customer and by the supplier (with grace), delays in days, and delay notices per order."""
+def on_time_by_own_promise(regular: Column, as_of: str, since: str) -> Column:
+    """The supplier's flag where a technology has its own promise date: orders from before it was kept are not judged, sample deals are judged by it, without grace."""
+    now, own = F.lit(as_of).cast("timestamp_ntz"), F.col("own_promise_at")
+    special, shipped = F.col("technology_id") == OWN_PROMISE_TECHNOLOGY, F.col("shipped_at")
+    sample = special & (F.lower("deal_type") == OWN_PROMISE_DEAL) & (F.col("status") != "canceled")
+    by_own = F.when(shipped <= own, True).when(shipped > own, False).when(shipped.isNull() & (add_part(own, 1, "day") < now), False)
+    return F.when(special & (F.col("created_at") < F.lit(since).cast("timestamp_ntz")), F.lit(None).cast("boolean")).when(sample, by_own).otherwise(regular)
+
+
+def on_time_rate(orders: DataFrame, delays: DataFrame, as_of: str, own_promise_since: str = OWN_PROMISE_SINCE) -> DataFrame:
+    """On-time flags to the customer and by the supplier (with grace), delays in days, and delay notices per order.
+
+    The flag for the shipping label is judged as soon as the promise has passed, and overdue by whole days.
+    """
     notices = delays.groupBy("order_id").agg(
         F.count(F.lit(1)).alias("n_delays"), F.bool_or(F.col("liability") == "supplier").alias("has_supplier_liability"),
         F.min("notified_at").alias("first_delay_at"), F.max("new_shipping_at").alias("latest_new_shipping_at"),
@@ -61,8 +82,8 @@ def on_time_rate(orders: DataFrame, delays: DataFrame, as_of: str) -> DataFrame:
         "order_id",
         on_time(promised, F.col("shipped_to_customer_at"), status, as_of, hold=F.col("on_customer_hold")).alias("on_time_to_customer"),
         on_time(F.col("expected_at"), F.col("shipped_to_customer_at"), status, as_of, hold=F.col("on_customer_hold")).alias("on_time_expected"),
-        on_time(supplier, F.col("shipped_at"), status, as_of, due=due).alias("on_time_by_supplier"),
-        on_time(supplier, F.col("label_at"), status, as_of).alias("on_time_label"),
+        on_time_by_own_promise(on_time(supplier, F.col("shipped_at"), status, as_of, due=due), as_of, own_promise_since).alias("on_time_by_supplier"),
+        on_time_label(supplier, F.col("label_at"), status, as_of).alias("on_time_label"),
         delay_days(promised, "shipped_to_customer_at").alias("delay_to_customer_days"), delay_days(due, "shipped_at").alias("delay_by_supplier_days"),
     )
     return flagged.join(notices, "order_id", "left")

@@ -278,6 +278,8 @@ def order_timeline(t: Frames) -> DataFrame:
         F.when(F.col("o_orderkey") % 29 != 0, F.col("promised_at")).alias("promised_customer_at"), add_part("promised_at", F.col("o_orderkey") % 4, "day").alias("expected_at"),
         F.when(F.col("o_orderkey") % 17 != 0, F.col("shipped_at")).alias("shipped_at"), add_part("shipped_at", -(F.col("o_orderkey") % 3), "day").alias("label_at"),
         F.when(F.col("cancelled_at").isNotNull(), "canceled").when(F.col("delivered_at").isNotNull(), "delivered").otherwise("in_production").alias("status"),
+        F.when(F.col("o_orderkey") % 11 == 0, "3").otherwise((F.col("o_orderkey") % 3).cast("string")).alias("technology_id"),
+        F.when(F.col("o_orderkey") % 22 == 0, "Tooling & Samples").otherwise("standard").alias("deal_type"), F.when(F.col("o_orderkey") % 4 != 0, add_part("created_at", 6, "day")).alias("own_promise_at"),
         (F.col("o_orderkey") % 31 == 0).alias("on_customer_hold"), "delivered_at", (F.col("o_orderkey") % 2 == 1).alias("is_cross_docking"),
     )
     docked = base.withColumn("to_cross_dock_at", F.when(F.col("is_cross_docking"), add_part("shipped_at", k % 4, "day")))

@@ -54,8 +54,19 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def run_folder(spark: SparkSession) -> str:
+    """One folder for everything that this application writes on the way to its results."""
+    return f"{shared_folder(spark).rstrip('/')}/millrace-{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return f"{run_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def remove_scratch(spark: SparkSession) -> None:
+    """Delete what the application's jobs have left in the shared folder. To be called once results are written: frames that were not written yet read from there."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(run_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:

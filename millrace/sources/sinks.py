@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.operators.write import merged_partitions
+from millrace.sources.session import cut_lineage
+
 
 def write_full_refresh(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
     """Rebuild a whole table and hand back a scan of what was written."""
@@ -17,6 +20,15 @@ def overwrite_partitions(df: DataFrame, path: str, partition_by: tuple[str, ...]
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
 
 
+def merge_partitions(path: str, new: DataFrame, k: list[str], part: list[str], **merge) -> None:
+    """Upsert into a partitioned table on disk. Only files of partitions that change are written; those of all others stay as they are.
+
+    Keys must stay in their partition: a dynamic overwrite cannot empty one (``emptied_partitions`` tells beforehand).
+    """
+    target = new.sparkSession.read.parquet(path).select(*new.columns)
+    overwrite_partitions(cut_lineage(merged_partitions(target, new, k, part, **merge), "merged"), path, tuple(part))
+
+
 def export_parquet(df: DataFrame, root: str, table: str, as_of: str, max_records: int = 1_000_000) -> str:
     """Dated export folder with a cap on records per file. Returns the folder written."""
     stamp = "".join(ch for ch in as_of if ch.isdigit())

@@ -1,11 +1,14 @@
 import pytest
 
-from millrace.sources.session import local_session
+from pyspark.sql import SparkSession
 
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    session = local_session(8, shuffle_partitions=4, app="tests")
+    # A session as a user has it: none of the library's own settings.
+    builder = SparkSession.builder.master("local[8]").appName("tests").config("spark.sql.shuffle.partitions", "4").config("spark.ui.enabled", "false")
+    session = builder.config("spark.ui.showConsoleProgress", "false").config("spark.driver.memory", "8g").getOrCreate()
+    session.sparkContext.setLogLevel("ERROR")
     if not session.conf.get("spark.checkpoint.dir", None):
         session.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
     yield session

@@ -141,7 +141,7 @@ def test_rolling_distinct_counts_by_hand(spark):
 
 def test_dense_ids_follow_label_order(spark):
     df = spark.createDataFrame([("b",), ("a",), ("b",), ("ca",), (None,), ("cb",)], "x string")
-    assert rows(N.dense_ids_for_labels(df, "x", "n", prefix=1)) == [(None, None), ("a", 1), ("b", 2), ("b", 2), ("ca", 3), ("cb", 4)]
+    assert rows(N.dense_ids_for_labels(df, "x", "n")) == [(None, None), ("a", 1), ("b", 2), ("b", 2), ("ca", 3), ("cb", 4)]
 
 
 @pytest.mark.parametrize("unit,n,want", [("year", 2, 3), ("month", 1, 1)])

@@ -30,25 +30,25 @@ def chunk():
 
 def test_lag_and_lead(skewed):
     for fn in (O.lag_delta, O.lead_values):
-        plain = fn(skewed, ["k"], ["t", "id"], {"x": "v", "y": "id"})
+        plain = fn(skewed, ["k"], ["t", "id"], {"x": "v", "y": "id"}, O.UNCHUNKED)
         assert rows(fn(skewed, ["k"], ["t", "id"], {"x": "v", "y": "id"}, chunk())) == rows(plain)
 
 
 def test_fills(skewed):
     for fn in (O.forward_fill, O.backward_fill):
-        assert rows(fn(skewed, ["k"], ["t", "id"], "v", "x", chunk())) == rows(fn(skewed, ["k"], ["t", "id"], "v", "x"))
+        assert rows(fn(skewed, ["k"], ["t", "id"], "v", "x", chunk())) == rows(fn(skewed, ["k"], ["t", "id"], "v", "x", O.UNCHUNKED))
 
 
 def test_running_total_and_sequence(skewed):
-    assert rows(O.running_total(skewed, ["k"], ["t", "id"], "v", "x", chunk())) == rows(O.running_total(skewed, ["k"], ["t", "id"], "v", "x"))
+    assert rows(O.running_total(skewed, ["k"], ["t", "id"], "v", "x", chunk())) == rows(O.running_total(skewed, ["k"], ["t", "id"], "v", "x", O.UNCHUNKED))
     cond = F.col("id") % 2 == 0
     got = O.sequence_number_in_group(skewed, ["k"], ["t", "id"], cond, "n", chunk())
-    assert rows(got) == rows(O.sequence_number_in_group(skewed, ["k"], ["t", "id"], cond, "n"))
+    assert rows(got) == rows(O.sequence_number_in_group(skewed, ["k"], ["t", "id"], cond, "n", O.UNCHUNKED))
 
 
 def test_no_key_at_all(skewed):
     got = O.running_total(skewed, [], ["t", "id"], "v", "x", chunk())
-    assert rows(got) == rows(O.running_total(skewed, [], ["t", "id"], "v", "x"))
+    assert rows(got) == rows(O.running_total(skewed, [], ["t", "id"], "v", "x", O.UNCHUNKED))
 
 
 def test_rank_in_group(skewed):
@@ -82,7 +82,7 @@ def test_rank_windows(skewed):
     first = skewed.withColumn("r", F.rank().over(w.orderBy("t"))).filter("r = 1").drop("r")
     assert rows(W.rank_first(skewed, ["k"], ["t"])) == rows(first)
     dense = skewed.withColumn("d", F.dense_rank().over(w.orderBy("t")))
-    assert rows(W.dense_rank_group(skewed, ["k"], "t", "d")) == rows(dense)
+    assert rows(W.dense_rank_group(skewed, ["k"], "t", "d", O.UNCHUNKED)) == rows(dense)
     assert rows(W.dense_rank_group(skewed, ["k"], "t", "d", chunk())) == rows(dense)
     last = skewed.withColumn("is_last", F.row_number().over(w.orderBy(F.desc("t"), F.desc("id"))) == 1)
     assert rows(W.is_last_flag(skewed, ["k"], ["t", "id"])) == rows(last)
@@ -94,3 +94,12 @@ def test_rank_windows(skewed):
 def test_first_rows_prune_before_the_shuffle(skewed):
     plan = W.dedupe_latest(skewed, ["k"], ["-t", "id"])._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
+
+
+def test_labels_that_share_a_prefix_are_numbered_over_many_partitions(spark):
+    from millrace.operators.spines import dense_ids_for_labels
+
+    labels = [f"a common prefix {i:05d}" for i in range(900)] + [None, "zz", ""]
+    df = spark.createDataFrame([(x,) for x in labels * 2], "name string")
+    want = {x: i + 1 for i, x in enumerate(sorted({x for x in labels if x is not None}))} | {None: None}
+    assert {r.name: r.n for r in dense_ids_for_labels(df, "name", "n").collect()} == want

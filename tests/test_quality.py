@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.operators import quality as Q
+from millrace.operators.ordered import UNCHUNKED
 from tests.helpers import d, rows, ts
 
 
@@ -66,20 +67,20 @@ def test_exclusive_ranges(spark, gaps, zero, failing):
     spans = [(1, 3, "2020-05-06", "2020-05-07"), (2, 3, "2020-05-08", "2020-05-08"), (3, 3, "2020-05-09", "2020-05-10")]
     df = frame(spark, [(i, k, d(a), d(b)) for i, k, a, b in spans], "i int, k int, a date, b date")
     for chunk in (None, F.trunc("a", "month")):
-        got = Q.dq_mutually_exclusive_ranges(df, "a", "b", ["k"], gaps, zero, chunk)
+        got = Q.dq_mutually_exclusive_ranges(df, "a", "b", ["k"], chunk, gaps, zero)
         assert [r[0] for r in rows(got, "i")] == failing
 
 
 def test_overlap_fails(spark):
     df = frame(spark, [(1, 5), (4, 8), (8, 9)], "a int, b int")
-    assert rows(Q.dq_mutually_exclusive_ranges(df, "a", "b"), "a") == [(1,)]
+    assert rows(Q.dq_mutually_exclusive_ranges(df, "a", "b", [], UNCHUNKED), "a") == [(1,)]
 
 
 def test_sequential_values(spark):
     evens = frame(spark, [(x,) for x in (2, 4, 6, 8, 12)], "x int")
-    assert rows(Q.dq_sequential_values(evens, "x", 2, chunk=F.floor(F.col("x") / F.lit(5))), "x") == [(12,)]
+    assert rows(Q.dq_sequential_values(evens, "x", [], F.floor(F.col("x") / F.lit(5)), 2), "x") == [(12,)]
     hours = frame(spark, [(ts(f"2021-01-01 0{h}:00:00"),) for h in range(4)], "t timestamp_ntz")
-    assert Q.dq_sequential_values(hours, "t", 1, "hour").count() == 0
+    assert Q.dq_sequential_values(hours, "t", [], UNCHUNKED, 1, "hour").count() == 0
 
 
 def test_recency_and_freshness(spark):

@@ -1,12 +1,14 @@
 """Write modes and snapshots: idempotence, incremental equals full, exclusive versions."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
 from millrace.operators import quality as Q
 from millrace.operators import write as M
 from millrace.sources import sinks
-from millrace.sources.session import cut_lineage, scratch_path
+from millrace.sources.session import cut_lineage, remove_scratch, run_folder, scratch_path
 from tests.helpers import d, rows, ts
 
 
@@ -84,7 +86,7 @@ def test_snapshot_life_of_a_key(spark):
         (3, "c", ts("2020-01-01"), ts("2020-03-01")), (3, "c3", ts("2020-04-01"), None),
     ], key=lambda r: tuple((x is not None, str(x)) for x in r))
     closed = history.withColumn("valid_to", F.coalesce("valid_to", F.lit("9999-01-01").cast("timestamp_ntz")))
-    assert Q.dq_mutually_exclusive_ranges(closed, "valid_from", "valid_to", ["k"]).count() == 0
+    assert Q.dq_mutually_exclusive_ranges(closed, "valid_from", "valid_to", ["k"], None).count() == 0
 
 
 def test_snapshot_check_is_null_safe(spark):
@@ -110,3 +112,24 @@ def test_sinks_round_trip(spark, log):
     out = sinks.export_parquet(log.coalesce(1), scratch_path(spark, "e"), "log", "2024-02-03 04:05:06", max_records=7)
     assert out.endswith("/log/20240203040506") and len(spark.read.parquet(out).inputFiles()) == 3
     assert sinks.backup_table(log, "2024-02-03").columns[0] == "backup_date"
+
+
+def test_merge_writes_only_the_partitions_it_changes(spark, tmp_path):
+    path = str(tmp_path / "t")
+    old = spark.createDataFrame([(i, i % 4, "old") for i in range(40)], "k long, p long, v string")
+    old.repartition(1).write.partitionBy("p").parquet(path)
+    files = lambda p: sorted(f.name for f in (tmp_path / "t" / f"p={p}").glob("*.parquet"))
+    before = {p: files(p) for p in range(4)}
+    new = spark.createDataFrame([(1, 1, "new"), (41, 1, "new"), (43, 3, "new")], "k long, p long, v string")
+    sinks.merge_partitions(path, new, ["k"], ["p"])
+    after = {p: files(p) for p in range(4)}
+    assert after[0] == before[0] and after[2] == before[2] and after[1] != before[1] and after[3] != before[3]
+    got = {r.k: r.v for r in spark.read.parquet(path).collect()}
+    assert len(got) == 42 and list(got.values()).count("new") == 3
+
+
+def test_nothing_is_left_in_the_shared_folder(spark):
+    cut_lineage(spark.range(3), "left")
+    assert os.path.isdir(run_folder(spark).removeprefix("file:"))
+    remove_scratch(spark)
+    assert not os.path.exists(run_folder(spark).removeprefix("file:"))
