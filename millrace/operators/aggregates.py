@@ -95,8 +95,9 @@ def scalar_subquery_agg(df: DataFrame, sub: DataFrame) -> DataFrame:
 
 def ratio_to_report(df: DataFrame, part: list[str], label: list[str], col: str, out: str) -> DataFrame:
     """Share of each label in its partition's total; both sums are partial aggregates."""
-    sums = packed(df, part).groupBy(KEY, *label).agg(F.sum(col).alias(col))
-    totals = sums.groupBy(KEY).agg(F.sum(col).alias("_total"))
+    rows = packed(df, part)
+    sums = rows.groupBy(KEY, *label).agg(F.sum(col).alias(col))
+    totals = rows.groupBy(KEY).agg(F.sum(col).alias("_total"))
     return sums.join(totals, KEY, "left").select(f"{KEY}.*", *label, col, (F.col(col) / F.col("_total")).alias(out))
 
 

@@ -37,7 +37,8 @@ def topk_per_group(df: DataFrame, k: list[str], o: list[str], n: int, out: str =
 def rank_first(df: DataFrame, k: list[str], o: list[str]) -> DataFrame:
     """All rows that share the first position of their key (ties kept)."""
     best = attach_aggs(df, k, {"_first": F.min(order_struct(o))})
-    return best.filter(order_struct(o) == F.col("_first")).drop("_first")
+    # "Not after the first" keeps the order out of the join keys, so the rows need no shuffle by it.
+    return best.filter(order_struct(o) <= F.col("_first")).drop("_first")
 
 
 def dense_rank_group(df: DataFrame, k: list[str], col: str, out: str, chunk: Column | None) -> DataFrame:
