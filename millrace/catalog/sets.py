@@ -108,25 +108,18 @@ def dense_ids_for_labels(t):
 
 
 @register("nearest_by_distance", """
-    with served as (
-      select o_custkey, l_suppkey, (c_nationkey * 7 + o_custkey % 5) % 120 - 60.0::double as lat1, (c_nationkey * 13 + o_custkey % 11) % 340 - 170.0::double as lon1,
-             (s_nationkey * 7 + l_suppkey % 5) % 120 - 60.0::double as lat2, (s_nationkey * 13 + l_suppkey % 11) % 340 - 170.0::double as lon2
-      from lineitem join orders on o_orderkey = l_orderkey join customer on c_custkey = o_custkey join supplier on s_suppkey = l_suppkey),
-    measured as (select o_custkey, l_suppkey, round(2 * 3961 * asin(sqrt(power(sin(radians(lat2 - lat1) / 2), 2) +
-             cos(radians(lat1)) * cos(radians(lat2)) * power(sin(radians(lon2 - lon1) / 2), 2))) * 1.60934::double, 6) as distance from served)
-    select o_custkey, distance, l_suppkey from (select *, row_number() over (partition by o_custkey order by distance, l_suppkey) as rn from measured) where rn = 1""")
+    with people as (select c_custkey, (c_nationkey * 7 + c_custkey % 5) % 120 - 60.0::double as lat1, (c_nationkey * 13 + c_custkey % 11) % 340 - 170.0::double as lon1 from customer),
+    places as (select s_suppkey, (s_nationkey * 7 + s_suppkey % 5) % 120 - 60.0::double as lat2, (s_nationkey * 13 + s_suppkey % 11) % 340 - 170.0::double as lon2 from supplier where s_nationkey % 6 <> 0),
+    measured as (select c_custkey, s_suppkey, round(2 * 3961 * asin(sqrt(power(sin(radians(lat2 - lat1) / 2), 2) +
+             cos(radians(lat1)) * cos(radians(lat2)) * power(sin(radians(lon2 - lon1) / 2), 2))) * 1.60934::double, 6) as distance from people cross join places)
+    select c_custkey, distance, s_suppkey from (select *, row_number() over (partition by c_custkey order by distance, s_suppkey) as rn from measured) where rn = 1""")
 def nearest_by_distance(t):
     def place(nation, key, lat, lon):
         return {lat: (F.col(nation) * 7 + F.col(key) % 5) % 120 - F.lit(60.0), lon: (F.col(nation) * 13 + F.col(key) % 11) % 340 - F.lit(170.0)}
 
-    served = (
-        t["lineitem"].select("l_orderkey", "l_suppkey").join(t["orders"].select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
-        .select("o_custkey", "l_suppkey").distinct()
-        .join(t["customer"].select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey"))
-        .join(t["supplier"].select("s_suppkey", "s_nationkey"), F.col("l_suppkey") == F.col("s_suppkey"))
-        .withColumns(place("c_nationkey", "o_custkey", "lat1", "lon1") | place("s_nationkey", "l_suppkey", "lat2", "lon2"))
-    )
-    return N.nearest_by_distance(served, ["o_custkey"], "l_suppkey", ("lat1", "lon1"), ("lat2", "lon2"), "km")
+    people = t["customer"].select("c_custkey", "c_nationkey").withColumns(place("c_nationkey", "c_custkey", "lat1", "lon1"))
+    sites = t["supplier"].where("s_nationkey % 6 <> 0").select("s_suppkey", "s_nationkey").withColumns(place("s_nationkey", "s_suppkey", "lat2", "lon2"))
+    return N.nearest_by_distance(people, ["c_custkey"], ("lat1", "lon1"), sites, "s_suppkey", ("lat2", "lon2"), "km")
 
 
 @register("null_safe_totals", """
