@@ -48,6 +48,7 @@ class LineRuns:
         self.spark, self.min_docs, self.min_chars, self.fanout = spark, min_docs, min_chars, fanout
         self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.levels: list[list[DataFrame]] = []
+        self.tables: list[str] = []
 
     def batch_keys(self, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         """One row per key of the batch. Keys are made distinct inside each row, so counting needs no second shuffle."""
@@ -71,11 +72,17 @@ class LineRuns:
         name = f"line_run_{uuid.uuid4().hex}"
         path = scratch_path(self.spark, name)
         keys.write.bucketBy(self.buckets, *HASH).sortBy(*HASH).option("path", path).saveAsTable(name)
+        self.tables.append(name)
         self.levels[level].append(self.spark.table(name))
         if len(self.levels[level]) >= self.fanout:
             runs, self.levels[level] = self.levels[level], []
             self._store(merge(runs), level + 1)
 
+    def close(self) -> None:
+        """Take the runs out of the catalog; their files go with the scratch folder."""
+        while self.tables:
+            self.spark.sql(f"DROP TABLE IF EXISTS {self.tables.pop()}")
+
     def repeated(self) -> DataFrame:
         """The keys that lose lines, with the id that keeps them, written once."""
         runs = [run for level in self.levels for run in level]
@@ -130,7 +137,9 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     runs = LineRuns(docs.sparkSession, min_docs, min_chars, fanout)
     for batch in batches_by_id(docs, batches, id_col):
         runs.add(batch, id_col, text_col)
-    return drop_lines(docs, runs, id_col, text_col)
+    out = drop_lines(docs, runs, id_col, text_col)
+    runs.close()
+    return out
 
 
 def with_kept_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length_col: str = "n_chars", **options) -> DataFrame:
