@@ -26,8 +26,8 @@ from pyspark.sql.types import _parse_datatype_string
 from millrace.llm.rows import hashed, map_rows, shingles, word_hashes, words
 from millrace.sources.session import cut_lineage
 
-VALUES, BAND = 64, 4
-STEPS = (16, 32, 48, 64)
+VALUES, BAND = 96, 4
+STEPS = (16, 32, 48, 64, 80, 96)
 BLOCK, BLOCK_GRAMS = 512, 1_000_000
 
 

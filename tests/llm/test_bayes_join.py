@@ -42,10 +42,10 @@ def result(df):
 
 def test_posterior_bounds():
     fewest = bayes_join.least_matches(0.8, 1e-6)
-    assert list(fewest) == [16, 32, 48, 64] and all(0.3 * n < m < 0.7 * n for n, m in fewest.items())
+    assert list(fewest) == [16, 32, 48, 64, 80, 96] and all(0.3 * n < m < 0.7 * n for n, m in fewest.items())
     assert bayes_join.least_matches(0.8, 0.05)[64] > fewest[64]
     rng = np.random.default_rng(1)
-    assert (rng.binomial(64, 0.8, 200_000) < fewest[64]).mean() < 1e-4
+    assert (rng.binomial(96, 0.8, 200_000) < fewest[96]).mean() < 1e-4
 
 
 def near_copies():
