@@ -49,11 +49,17 @@ def any_value_agg(df: DataFrame, k: list[str], cols: list[str]) -> DataFrame:
 
 
 def listagg_ordered(df: DataFrame, k: list[str], col: str, out: str, sep: str = ", ") -> DataFrame:
-    """Distinct values of a bounded label column as one ordered, separated text per key."""
+    """Distinct values of a bounded label column as one ordered, separated text per key. ``listagg_over`` names the keys that break a bound."""
     labels = df.filter(F.col(col).isNotNull()).select(*k, col).distinct()
     return labels.groupBy(*k).agg(F.array_join(F.array_sort(F.collect_list(col)), sep).alias(out))
 
 
+def listagg_over(df: DataFrame, k: list[str], col: str, most_chars: int) -> DataFrame:
+    """Keys whose distinct values come to more than ``most_chars`` characters, with that number: to be checked before texts are put together."""
+    labels = df.filter(F.col(col).isNotNull()).select(*k, col).distinct()
+    return labels.groupBy(*k).agg(F.sum(F.length(col)).alias("n_chars")).filter(F.col("n_chars") > most_chars)
+
+
 def median_stddev(df: DataFrame, k: list[str], col: str, band: Column, digits: int = 4) -> DataFrame:
     """Exact median and sample standard deviation per key."""
     middle = order_statistics(df, k, col, {"median": 0.5}, band)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,12 +15,16 @@ from millrace.operators.ordered import lag_delta, lead_values, running_total
 from millrace.operators.windows import first_rows
 from millrace.sources.session import cut_lineage
 
-# Words in a carrier message that tell of a delay logistics can resolve.
-ALERT_WORDS = """restriction attention missing company name e number ave contacted investigation message pre funds street about product
-receiving return either begun locate invoice improper authorization oversized overweight require commercial goods identification express claim
-accident situation classify commodity description insufficient breakdown composition itemized original get opened allowed maximum reaching remains
-nees ne detailed ein etc examples gst include registration rfc ssn vat lost redelivery reminder highway state logo f llendorffstr mu end fwy
-importation indicating reason statement stemmons use written vista cave colossal leon ponce fcringer fcrnberg nu thu centre nw form specialized""".split()
+# Words in a carrier message that tell of a delay logistics can resolve. Place names are left to the caller.
+ALERT_WORDS = [
+    "restriction", "attention", "missing", "company", "name", "e", "number", "ave", "contacted", "investigation", "message", "pre",
+    "funds", "street", "about", "product", "receiving", "return", "either", "begun", "locate", "invoice", "improper", "authorization",
+    "oversized", "overweight", "require", "commercial", "goods", "identification", "express", "claim", "accident", "situation", "classify",
+    "commodity", "description", "insufficient", "breakdown", "composition", "itemized", "original", "get", "opened", "allowed", "maximum",
+    "reaching", "remains", "detailed", "etc", "examples", "gst", "include", "registration", "rfc", "ssn", "vat", "lost", "redelivery",
+    "reminder", "highway", "state", "logo", "end", "importation", "indicating", "reason", "statement", "use", "written", "centre", "nw",
+    "form", "specialized",
+]
 STATUS_ALERTS = "delay|external|exception|payment|held|damaged|lost"
 CARRIER_HAS_IT = ["In Transit", "Acceptance scan", "Arrival scan", "Arrived at destination country", "Departure Scan"]
 
@@ -170,7 +176,7 @@ def lateness_decomposition(timeline: DataFrame, components: DataFrame) -> DataFr
     )
 
 
-def tracking_messages(entities: dict[str, DataFrame], chunk: Column) -> DataFrame:
+def tracking_messages(entities: dict[str, DataFrame], chunk: Column, alert_words: Sequence[str] = ALERT_WORDS) -> DataFrame:
     """Carrier messages of several entities: repeats of a day dropped, alerts flagged, numbered, with hours until the next one.
 
     Each: tracking_number, received_at, message_id, location, status, message. The alert words are looked up in
@@ -180,7 +186,7 @@ def tracking_messages(entities: dict[str, DataFrame], chunk: Column) -> DataFram
     out = None
     for entity, df in entities.items():
         judged = df.withColumns({
-            "entity": F.lit(entity), "has_message_alert": text.rlike(f" ({'|'.join(ALERT_WORDS)}) "),
+            "entity": F.lit(entity), "has_message_alert": text.rlike(f" ({'|'.join(alert_words)}) "),
             "has_status_alert": F.lower("status").rlike(STATUS_ALERTS), "_day": day("received_at"), "_digest": F.md5("message"), "_one": F.lit(1),
         }).drop("message")
         part = first_rows(judged, ["tracking_number", "_day", "location", "_digest"], ["received_at", "message_id"]).drop("_day", "_digest")

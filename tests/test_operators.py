@@ -177,3 +177,8 @@ def test_nearest_equals_comparing_all(spark):
     for a in left[:62]:
         near = min(miles(a, b) for b in right if b[0] is not None)
         assert abs(got[a[0]][1] - near) < 1e-5
+
+
+def test_listagg_over_names_the_keys_that_break_the_bound(spark):
+    df = spark.createDataFrame([("a", "xx"), ("a", "xx"), ("a", "yyy"), ("b", "z"), ("c", None)], "k string, v string")
+    assert rows(A.listagg_over(df, ["k"], "v", 4)) == [("a", 5)]
