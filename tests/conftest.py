@@ -13,3 +13,13 @@ def spark(tmp_path_factory):
         session.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
     yield session
     session.stop()
+
+
+@pytest.fixture
+def no_broadcasts(spark):
+    """Joins as they are planned when neither side is small."""
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    yield
+    spark.conf.set(key, before)

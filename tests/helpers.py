@@ -14,3 +14,7 @@ def d(text):
 def rows(df, *cols):
     picked = df.select(*cols) if cols else df
     return sorted([tuple(r) for r in picked.collect()], key=lambda r: tuple((x is not None, str(x)) for x in r))
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()

@@ -6,31 +6,10 @@ import pytest
 
 import __spark_entry__ as entry
 from millrace.catalog import load
+from tests.helpers import plan
 
 SF = "/root/testdata/sf0.001"
 
-WORDS = ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "FlatMapGroups")
-
-
-def plan(df):
-    return df._jdf.queryExecution().executedPlan().toString()
-
-
-@pytest.fixture
-def no_broadcasts(spark):
-    key = "spark.sql.autoBroadcastJoinThreshold"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "-1")
-    yield
-    spark.conf.set(key, before)
-
-
-@pytest.mark.parametrize("name", sorted(load()))
-def test_no_pair_products_and_no_python_rows(spark, no_broadcasts, name):
-    text = plan(load()[name](spark, SF))
-    assert not [word for word in WORDS if word in text]
-
-
 @pytest.mark.parametrize(("name", "most"), [("partition_aggs", 2), ("rank_first", 2), ("is_last_flag", 2), ("first_last_full_frame", 2), ("nth_event", 2), ("ratio_to_report", 3)])
 def test_keyed_aggregates_keep_the_partitioning(spark, no_broadcasts, name, most):
     assert plan(load()[name](spark, SF)).count("Exchange hashpartitioning") <= most
