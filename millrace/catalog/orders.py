@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from millrace.catalog import contacts, documents, fulfilment, sourcing, support
@@ -35,6 +37,18 @@ SIDES = {
     "disputes_and_complaints": (support.disputes_and_complaints, {"disputed_at": "disputed_at", "dispute_resolution": "resolution"}),
 }
 
+SIDE_GROUPS = {
+    "order-documents": ["line_item_rollup", "document_versions", "payment_label", "contribution_margin_per_order", "co2_estimate"],
+    "order-logistics": ["logistics_timeline", "on_time_rate", "geo_resolution"],
+    "order-sourcing": ["auction_funnel", "rfq_funnel", "interactions_per_order", "disputes_and_complaints"],
+}
+
+
+def side(t, name):
+    build, cols = SIDES[name]
+    return build(t).select("order_id", *[F.col(src).alias(out) for out, src in cols.items()])
+
+
 SIDE_SQL = "\n".join(
     f"left join (select order_id, {', '.join(f'{src} as {out}' for out, src in cols.items())} from ({ENTRIES[name].sql})) {name} using (order_id)" for name, (_, cols) in SIDES.items()
 )
@@ -67,10 +81,8 @@ def order_fact_frame(t):
     stages = frames.mart_orders(t).select("order_id", "is_closed", "closed_at", F.when(F.col("order_id") % 13 == 0, add_part("created_at", 2, "day")).alias("cancelled_at"))
     quotes = frames.documents(t).filter("doc_type = 'quote'").groupBy("order_id").agg(F.max(F.struct("revision", "doc_id", "subtotal_cents")).alias("_q"))
     quoted = quotes.select("order_id", F.col("_q.subtotal_cents").alias("quoted_cents"))
-    # every side is a staging table of its own; written once, the assembly's plan stays small
-    sides = cut_all({
-        name: (lambda build=build, cols=cols: build(t).select("order_id", *[F.col(src).alias(out) for out, src in cols.items()])) for name, (build, cols) in SIDES.items()
-    })
+    # Sides that come from the same source are joined in one plan, where they share scans and shuffles, and written once.
+    sides = cut_all({group: (lambda names=names: reduce(lambda a, b: a.join(b, "order_id", "full"), [side(t, name) for name in names])) for group, names in SIDE_GROUPS.items()}, len(SIDE_GROUPS))
     legacy = frames.legacy_orders(t).select(
         (k + 10_000_000).alias("order_id"), F.col("o_custkey").alias("contact_id"), F.col("o_orderdate").alias("created_at"), F.col("o_orderdate").alias("closed_at"),
         F.lit(True).alias("is_closed"), cents("o_totalprice").alias("closed_cents"), "channel",

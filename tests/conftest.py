@@ -1,5 +1,4 @@
 import pytest
-
 from pyspark.sql import SparkSession
 
 
@@ -7,10 +6,12 @@ from pyspark.sql import SparkSession
 def spark(tmp_path_factory):
     # A session as a user has it: none of the library's own settings.
     builder = SparkSession.builder.master("local[8]").appName("tests").config("spark.sql.shuffle.partitions", "4").config("spark.ui.enabled", "false")
-    session = builder.config("spark.ui.showConsoleProgress", "false").config("spark.driver.memory", "8g").getOrCreate()
+    builder = builder.config("spark.ui.showConsoleProgress", "false").config("spark.driver.memory", "8g")
+    session = builder.getOrCreate()
+    if not session.conf.get("spark.checkpoint.dir", None):  # it can only be given when a session is built
+        session.stop()
+        session = builder.config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared"))).getOrCreate()
     session.sparkContext.setLogLevel("ERROR")
-    if not session.conf.get("spark.checkpoint.dir", None):
-        session.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
     yield session
     session.stop()
 
