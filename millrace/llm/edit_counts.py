@@ -10,7 +10,7 @@ null or no edits leave a document as it is; repeated rows are counted each; othe
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import regex
@@ -142,25 +142,31 @@ class Counter:
         return new, redone
 
 
-def build(docs: DataFrame, codec: Codec, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """State of every document: id_col, text, n_tokens, tree."""
+EDITS = "array<struct<start:int,stop:int,new:string>>"
+
+
+def build(docs: DataFrame, codec: Codec, id_col: str = "doc_id", text_col: str = "text", edits_of: Callable[[str], Iterable[tuple[int, int, str]]] | None = None) -> DataFrame:
+    """State of every document: id_col, text, n_tokens, tree; and ``edits``, where ``edits_of`` names the edits of a text."""
     shared = docs.sparkSession.sparkContext.broadcast(codec)
 
     def start():
         counter = Counter(shared.value)
 
         def row(key, text) -> Iterable[tuple]:
-            tree = counter.tree(text or "")
-            return [(key, text or "", tree.total(), tree.packed())]
+            text = text or ""
+            tree = counter.tree(text)
+            state = (key, text, tree.total(), tree.packed())
+            return [state if edits_of is None else (*state, [{"start": s, "stop": e, "new": r} for s, e, r in edits_of(text)])]
 
         return row
 
     source = docs.select(id_col, text_col)
-    return map_rows(source, start, f"`{id_col}` {source.dtypes[0][1]}, text string, n_tokens bigint, tree binary")
+    schema = f"`{id_col}` {source.dtypes[0][1]}, text string, n_tokens bigint, tree binary"
+    return map_rows(source, start, schema if edits_of is None else f"{schema}, edits {EDITS}")
 
 
 def apply_edits(state: DataFrame, codec: Codec, id_col: str = "doc_id", edits_col: str = "edits") -> DataFrame:
-    """The state after the edits of each row (array<struct<start:int,stop:int,new:string>>, in characters of its text), with tokens before and characters encoded again."""
+    """The state after the edits of each row (EDITS, in characters of its text), with tokens before and characters encoded again."""
     shared = state.sparkSession.sparkContext.broadcast(codec)
 
     def start():
@@ -191,13 +197,3 @@ def cleaning_edits(text: str) -> Iterator[tuple[int, int, str]]:
 
 
 CLEANING = regex.compile(r"(?P<line>(?<!\n)\n(?!\n))|(?P<mark>([^\w\s])\3{2,})|(?P<number>\d{5,})")
-
-
-def with_cleaning(state: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """The state with the clean-up edits of every text."""
-
-    def start():
-        return lambda key, text, n_tokens, tree: [(key, text, n_tokens, tree, [{"start": s, "stop": e, "new": r} for s, e, r in cleaning_edits(text)])]
-
-    kind = dict(state.dtypes)[id_col]
-    return map_rows(state.select(id_col, "text", "n_tokens", "tree"), start, f"`{id_col}` {kind}, text string, n_tokens bigint, tree binary, edits array<struct<start:int,stop:int,new:string>>")

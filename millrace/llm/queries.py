@@ -127,8 +127,7 @@ def op9_chained_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_edit_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts of every document before and after a clean-up of its whole text."""
     codec = byte_codec()
-    state = edit_counts.build(table(spark, sf_dir, "documents"), codec)
-    out = edit_counts.apply_edits(edit_counts.with_cleaning(state), codec)
+    out = edit_counts.apply_edits(edit_counts.build(table(spark, sf_dir, "documents"), codec, edits_of=edit_counts.cleaning_edits), codec)
     return out.select("doc_id", F.col("n_before").alias("n_tokens_before"), F.col("n_tokens").alias("n_tokens_after"), "n_edits", F.col("n_redone").alias("n_chars_encoded_again"), F.sha2(F.encode("text", "UTF-8"), 256).alias("text_sha256"))
 
 

@@ -97,7 +97,7 @@ def test_a_small_edit_touches_a_small_part(codec):
 
 def test_edits_of_awkward_rows(spark, codec, library):
     state = edit_counts.build(docs(spark), codec)
-    out = edit_counts.apply_edits(edit_counts.with_cleaning(state), codec).collect()
+    out = edit_counts.apply_edits(edit_counts.build(docs(spark), codec, edits_of=edit_counts.cleaning_edits), codec).collect()
     assert len(out) == 15 and all(r.n_tokens == len(library.encode_ordinary(r.text)) for r in out)
     none = edit_counts.apply_edits(state.selectExpr("*", "cast(null as array<struct<start:int,stop:int,new:string>>) as edits"), codec).collect()
     assert all(r.n_tokens == r.n_before and r.n_redone == 0 for r in none)
