@@ -14,6 +14,7 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import regex
+import tiktoken
 from pyspark.sql import DataFrame
 
 from millrace.llm.bpe import Codec
@@ -77,7 +78,9 @@ class CountTree:
 class Counter:
     def __init__(self, codec: Codec):
         self.split = regex.compile(codec.pattern)
-        self.tokens_of = Memo(lambda piece: len(codec.ids(piece.encode())))
+        # A pre-token by itself is split into nothing smaller, so the library's count of it is its count in the text.
+        library = tiktoken.Encoding("counts", pat_str=codec.pattern, mergeable_ranks=codec.ranks, special_tokens={})
+        self.tokens_of = Memo(lambda piece: 1 if piece.encode() in codec.ranks else len(library.encode_ordinary(piece)))
 
     def sums(self, text: str) -> np.ndarray:
         """Two rows: the trees of characters and of tokens. Leaves take LEAF pre-tokens each; the pattern leaves no character out."""
