@@ -6,7 +6,7 @@ overlap are marked one after the other, found by running Karp-Rabin hashes of ha
 ``coverage`` of the item's words, in whatever order they stand.
 
 Defined cases: null and empty texts match nothing; items of fewer than ``least`` words have no seed and contaminate nothing; rows that share id and text are judged once, rows that
-share an id but not the text each, and the pair's best coverage counts; null ids are judged like others; repeated items (same id) count by their best; an empty table gives an empty
+share an id but not the text each, and the pair's best coverage counts; null ids are judged like others; repeated items (same id) count by their best, each text by itself; an empty table gives an empty
 result; other columns are ignored, whatever their names.
 """
 
@@ -80,19 +80,22 @@ def tiles(item: list[int], text: list[int], least: int) -> list[tuple[int, int,
 
 
 def seeds_of_items(benchmark: DataFrame, least: int, item_col: str, text_col: str) -> DataFrame:
-    """item, its word hashes and its seeds."""
+    """item, a digest of its words, its word hashes, its seeds and how often each occurs."""
 
     def start():
         memo = word_hashes()
 
         def row(item, text) -> Iterable[tuple]:
             ids = hashed(words(text), memo)
-            return [(item, ids.tobytes(), np.unique(shingles(ids, least)).view(np.int64))] if len(ids) >= least else []
+            if len(ids) < least:
+                return []
+            found, counts = np.unique(shingles(ids, least), return_counts=True)
+            return [(item, ids.tobytes(), found.view(np.int64), counts)]
 
         return row
 
     source = benchmark.select(item_col, text_col).distinct()
-    return map_rows(source, start, f"item {source.dtypes[0][1]}, ids binary, seeds array<bigint>")
+    return map_rows(source, start, f"item {source.dtypes[0][1]}, ids binary, seeds array<bigint>, counts array<bigint>").withColumn("digest", F.xxhash64("ids"))
 
 
 def seed_filter(items: DataFrame, bits: int) -> np.ndarray:
@@ -134,15 +137,16 @@ def stretches(docs: DataFrame, table: np.ndarray, bits: int, least: int, id_col:
     return map_rows(source, start, f"id {source.dtypes[0][1]}, tag bigint, seeds array<bigint>, text binary").distinct()
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, least: int = 5, coverage: float = 0.6, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", bits: int = 24) -> DataFrame:
-    """(id_col, item_col, coverage, n_tiles, longest) for every contaminated pair."""
+def judged(docs: DataFrame, benchmark: DataFrame, least: int = 5, coverage: float = 0.6, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", bits: int = 24) -> DataFrame:
+    """(key, item, coverage, n_tiles, longest) for every contaminated pair of a document's key (id and text hash) and an item's text."""
     items = cut_lineage(seeds_of_items(benchmark, least, item_col, "text"), "benchmark-seeds")
     found = cut_lineage(stretches(docs, seed_filter(items, bits), bits, least, id_col, text_col).withColumn("key", F.struct("id", "tag")), "benchmark-stretches")
-    by_item = items.select("item", (F.octet_length("ids") / 8).alias("n_words"), F.explode("seeds").alias("h"))
-    pairs = found.select("key", F.explode("seeds").alias("h")).join(by_item, "h").groupBy("key", "item").agg(F.count("*").alias("n"), F.max("n_words").alias("n_words"))
-    # n seeds cover at most least * n words.
-    pairs = pairs.where(F.col("n") * least >= F.col("n_words") * coverage).select("key", "item")
-    ready = pairs.join(found.select("key", "text"), "key").join(items.select("item", "ids"), "item").select("key.id", "item", "ids", "text")
+    by_item = items.select("item", "digest", (F.octet_length("ids") / 8).alias("n_words"), F.explode(F.arrays_zip("seeds", "counts")).alias("s")).select("item", "digest", "n_words", F.col("s.seeds").alias("h"), "s.counts")
+    shared = found.select("key", F.explode("seeds").alias("h")).join(by_item, "h")
+    pairs = shared.groupBy("key", "item", "digest").agg(F.sum("counts").alias("n"), F.max("n_words").alias("n_words"))
+    # Seeds that stand at n places of the item cover at most least * n of its words.
+    pairs = pairs.where(F.col("n") * least >= F.col("n_words") * coverage).select("key", "item", "digest")
+    ready = pairs.join(found.select("key", "text"), "key").join(items.select("item", "digest", "ids"), ["item", "digest"]).select("key", "item", "ids", "text")
 
     def start():
         def row(key, item, ids, text) -> Iterable[tuple]:
@@ -153,8 +157,13 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least: int = 5, coverage
 
         return row
 
-    out = map_rows(ready, start, f"id {ready.dtypes[0][1]}, item {ready.dtypes[1][1]}, coverage double, n_tiles bigint, longest bigint")
-    best = out.groupBy("id", "item").agg(F.max(F.struct("coverage", "longest", "n_tiles")).alias("b"))
+    return map_rows(ready, start, f"key {ready.dtypes[0][1]}, item {ready.dtypes[1][1]}, coverage double, n_tiles bigint, longest bigint")
+
+
+def contaminated(docs: DataFrame, benchmark: DataFrame, least: int = 5, coverage: float = 0.6, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", bits: int = 24) -> DataFrame:
+    """(id_col, item_col, coverage, n_tiles, longest) for every contaminated pair."""
+    out = judged(docs, benchmark, least, coverage, id_col, text_col, item_col, bits)
+    best = out.groupBy("key.id", "item").agg(F.max(F.struct("coverage", "longest", "n_tiles")).alias("b"))
     return best.select(F.col("id").alias(id_col), F.col("item").alias(item_col), "b.coverage", "b.n_tiles", "b.longest")
 
 

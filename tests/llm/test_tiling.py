@@ -90,3 +90,10 @@ def test_query_equals_brute_force(spark):
             if any(tuple(x[i : i + 5]) in grams for i in range(len(x) - 4)) and sum(n for n, _, _ in greedy(x, w, 5)) >= 0.6 * len(x):
                 want.add((r.doc_id, item))
     assert {(r.doc_id, r.item_id) for r in QUERIES["op7_benchmark_tiling"](spark, SF).collect()} == want and want
+
+
+def test_items_that_repeat_a_window(spark):
+    flip = " ".join(["left right"] * 10)
+    items = benchmark(spark, [(1, flip, "x"), (2, passage(12, 8), "x"), (2, passage(200, 7), "x")])
+    out = tiling.contaminated(docs(spark, [(1, flip), (2, "lead " + passage(12, 8)), (3, "left right left right left")]), items).collect()
+    assert sorted((r.doc_id, r.item_id, r.coverage) for r in out) == [(1, 1, 1.0), (2, 2, 1.0)]
