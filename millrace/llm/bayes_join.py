@@ -53,7 +53,7 @@ def class_of(grams: np.ndarray) -> bytes:
 
 
 def sketches(docs: DataFrame, n: int, id_col: str, text_col: str, seed: int = 11) -> DataFrame:
-    """id, class key (128 bits of the n-gram set), number of n-grams and MinHash values."""
+    """id, text hash, class key (128 bits of the n-gram set), number of n-grams and MinHash values."""
     rng = np.random.default_rng(seed)
     a = rng.integers(1, 2**63, VALUES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
     b = rng.integers(0, 2**63, VALUES, dtype=np.uint64)
@@ -61,19 +61,19 @@ def sketches(docs: DataFrame, n: int, id_col: str, text_col: str, seed: int = 11
     def start():
         memo = word_hashes()
 
-        def row(key, text) -> Iterable[tuple]:
+        def row(key, tag, text) -> Iterable[tuple]:
             grams = gram_set(text, n, memo)
             if not len(grams):
-                return [(key, None, 0, None)]
+                return [(key, tag, None, 0, None)]
             low = np.full(VALUES, 2**32 - 1, np.uint64)
             for at in range(0, len(grams), 1024):
                 low = np.minimum(low, ((grams[at : at + 1024, None] * a + b) >> np.uint64(32)).min(0))
-            return [(key, class_of(grams), len(grams), low.astype("<u4").tobytes())]
+            return [(key, tag, class_of(grams), len(grams), low.astype("<u4").tobytes())]
 
         return row
 
-    source = docs.select(id_col, text_col)
-    return map_rows(source, start, f"id {source.dtypes[0][1]}, c binary, n_grams bigint, sig binary")
+    source = docs.select(id_col, F.xxhash64(text_col).alias("tag"), text_col)
+    return map_rows(source, start, f"id {source.dtypes[0][1]}, tag bigint, c binary, n_grams bigint, sig binary")
 
 
 def grouped(df: DataFrame, key: list[str], order: list[str], values: list[str], start: Callable[[], Callable[[list[tuple]], Iterable[tuple]]], schema: str) -> DataFrame:
@@ -250,8 +250,8 @@ def components(edges: DataFrame) -> DataFrame:
     return state.select("c", "root")
 
 
-def similar(docs: DataFrame, n: int = 5, threshold: float = 0.8, tolerance: float = 1e-6, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: id_col, class_id (smallest id of all documents that links and equal sets connect), n_links (other documents at the threshold or over), n_grams."""
+def placed(docs: DataFrame, n: int, threshold: float, tolerance: float, id_col: str, text_col: str) -> DataFrame:
+    """One row per document: id, tag (text hash), root (the group's class key, null without words), class_id, n_links, n_grams."""
     drawn = cut_lineage(sketches(docs, n, id_col, text_col), "sketches")
     classes = drawn.where(F.col("c").isNotNull()).groupBy("c").agg(F.min("id").alias("first_id"), F.count("*").alias("size"), F.first("n_grams").alias("n_grams"), F.first("sig").alias("sig"))
     classes = cut_lineage(classes, "classes")
@@ -263,17 +263,25 @@ def similar(docs: DataFrame, n: int = 5, threshold: float = 0.8, tolerance: floa
     counted = checked.groupBy("c").agg(F.sum("docs").alias("docs"))
     groups = classes.select("c", "first_id", "size").join(roots, "c", "left").join(counted, "c", "left")
     groups = groups.select("c", "first_id", F.coalesce("root", "c").alias("root"), (F.col("size") - 1 + F.coalesce("docs", F.lit(0))).alias("n_links"))
-    named = groups.join(groups.groupBy("root").agg(F.min("first_id").alias("class_id")), "root").select("c", "class_id", "n_links")
+    named = groups.join(groups.groupBy("root").agg(F.min("first_id").alias("class_id")), "root").select("c", "root", "class_id", "n_links")
     # Documents without words never meet a class: they are not joined, so they cannot pile up in one task.
-    full = drawn.where(F.col("c").isNotNull()).select("id", "c", "n_grams").join(named, "c").select("id", "class_id", "n_links", "n_grams")
-    bare = drawn.where(F.col("c").isNull()).select("id", F.col("id").alias("class_id"), F.lit(0).cast("bigint").alias("n_links"), "n_grams")
-    return full.unionByName(bare).withColumnRenamed("id", id_col)
+    full = drawn.where(F.col("c").isNotNull()).select("id", "tag", "c", "n_grams").join(named, "c").select("id", "tag", "root", "class_id", "n_links", "n_grams")
+    bare = drawn.where(F.col("c").isNull()).select("id", "tag", F.col("c").alias("root"), F.col("id").alias("class_id"), F.lit(0).cast("bigint").alias("n_links"), "n_grams")
+    return full.unionByName(bare)
 
 
-def keep_one(docs: DataFrame, n: int = 5, threshold: float = 0.8, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of ``docs`` without near-duplicates: of every class the document whose id is the class id stays, once."""
-    placed = similar(docs, n, threshold, id_col=id_col, text_col=text_col, **options)
-    kept = placed.where(F.col(id_col).eqNullSafe(F.col("class_id"))).select(F.struct(F.col(id_col).alias("id")).alias("key")).distinct()
-    rows = docs.select(F.struct("*").alias("row"), F.struct(F.col(id_col).alias("id")).alias("key")).join(kept, "key", "left_semi")
-    same = Window.partitionBy("key", F.xxhash64(f"row.{text_col}")).orderBy(F.lit(0))
+def similar(docs: DataFrame, n: int = 5, threshold: float = 0.8, tolerance: float = 1e-6, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per document: id_col, class_id (smallest id of all documents that links and equal sets connect), n_links (other documents at the threshold or over), n_grams."""
+    return placed(docs, n, threshold, tolerance, id_col, text_col).select(F.col("id").alias(id_col), "class_id", "n_links", "n_grams")
+
+
+def keep_one(docs: DataFrame, n: int = 5, threshold: float = 0.8, id_col: str = "doc_id", text_col: str = "text", tolerance: float = 1e-6) -> DataFrame:
+    """The rows of ``docs`` without near-duplicates: of every group one document whose id is the class id stays, once; rows are told apart by id and text, null ids included. Wordless rows stay, equal ones once."""
+    found = placed(docs, n, threshold, tolerance, id_col, text_col).where(F.col("id").eqNullSafe(F.col("class_id")))
+    # Of a group's documents that share the smallest id, or have none, that of the smallest hash.
+    one = found.where(F.col("root").isNotNull()).groupBy("root").agg(F.min(F.struct("tag", "id")).alias("d")).select("d.id", "d.tag")
+    kept = one.union(found.where(F.col("root").isNull()).select("id", "tag")).select(F.struct("id", "tag").alias("key")).distinct()
+    key = F.struct(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("tag")).alias("key")
+    rows = docs.select(F.struct("*").alias("row"), key).join(kept, "key", "left_semi")
+    same = Window.partitionBy("key").orderBy(F.lit(0))
     return rows.withColumn("nth", F.row_number().over(same)).where(F.col("nth") == 1).select("row.*")

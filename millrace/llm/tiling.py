@@ -167,8 +167,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least: int = 5, coverage
     return best.select(F.col("id").alias(id_col), F.col("item").alias(item_col), "b.coverage", "b.n_tiles", "b.longest")
 
 
-def without_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """The rows of ``docs`` that no benchmark item contaminates."""
-    bad = contaminated(docs, benchmark, id_col=id_col, **options).select(F.col(id_col).alias("bad_id")).distinct()
-    rows = docs.select(F.struct("*").alias("row"), F.struct(F.col(id_col).alias("id")).alias("key"))
-    return rows.join(bad.select(F.struct(F.col("bad_id").alias("id")).alias("key")), "key", "left_anti").select("row.*")
+def without_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The rows of ``docs`` that no benchmark item contaminates, each judged by its own text."""
+    bad = judged(docs, benchmark, id_col=id_col, text_col=text_col, **options).select("key").distinct()
+    key = F.struct(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("tag")).alias("key")
+    return docs.select(F.struct("*").alias("row"), key).join(bad, "key", "left_anti").select("row.*")

@@ -102,3 +102,11 @@ def test_one_of_each_group_stays(spark):
 def test_query_equals_brute_force(spark):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
     assert result(QUERIES["op8_bayes_jaccard_join"](spark, SF)) == brute(rows)
+
+
+def test_null_ids_are_told_apart_by_text(spark):
+    near = passage(200, 5)
+    rows = [(None, near), (None, near + " tail"), (None, passage(60, 1)), (1, passage(60, 1)), (None, "..."), (5, passage(80, 6)), (5, passage(60, 1) + "!"), (None, "alone here")]
+    kept = [(r.doc_id, r.text) for r in bayes_join.keep_one(docs(spark, rows)).collect()]
+    assert len(kept) == 5 and (1, rows[2][1]) in kept and len([t for _, t in kept if t.startswith(near)]) == 1
+    assert {(None, "..."), (5, rows[5][1]), (None, "alone here")} <= set(kept)

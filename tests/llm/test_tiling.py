@@ -92,6 +92,12 @@ def test_query_equals_brute_force(spark):
     assert {(r.doc_id, r.item_id) for r in QUERIES["op7_benchmark_tiling"](spark, SF).collect()} == want and want
 
 
+def test_rows_that_share_an_id_or_have_none_are_judged_by_their_text(spark):
+    rows = [(None, ITEM), (None, "clean of items"), (None, passage(50, 3)), (8, ITEM), (8, "clean"), (9, "clean")]
+    kept = tiling.without_contaminated(docs(spark, rows), benchmark(spark)).collect()
+    assert sorted((str(r.doc_id), r.text) for r in kept) == sorted((str(i), t) for i, t in rows if t != ITEM)
+
+
 def test_items_that_repeat_a_window(spark):
     flip = " ".join(["left right"] * 10)
     items = benchmark(spark, [(1, flip, "x"), (2, passage(12, 8), "x"), (2, passage(200, 7), "x")])
