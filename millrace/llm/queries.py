@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bayes_join, block_max, bpe, chaining, edit_counts, factorization, line_runs, quotations, shuffle, tiling
+from millrace.llm import bayes_join, block_max, bpe, centroids, chaining, edit_counts, factorization, line_runs, quotations, shuffle, tiling
 from millrace.llm.registry import QUERIES, SQL, query, table
 
 __all__ = ["QUERIES", "SQL"]
@@ -137,3 +137,30 @@ def op3_block_max_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     out = block_max.search_texts(docs.where(F.col("doc_id") % 50 == 0), docs, terms=None, least_df=1)
     return out.select(F.col("q").alias("query_id"), F.col("rank").cast("int").alias("rank"), F.col("id").alias("doc_id"), "score")
+
+
+def clustering_sql(k: int = 16, rounds: int = 3) -> str:
+    """The rounds as one chain of common tables: distances to all centroids, nearest by (distance, number), exact floor of the mean."""
+    steps = [f"""
+        kept as (select row_number() over () as r, vec_id, list_transform(embedding, lambda x: floor(64 * x::double)::bigint) as v from embeddings
+          where len(embedding) = 64 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+        c0 as (select row_number() over (order by sha256('1:' || coalesce(vec_id::varchar, '')), v) - 1 as cluster, v from kept order by 1 limit {k})"""]
+    for i in range(rounds + 1):
+        steps.append(f"""
+        d{i} as (select r, vec_id, kept.v, cluster, list_sum(list_transform(list_zip(kept.v, c{i}.v), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::bigint as distance from kept cross join c{i}),
+        a{i} as (select * exclude (n) from (select *, row_number() over (partition by r order by distance, cluster) as n from d{i}) where n = 1)""")
+        if i < rounds:
+            steps.append(f"""
+        s{i} as (select cluster, i, sum(x) as s, count(*) as n from (select cluster, generate_subscripts(v, 1) as i, unnest(v) as x from a{i}) group by all),
+        m{i} as (select cluster, list((((s - ((s % n) + n) % n) // n)::bigint) order by i) as v from s{i} group by cluster),
+        c{i + 1} as (select c{i}.cluster, coalesce(m{i}.v, c{i}.v) as v from c{i} left join m{i} using (cluster))""")
+    return "with" + ",".join(steps) + f"""
+        select vec_id, a.cluster::int as cluster, distance, sum(distance) over (partition by a.cluster)::bigint as cluster_inertia, sum(distance) over ()::bigint as inertia,
+          sha256(array_to_string(c.v, ',')) as centroid_sha256
+        from a{rounds} a join c{rounds} c on c.cluster = a.cluster"""
+
+
+@query("op13_hadamard_clustering", sql=clustering_sql())
+def op13_hadamard_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = centroids.cluster(table(spark, sf_dir, "embeddings"), k=16, rounds=3)
+    return out.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", F.sha2("centroid", 256).alias("centroid_sha256"))
