@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
+
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bayes_join, block_max, bpe, centroids, chaining, edit_counts, factorization, line_runs, quotations, shuffle, tiling
+from millrace.llm import bayes_join, block_max, bpe, byte_level, centroids, chaining, chunk_bpe, edit_counts, factorization, line_runs, quotations, shuffle, tiling
 from millrace.llm.registry import QUERIES, SQL, query, table
 
 __all__ = ["QUERIES", "SQL"]
@@ -164,3 +167,23 @@ def clustering_sql(k: int = 16, rounds: int = 3) -> str:
 def op13_hadamard_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = centroids.cluster(table(spark, sf_dir, "embeddings"), k=16, rounds=3)
     return out.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", F.sha2("centroid", 256).alias("centroid_sha256"))
+
+
+def byte_vocabulary():
+    import public_tokenizers
+
+    return byte_level.read_vocabulary(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
+
+
+def digests(vocabulary):
+    """Digests of the ids and of the text that they decode to."""
+
+    def sha(data: bytes) -> str:
+        return hashlib.sha256(data).hexdigest()
+
+    return lambda text, ids: (sha(np.array(ids, "<u4").tobytes()), sha(chunk_bpe.decoded(vocabulary, ids).decode("utf-8", "replace").encode()))
+
+
+@query("op12_chunk_reuse_bpe")
+def op12_chunk_reuse_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunk_bpe.encode(table(spark, sf_dir, "documents"), byte_vocabulary(), results=("ids_sha256 string, decoded_sha256 string", digests))
