@@ -8,7 +8,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bayes_join, block_max, bpe, byte_level, centroids, chaining, chunk_bpe, edit_counts, factorization, line_runs, quotations, shuffle, tiling
+from millrace.llm import alignment, bayes_join, block_max, bpe, byte_level, centroids, chaining, chunk_bpe, edit_counts, factorization, line_runs, quotations, shuffle, tiling
 from millrace.llm.registry import QUERIES, SQL, query, table
 
 __all__ = ["QUERIES", "SQL"]
@@ -187,3 +187,11 @@ def digests(vocabulary):
 @query("op12_chunk_reuse_bpe")
 def op12_chunk_reuse_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunk_bpe.encode(table(spark, sf_dir, "documents"), byte_vocabulary(), results=("ids_sha256 string, decoded_sha256 string", digests))
+
+
+@query("op11_token_alignment")
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    pieces = alignment.read_pieces(public_tokenizers.path("piece_bpe_32k.model"))
+    return alignment.align(table(spark, sf_dir, "documents"), byte_vocabulary(), pieces)
