@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from millrace.catalog import frame_sql as S
 from millrace.catalog.registry import register
 from millrace.functions.columns import cents
+from millrace.operators import places as P
 from millrace.operators import sets as U
 from millrace.operators import spines as N
 from millrace.sources import frames
@@ -109,7 +110,7 @@ def dense_ids_for_labels(t):
 
 @register("nearest_by_distance", """
     with people as (select c_custkey, (c_nationkey * 7 + c_custkey % 5) % 120 - 60.0::double as lat1, (c_nationkey * 13 + c_custkey % 11) % 340 - 170.0::double as lon1 from customer),
-    places as (select s_suppkey, (s_nationkey * 7 + s_suppkey % 5) % 120 - 60.0::double as lat2, (s_nationkey * 13 + s_suppkey % 11) % 340 - 170.0::double as lon2 from supplier where s_nationkey % 6 <> 0),
+    places as (select s_suppkey, (s_nationkey * 7 + s_suppkey % 5) % 120 - 60.0::double as lat2, (s_nationkey * 13 + s_suppkey % 11) % 340 - 170.0::double as lon2 from supplier),
     measured as (select c_custkey, s_suppkey, round(2 * 3961 * asin(sqrt(power(sin(radians(lat2 - lat1) / 2), 2) +
              cos(radians(lat1)) * cos(radians(lat2)) * power(sin(radians(lon2 - lon1) / 2), 2))) * 1.60934::double, 6) as distance from people cross join places)
     select c_custkey, distance, s_suppkey from (select *, row_number() over (partition by c_custkey order by distance, s_suppkey) as rn from measured) where rn = 1""")
@@ -118,8 +119,8 @@ def nearest_by_distance(t):
         return {lat: (F.col(nation) * 7 + F.col(key) % 5) % 120 - F.lit(60.0), lon: (F.col(nation) * 13 + F.col(key) % 11) % 340 - F.lit(170.0)}
 
     people = t["customer"].select("c_custkey", "c_nationkey").withColumns(place("c_nationkey", "c_custkey", "lat1", "lon1"))
-    sites = t["supplier"].where("s_nationkey % 6 <> 0").select("s_suppkey", "s_nationkey").withColumns(place("s_nationkey", "s_suppkey", "lat2", "lon2"))
-    return N.nearest_by_distance(people, ["c_custkey"], ("lat1", "lon1"), sites, "s_suppkey", ("lat2", "lon2"), "km")
+    sites = t["supplier"].select("s_suppkey", "s_nationkey").withColumns(place("s_nationkey", "s_suppkey", "lat2", "lon2"))
+    return P.nearest_by_distance(people, ["c_custkey"], ("lat1", "lon1"), sites, "s_suppkey", ("lat2", "lon2"), "km")
 
 
 @register("null_safe_totals", """

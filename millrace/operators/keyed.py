@@ -37,6 +37,12 @@ def attach_aggs(df: DataFrame, k: list[str], aggs: Mapping[str, Column]) -> Data
     return rows.join(rows.groupBy(KEY).agg(*[agg.alias(name) for name, agg in aggs.items()]), KEY, "left").drop(KEY)
 
 
+def attach_spread(rows: DataFrame, facts: DataFrame, k: list[str], part: str = "part") -> DataFrame:
+    """Inner join with one fact row a key, where a key may hold any share of the rows: rows are dealt by key and ``part``, and a fact goes to the parts that have its key."""
+    parts = rows.select(*k, part).distinct().join(facts, k)
+    return rows.join(parts, [*k, part])
+
+
 def only_matching(df: DataFrame, keys: DataFrame, k: list[str], how: str) -> DataFrame:
     """left_semi / left_anti on key columns."""
     renamed = keys.select(*[F.col(name).alias(f"_r_{name}") for name in k])

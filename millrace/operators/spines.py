@@ -1,9 +1,7 @@
-"""Spines, series, keys and distances."""
+"""Spines, series and keys."""
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -62,48 +60,6 @@ def dense_ids_for_labels(df: DataFrame, col: str, out: str) -> DataFrame:
     return attach(df, ids, [col])
 
 
-def nearest_by_distance(
-    left: DataFrame, k: list[str], left_at: tuple[str, str], right: DataFrame, right_id: str, right_at: tuple[str, str], unit: str = "mi",
-    degrees: tuple[int, ...] = (2, 6, 20, 60),
-) -> DataFrame:
-    """For every left row the great-circle distance (rounded to six places) of the nearest right row, and its id; the smaller id wins ties.
-
-    Distinct places meet in an equi join on grid cells and their neighbours. A place is settled when its best distance is smaller than anything beyond the
-    neighbouring cells can be; the others go on with wider cells (``degrees`` divide 360). What even the widest leaves open, places far from everything, meets all right
-    places. Rows without a position have no nearest row.
-    """
-    lat, lon = (F.col(x).cast("double") for x in left_at)
-    seat = F.struct(lat.alias("lat"), lon.alias("lon"))
-    known = left.where(lat.isNotNull() & lon.isNotNull())
-    open_places = known.select(lat.alias("lat"), lon.alias("lon")).distinct()
-    targets = right.select(F.col(right_at[0]).cast("double").alias("_lat"), F.col(right_at[1]).cast("double").alias("_lon"), right_id).dropna()
-    targets = cut_lineage(targets.groupBy("_lat", "_lon").agg(F.min(right_id).alias(right_id)), "targets")
-    radius = 3961 * (1.60934 if unit == "km" else 1)
-    distance = F.round(C.haversine(F.col("lat"), F.col("lon"), F.col("_lat"), F.col("_lon"), unit), 6)
-    settled = []
-    for size in (*degrees, None):
-        if size:
-            row, column, columns = F.floor((F.col("lat") + 90) / size), F.floor(F.pmod(F.col("lon") + 180, F.lit(360.0)) / size), 360 // size
-            around = F.array(*[F.struct((row + y).alias("y"), F.pmod(column + x, F.lit(columns)).alias("x")) for y in (-1, 0, 1) for x in (-1, 0, 1)])
-            place = F.struct(F.floor((F.col("_lat") + 90) / size).alias("y"), F.floor(F.pmod(F.col("_lon") + 180, F.lit(360.0)) / size).alias("x"))
-        else:
-            around, place = F.array(F.lit(0)), F.lit(0)
-        near = open_places.withColumn("_cell", F.explode(around)).join(targets.withColumn("_cell", place), "_cell")
-        best = near.groupBy("lat", "lon").agg(F.min(F.struct(distance.alias("distance"), F.col(right_id))).alias("_best"))
-        if size:
-            # Beyond the neighbours lies at least one cell's width: along a meridian, or across meridians at this latitude.
-            beyond = F.asin(F.cos(F.radians("lat")) * F.sin(F.radians(F.lit(float(size))))) * radius
-            best = best.where(F.col("_best.distance") < beyond - 1e-5)
-        settled.append(cut_lineage(best.select(F.struct("lat", "lon").alias("_seat"), "_best.*"), "nearest"))
-        if not size:
-            break
-        done = settled[-1].select("_seat.*")
-        open_places = cut_lineage(open_places.join(done, ["lat", "lon"], "left_anti"), "open-places")
-        if open_places.isEmpty():
-            break
-    return known.withColumn("_seat", seat).join(reduce(DataFrame.union, settled), "_seat").select(*k, "distance", right_id)
-
-
 def null_safe_totals(df: DataFrame, k: list[str], cols: list[str], out: str = "total") -> DataFrame:
     """Row total with nulls as 0, summed per key."""
     row = sum((F.coalesce(F.col(x), F.lit(0)) for x in cols[1:]), F.coalesce(F.col(cols[0]), F.lit(0)))

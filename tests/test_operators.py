@@ -158,27 +158,6 @@ def test_assembly_sides_are_checked_for_repeats(spark):
     assert rows(J.wide_fact_assembly(base, "k", [side])) == [(1, "a"), (2, None)]
 
 
-def test_nearest_equals_comparing_all(spark):
-    import math
-    import random
-
-    rng = random.Random(8)
-    left = [(i, rng.uniform(-89, 89), rng.uniform(-180, 180)) for i in range(60)] + [(60, 0.0, 179.9), (61, 89.9, 10.0), (62, None, 1.0)]
-    right = [(i, rng.uniform(-80, 20), rng.uniform(-180, 60)) for i in range(25)] + [(30, 0.0, -179.9), (31, 0.0, -179.9), (None, 1.0, 1.0)]
-
-    def miles(a, b):
-        p, q = math.radians(a[1]), math.radians(b[1])
-        h = math.sin((q - p) / 2) ** 2 + math.cos(p) * math.cos(q) * math.sin(math.radians(b[2] - a[2]) / 2) ** 2
-        return 2 * 3961 * math.asin(math.sqrt(h))
-
-    got = {r.id: (r.site, r.distance) for r in N.nearest_by_distance(
-        spark.createDataFrame(left, "id long, a double, b double"), ["id"], ("a", "b"), spark.createDataFrame(right, "site long, c double, d double"), "site", ("c", "d")).collect()}
-    assert set(got) == set(range(62)) and got[60][0] == 30
-    for a in left[:62]:
-        near = min(miles(a, b) for b in right if b[0] is not None)
-        assert abs(got[a[0]][1] - near) < 1e-5
-
-
 def test_listagg_over_names_the_keys_that_break_the_bound(spark):
     df = spark.createDataFrame([("a", "xx"), ("a", "xx"), ("a", "yyy"), ("b", "z"), ("c", None)], "k string, v string")
     assert rows(A.listagg_over(df, ["k"], "v", 4)) == [("a", 5)]
