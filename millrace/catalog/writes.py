@@ -9,8 +9,10 @@ from millrace.catalog.registry import AS_OF, register
 from millrace.operators import write as M
 from millrace.operators.windows import first_rows
 from millrace.sources import frames, sinks
+from millrace.sources.manifest import ManifestTable, merge
 from millrace.sources.session import scratch_path
 from millrace.sources.tables import SOURCES, read_seed, read_source, read_tables_by_pattern
+from millrace.sources.versions import create_history, read_history, update_history
 
 
 def ts(text):
@@ -63,7 +65,7 @@ def write_full_refresh(t):
 @register("export_parquet", "select p_partkey, p_name, p_retailprice from part")
 def export_parquet(t):
     parts = t["part"].select("p_partkey", "p_name", "p_retailprice")
-    path = sinks.export_parquet(parts, scratch_path(t.spark, "export"), "part", AS_OF, max_records=500)
+    path = sinks.export_parquet(parts, scratch_path(t.spark, "export"), "part", AS_OF, max_bytes=2**20)
     return t.spark.read.schema(parts.schema).parquet(path)
 
 
@@ -102,6 +104,11 @@ def incremental_append_antijoin(t):
     return M.incremental_append_antijoin(target, t["orders"].withColumn("loaded_from", F.lit("v1")).select(*cols), ["o_orderkey"])
 
 
+def by_year(df, at):
+    """With the partition column of an order table."""
+    return df.withColumn("year", F.year(at))
+
+
 @register("incremental_merge", S.ctes(S.ORDERS_V2) + """
     , target as (select o_orderkey, o_orderstatus, o_orderdate from orders where o_orderdate < timestamp '1999-06-01'),
       cand as (select o_orderkey, o_orderstatus, o_orderdate from orders_v2, (select max(o_orderdate) as h, max(o_orderkey) as kh from target)
@@ -110,7 +117,10 @@ def incremental_append_antijoin(t):
 def incremental_merge(t):
     cols = ["o_orderkey", "o_orderstatus", "o_orderdate"]
     target = t["orders"].select(*cols).filter(F.col("o_orderdate") < ts("1999-06-01"))
-    return M.incremental_merge(target, frames.orders_v2(t).select(*cols), ["o_orderkey"], ["o_orderdate", "o_orderkey"])
+    table = ManifestTable(t.spark, scratch_path(t.spark, "orders"), by_year(target, "o_orderdate").schema, ["year"], ["o_orderkey"], ["o_orderdate", "o_orderkey"])
+    table.commit(by_year(target, "o_orderdate"))
+    merge(table, by_year(frames.orders_v2(t).select(*cols), "o_orderdate"), ["o_orderdate", "o_orderkey"])
+    return table.read().select(*cols)
 
 
 @register("trailing_window_reload", """
@@ -124,8 +134,11 @@ def trailing_window_reload(t):
     keyed = t["events"].select(
         F.md5(F.concat_ws("-", F.col("user_id").cast("string"), "event_type", day_text)).alias("k"), "event_id", "ts", "value"
     )
-    target = first_rows(keyed, ["k"], ["ts", "event_id"])
-    return M.trailing_window_reload(target, keyed, ["k"], "ts", 10, "2024-01-30", ["-ts", "-event_id"])
+    keyed = keyed.withColumn("day", F.to_date("ts"))
+    table = ManifestTable(t.spark, scratch_path(t.spark, "keyed"), keyed.schema, ["day"], ["k"])
+    table.commit(first_rows(keyed, ["k"], ["ts", "event_id"]))
+    merge(table, M.trailing_window(keyed, "ts", 10, "2024-01-30"), latest=["-ts", "-event_id"])
+    return table.read().drop("day")
 
 
 @register("sync_schema_append", S.ctes(S.LEGACY_ORDERS) + """
@@ -173,6 +186,13 @@ def backfill_by_period(t):
     return M.backfill_by_period(events.filter(F.col("ts") < ts("2024-01-08")), events, "ts", "2024-01-01", "2024-01-20", "day")
 
 
+def updated(t, history, current, k, rule, buckets=16):
+    """The history as stored after one run over the current rows."""
+    table = create_history(history, scratch_path(t.spark, "history"), k, buckets)
+    update_history(table, current, k, rule, buckets)
+    return read_history(table)
+
+
 @register("snapshot_timestamp", S.ctes(S.SUPPLIER_V1, S.SUPPLIER_V2) + """
     , v1 as (select s_suppkey, s_acctbal, updated_at from supplier_v1), v2 as (select s_suppkey, s_acctbal, updated_at from supplier_v2)
     select a.s_suppkey, a.s_acctbal, a.updated_at, a.updated_at as valid_from, case when b.updated_at > a.updated_at then b.updated_at end as valid_to
@@ -182,7 +202,7 @@ def backfill_by_period(t):
 def snapshot_timestamp(t):
     cols = ["s_suppkey", "s_acctbal", "updated_at"]
     history = M.first_snapshot(frames.supplier_v1(t).select(*cols), F.col("updated_at"))
-    return M.snapshot_timestamp(history, frames.supplier_v2(t).select(*cols), ["s_suppkey"], "updated_at", AS_OF)
+    return updated(t, history, frames.supplier_v2(t).select(*cols), ["s_suppkey"], M.timestamp_rule("updated_at", AS_OF))
 
 
 @register("snapshot_check", S.ctes(S.CUSTOMER_V2) + """
@@ -196,11 +216,11 @@ def snapshot_timestamp(t):
 def snapshot_check(t):
     cols = ["c_custkey", "c_name", "c_acctbal"]
     history = M.first_snapshot(t["customer"].select(*cols), ts("2000-01-01"))
-    return M.snapshot_check(history, frames.customer_v2(t).select(*cols), ["c_custkey"], ["c_acctbal"], AS_OF, hard_deletes=True)
+    return updated(t, history, frames.customer_v2(t).select(*cols), ["c_custkey"], M.check_rule(["c_acctbal"], AS_OF, hard_deletes=True))
 
 
 @register("snapshot_hard_deletes", S.ctes(S.SUPPLIER_V1) + """
     select s_suppkey, s_name, updated_at as valid_from, case when s_suppkey % 50 = 0 then timestamp '2001-09-01' end as valid_to from supplier_v1""")
 def snapshot_hard_deletes(t):
     history = M.first_snapshot(frames.supplier_v1(t).select("s_suppkey", "s_name"), ts("2000-01-01"))
-    return M.snapshot_hard_deletes(history, frames.supplier_v2(t), ["s_suppkey"], AS_OF)
+    return updated(t, history, frames.supplier_v2(t).select("s_suppkey"), ["s_suppkey"], M.delete_rule(AS_OF))

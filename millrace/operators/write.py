@@ -7,6 +7,8 @@ scalar subqueries inside the plan.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -44,36 +46,23 @@ def incremental_merge(
     ``latest`` is the order that picks one candidate per key when new repeats keys.
     """
     if watermarks:
-        new = new.filter(any_of([F.col(x) >= F.coalesce(target.agg(F.max(x)).scalar(), F.col(x)) for x in watermarks]))
+        # One value with all maxima: one scan of the target.
+        highs = target.agg(F.struct(*[F.max(x).alias(x) for x in watermarks]).alias("highs")).scalar()
+        new = new.filter(any_of([F.col(x) >= F.coalesce(highs[x], F.col(x)) for x in watermarks]))
     if latest:
         new = first_rows(new, k, latest)
     return only_matching(target, new, k, "left_anti").unionByName(new)
 
 
-def merged_partitions(
-    target: DataFrame, new: DataFrame, k: list[str], part: list[str], watermarks: list[str] = (), latest: list[str] | None = None
-) -> DataFrame:
-    """incremental_merge, reduced to the partitions it changes: those new rows land in and those a replaced row leaves.
-
-    A partition that loses its last row keeps no file to be replaced by; such rows are rare (a key that moves), and are listed by ``emptied_partitions``.
-    """
-    state = incremental_merge(target, new, k, watermarks, latest)
-    changed = new.select(*part).union(only_matching(target, new, k, "left_semi").select(*part)).distinct()
-    return only_matching(state, changed, part, "left_semi")
-
-
-def emptied_partitions(target: DataFrame, new: DataFrame, k: list[str], part: list[str]) -> DataFrame:
-    """Partitions of the target that hold no row after the merge."""
-    left = only_matching(target, new, k, "left_anti").select(*part).union(new.select(*part)).distinct()
-    return only_matching(target.select(*part).distinct(), left, part, "left_anti")
-
-
 def trailing_window_reload(
     target: DataFrame, source: DataFrame, k: list[str], ts: str, days: int, as_of: str, latest: list[str]
 ) -> DataFrame:
     """Pull the last days again, keep one row per key, and upsert them."""
-    since = F.date_sub(F.lit(as_of).cast("date"), days).cast("timestamp_ntz")
-    return incremental_merge(target, source.filter(F.col(ts) >= since), k, latest=latest)
+    return incremental_merge(target, trailing_window(source, ts, days, as_of), k, latest=latest)
+
+
+def trailing_window(source: DataFrame, ts: str, days: int, as_of: str) -> DataFrame:
+    return source.filter(F.col(ts) >= F.date_sub(F.lit(as_of).cast("date"), days).cast("timestamp_ntz"))
 
 
 def sync_schema_append(target: DataFrame, new: DataFrame) -> DataFrame:
@@ -113,59 +102,91 @@ def backfill_by_period(target: DataFrame, source: DataFrame, ts: str, start: str
     return target.unionByName(fresh).withColumn("period", label)
 
 
-def _next_versions(
-    history: DataFrame, current: DataFrame, k: list[str], changed: Column, closes_at: Column, opens_at: Column, deletes_at: Column
-) -> DataFrame:
-    """One full join of open versions and current rows on the key gives all new versions.
+@dataclass(frozen=True)
+class VersionRule:
+    """When an open version of a key is replaced, and which times go into the versions. Conditions see the open version as ``_old``, the current row as ``_new``."""
+
+    changed: Column
+    closes_at: Column
+    opens_at: Column
+    deletes_at: Column
+    adds: bool = True
+
+
+def _never() -> Column:
+    return F.lit(None).cast("timestamp_ntz")
+
+
+def timestamp_rule(updated_at: str, as_of: str, hard_deletes: bool = False) -> VersionRule:
+    """New version when updated_at grows; versions start and end at the source's update time."""
+    starts = F.col(f"_new.{updated_at}").cast("timestamp_ntz")
+    return VersionRule(F.col(f"_new.{updated_at}") > F.col(f"_old.{updated_at}"), starts, starts, F.lit(as_of).cast("timestamp_ntz") if hard_deletes else _never())
 
-    Both sides hold one row per key, so no key can be hot here; closed versions pass through.
+
+def check_rule(check_cols: list[str], as_of: str, hard_deletes: bool = False) -> VersionRule:
+    """New version as of now when any check column differs, null-safe."""
+    now = F.lit(as_of).cast("timestamp_ntz")
+    return VersionRule(any_of([~F.col(f"_new.{x}").eqNullSafe(F.col(f"_old.{x}")) for x in check_cols]), now, now, now if hard_deletes else _never())
+
+
+def delete_rule(as_of: str) -> VersionRule:
+    """Versions only end, when their key leaves the source."""
+    return VersionRule(F.lit(False), _never(), _never(), F.lit(as_of).cast("timestamp_ntz"), adds=False)
+
+
+def version_changes(opened: DataFrame, current: DataFrame, k: list[str], rule: VersionRule) -> DataFrame:
+    """Open versions and current rows side by side: the key, ``_old``, ``_new``, ``_ends`` (when the open version ends, if it does) and ``_starts`` (whether a version begins).
+
+    One full join; both sides hold one row per key, so no key can be hot here.
     """
-    attrs = [x for x in current.columns if x not in k]
-    is_open = F.col("valid_to").isNull()
-    old = history.filter(is_open).select(*[F.col(x).alias(f"_o_{x}") for x in k], F.struct(*attrs, "valid_from").alias("_old"))
-    new = current.select(*[F.col(x).alias(f"_n_{x}") for x in k], F.struct(*attrs).alias("_new"))
+    # Columns of the current rows that a rule which adds nothing never reads stay out of the join.
+    rest = [x for x in current.columns if x not in k and (rule.adds or x in opened.columns)] or [F.lit(True).alias("_here")]
+    old = opened.select(*[F.col(x).alias(f"_o_{x}") for x in k], F.struct(*[x for x in opened.columns if x not in k]).alias("_old"))
+    new = current.select(*[F.col(x).alias(f"_n_{x}") for x in k], F.struct(*rest).alias("_new"))
     both = old.join(new, [F.col(f"_o_{x}").eqNullSafe(F.col(f"_n_{x}")) for x in k], "full")
     is_old, is_new = F.col("_old").isNotNull(), F.col("_new").isNotNull()
-    replaced = is_old & is_new & changed
-    never = F.lit(None).cast("timestamp_ntz")
-    key = [F.coalesce(f"_o_{x}", f"_n_{x}").alias(x) for x in k]
-    end = F.when(replaced, closes_at).when(is_old & ~is_new, deletes_at)
-    kept = F.struct(*key, *[F.col(f"_old.{x}").alias(x) for x in attrs], F.col("_old.valid_from").alias("valid_from"), end.alias("valid_to"))
-    added = F.struct(*key, *[F.col(f"_new.{x}").alias(x) for x in attrs], opens_at.alias("valid_from"), never.alias("valid_to"))
-    rows = F.array_compact(F.array(F.when(is_old, kept), F.when(replaced | ~is_old, added)))
-    versions = both.select(F.inline(rows))
-    return history.filter(~is_open).select(versions.columns).unionByName(versions)
+    replaced = is_old & is_new & rule.changed
+    ends = F.when(replaced, rule.closes_at).when(is_old & ~is_new, rule.deletes_at)
+    starts = F.coalesce(replaced | ~is_old, F.lit(False)) & F.lit(rule.adds)
+    return both.select(*[F.coalesce(f"_o_{x}", f"_n_{x}").alias(x) for x in k], "_old", "_new", ends.alias("_ends"), starts.alias("_starts"))
 
 
-def _never() -> Column:
-    return F.lit(None).cast("timestamp_ntz")
+def old_version(columns: list[str], k: list[str], end: Column) -> Column:
+    """The open version with its end, as a struct of the table's columns."""
+    return F.struct(*[F.col(x) if x in k else end.alias(x) if x == "valid_to" else F.col(f"_old.{x}").alias(x) for x in columns])
+
+
+def new_version(columns: list[str], k: list[str], rule: VersionRule) -> Column:
+    """The version that begins, as a struct of the table's columns."""
+    times = {"valid_from": rule.opens_at, "valid_to": _never()}
+    return F.struct(*[F.col(x) if x in k else times[x].alias(x) if x in times else F.col(f"_new.{x}").alias(x) for x in columns])
+
+
+def _next_versions(history: DataFrame, current: DataFrame, k: list[str], rule: VersionRule) -> DataFrame:
+    """All versions after a look at the current rows; closed versions pass through."""
+    is_open = F.col("valid_to").isNull()
+    both = version_changes(history.filter(is_open), current, k, rule)
+    rows = [F.when(F.col("_old").isNotNull(), old_version(history.columns, k, F.col("_ends")))]
+    if rule.adds:
+        rows.append(F.when(F.col("_starts"), new_version(history.columns, k, rule)))
+    return history.filter(~is_open).unionByName(both.select(F.inline(F.array_compact(F.array(*rows)))))
 
 
 def snapshot_timestamp(
     history: DataFrame, current: DataFrame, k: list[str], updated_at: str, as_of: str, hard_deletes: bool = False
 ) -> DataFrame:
-    """New version when updated_at grows; versions start and end at the source's update time."""
-    newer = F.col(f"_new.{updated_at}") > F.col(f"_old.{updated_at}")
-    starts = F.col(f"_new.{updated_at}").cast("timestamp_ntz")
-    gone = F.lit(as_of).cast("timestamp_ntz") if hard_deletes else _never()
-    return _next_versions(history, current, k, newer, starts, starts, gone)
+    return _next_versions(history, current, k, timestamp_rule(updated_at, as_of, hard_deletes))
 
 
 def snapshot_check(
     history: DataFrame, current: DataFrame, k: list[str], check_cols: list[str], as_of: str, hard_deletes: bool = False
 ) -> DataFrame:
-    """New version as of now when any check column differs, null-safe."""
-    differs = any_of([~F.col(f"_new.{x}").eqNullSafe(F.col(f"_old.{x}")) for x in check_cols])
-    now = F.lit(as_of).cast("timestamp_ntz")
-    return _next_versions(history, current, k, differs, now, now, now if hard_deletes else _never())
+    return _next_versions(history, current, k, check_rule(check_cols, as_of, hard_deletes))
 
 
 def snapshot_hard_deletes(history: DataFrame, current: DataFrame, k: list[str], as_of: str) -> DataFrame:
     """Close the open versions whose key left the source."""
-    mark = current.select(*k).distinct().withColumn("_present", F.lit(True))
-    gone = F.col("valid_to").isNull() & F.col("_present").isNull()
-    closed = F.when(gone, F.lit(as_of).cast("timestamp_ntz")).otherwise(F.col("valid_to"))
-    return attach(history, mark, k).withColumn("valid_to", closed).drop("_present")
+    return _next_versions(history, current.select(*k).distinct(), k, delete_rule(as_of))
 
 
 def first_snapshot(current: DataFrame, starts: Column) -> DataFrame:

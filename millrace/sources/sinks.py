@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import math
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.operators.write import merged_partitions
-from millrace.sources.session import cut_lineage
+from millrace.sources.session import scratch_path
 
 
 def write_full_refresh(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
@@ -20,21 +21,34 @@ def overwrite_partitions(df: DataFrame, path: str, partition_by: tuple[str, ...]
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
 
 
-def merge_partitions(path: str, new: DataFrame, k: list[str], part: list[str], **merge) -> None:
-    """Upsert into a partitioned table on disk. Only files of partitions that change are written; those of all others stay as they are.
+def file_sizes(spark: SparkSession, path: str) -> list[tuple[str, int]]:
+    """Files below a folder and their bytes, largest first. Contents are not read."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true").load(path)
+    return [tuple(r) for r in files.select("path", "length").orderBy(F.col("length").desc()).collect()]
 
-    Keys must stay in their partition: a dynamic overwrite cannot empty one (``emptied_partitions`` tells beforehand).
-    """
-    target = new.sparkSession.read.parquet(path).select(*new.columns)
-    overwrite_partitions(cut_lineage(merged_partitions(target, new, k, part, **merge), "merged"), path, tuple(part))
 
+def export_parquet(df: DataFrame, root: str, table: str, as_of: str, max_bytes: int = 100 * 2**20, sample_rows: int = 100_000) -> str:
+    """Dated export folder whose files hold at most ``max_bytes`` each. Returns the folder written.
 
-def export_parquet(df: DataFrame, root: str, table: str, as_of: str, max_records: int = 1_000_000) -> str:
-    """Dated export folder with a cap on records per file. Returns the folder written."""
+    A sample of at most about ``sample_rows`` rows is written first, to see how many bytes a row takes once encoded; the rows are then dealt evenly, wide and narrow
+    ones alike, to as many files as three quarters of the limit need. The folder is listed afterwards and, should a file still be too large, dealt to more
+    files. Only a row that is larger than the limit by itself keeps a larger file.
+    """
+    spark = df.sparkSession
     stamp = "".join(ch for ch in as_of if ch.isdigit())
     path = f"{root}/{table}/{stamp}"
-    df.write.mode("overwrite").option("maxRecordsPerFile", max_records).parquet(path)
-    return path
+    rows = df.count()
+    sampled = scratch_path(spark, "sample")
+    df.sample(min(1.0, sample_rows / max(rows, 1)), seed=1).write.parquet(sampled)
+    seen = spark.read.schema(df.schema).parquet(sampled).count()
+    a_row = sum(size for _, size in file_sizes(spark, sampled)) / max(seen, 1)
+    files = max(1, min(rows, math.ceil(rows * a_row / (0.75 * max_bytes))))
+    while True:
+        df.repartition(files).write.mode("overwrite").parquet(path)
+        largest = max((size for _, size in file_sizes(spark, path)), default=0)
+        if largest <= max_bytes or files >= rows:
+            return path
+        files = min(rows, math.ceil(files * max(largest / (0.75 * max_bytes), 1.25)))
 
 
 def backup_table(df: DataFrame, as_of: str) -> DataFrame:

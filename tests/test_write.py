@@ -109,23 +109,27 @@ def test_sinks_round_trip(spark, log):
     sinks.overwrite_partitions(change, path, ("src",))
     back = spark.read.schema(log.schema).parquet(path)
     assert back.filter("v = 0 and src = 's1'").count() == change.count() and back.count() == log.count()
-    out = sinks.export_parquet(log.coalesce(1), scratch_path(spark, "e"), "log", "2024-02-03 04:05:06", max_records=7)
-    assert out.endswith("/log/20240203040506") and len(spark.read.parquet(out).inputFiles()) == 3
+    out = sinks.export_parquet(log.coalesce(1), scratch_path(spark, "e"), "log", "2024-02-03 04:05:06")
+    assert out.endswith("/log/20240203040506") and len(spark.read.parquet(out).inputFiles()) == 1 and rows(spark.read.parquet(out)) == rows(log)
     assert sinks.backup_table(log, "2024-02-03").columns[0] == "backup_date"
 
 
-def test_merge_writes_only_the_partitions_it_changes(spark, tmp_path):
-    path = str(tmp_path / "t")
-    old = spark.createDataFrame([(i, i % 4, "old") for i in range(40)], "k long, p long, v string")
-    old.repartition(1).write.partitionBy("p").parquet(path)
-    files = lambda p: sorted(f.name for f in (tmp_path / "t" / f"p={p}").glob("*.parquet"))
-    before = {p: files(p) for p in range(4)}
-    new = spark.createDataFrame([(1, 1, "new"), (41, 1, "new"), (43, 3, "new")], "k long, p long, v string")
-    sinks.merge_partitions(path, new, ["k"], ["p"])
-    after = {p: files(p) for p in range(4)}
-    assert after[0] == before[0] and after[2] == before[2] and after[1] != before[1] and after[3] != before[3]
-    got = {r.k: r.v for r in spark.read.parquet(path).collect()}
-    assert len(got) == 42 and list(got.values()).count("new") == 3
+@pytest.mark.parametrize("wide", [0, 3, 40])
+def test_export_keeps_every_file_below_the_limit(spark, wide):
+    """Narrow rows with some wide ones among them, which the sample may miss."""
+    text = F.when(F.col("id") % 1000 < wide, F.array_join(F.transform(F.sequence(F.lit(1), F.lit(2000)), lambda i: F.sha2((F.col("id") * 5000 + i).cast("string"), 256)), "")).otherwise("x")
+    df = spark.range(20_000, numPartitions=3).withColumn("text", text)
+    out = sinks.export_parquet(df, scratch_path(spark, "e"), "mixed", "2024-02-03", max_bytes=2**20, sample_rows=500)
+    sizes = [size for _, size in sinks.file_sizes(spark, out)]
+    assert max(sizes) <= 2**20 and spark.read.parquet(out).count() == 20_000 and (wide or len(sizes) == 1)
+    assert rows(spark.read.parquet(out).agg(F.sum("id"), F.sum(F.length("text")))) == rows(df.agg(F.sum("id"), F.sum(F.length("text"))))
+
+
+def test_export_of_nothing_and_of_one_huge_row(spark):
+    assert spark.read.schema("id long").parquet(sinks.export_parquet(spark.range(0), scratch_path(spark, "e"), "none", "2024-02-03")).count() == 0
+    huge = spark.range(3).withColumn("t", F.repeat(F.sha2(F.col("id").cast("string"), 256), 50_000))
+    out = sinks.export_parquet(huge, scratch_path(spark, "e"), "huge", "2024-02-03", max_bytes=1000)
+    assert spark.read.parquet(out).count() == 3 and len(sinks.file_sizes(spark, out)) in (3, 4)
 
 
 def test_nothing_is_left_in_the_shared_folder(spark):
