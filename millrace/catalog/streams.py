@@ -49,5 +49,18 @@ def stream_upsert_batch(t):
                from events group by 1, 2)
     select * from d where day + interval 1 day <= (select max(ts) - interval 6 hour from events)""")
 def stream_daily_counts(t):
-    counted = T.stream_daily_counts(_events(t), "ts", ["event_type"], "6 hours", {"cents": F.sum(cents("value"))})
-    return T.run_append(counted, *_paths(t, "daily"))
+    table = T.store_daily_counts(_events(t), *_paths(t, "daily"), "ts", ["event_type"], "6 hours", {"cents": cents("value")})
+    return T.daily_counts(table, ["event_type"], "6 hours", ["cents"]).drop("n_late")
+
+
+@register("stream_late_rows", """
+    with arrived as (select event_id, ts, user_id, event_type, 1 as run from events where event_id % 10 <> 3 union all select event_id, ts, user_id, event_type, 2 from events where event_id % 10 = 3)
+    select event_id, ts, user_id, event_type from arrived where run = 2 and ts <= (select max(ts) from arrived where run = 1) - interval 2 day""")
+def stream_late_rows(t):
+    """Rows that arrive in a second run, a tenth of all, where the watermark of a two-day delay has passed most of them."""
+    base = scratch_path(t.spark, "late")
+    events = t["events"].select("event_id", "ts", "user_id", "event_type")
+    for part in (F.col("event_id") % 10 != 3, F.col("event_id") % 10 == 3):
+        events.where(part).write.mode("append").parquet(f"{base}/in")
+        table = T.store_late_rows(T.event_stream(t.spark, f"{base}/in", events.schema, "ts"), f"{base}/late", f"{base}/checkpoint", "ts", "2 days")
+    return T.late_rows(table)

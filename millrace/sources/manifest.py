@@ -10,6 +10,7 @@ eight bytes a row, and from no other column. One writer at a time; any number of
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 from dataclasses import dataclass, field
 from functools import reduce
@@ -17,7 +18,7 @@ from functools import reduce
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from millrace.functions.columns import any_of
 from millrace.operators.keyed import only_matching
@@ -35,23 +36,27 @@ class ManifestTable:
     #: Columns whose maxima the manifest keeps for each partition.
     maxima: list[str] = field(default_factory=list)
 
-    def manifests(self) -> DataFrame | None:
+    def version(self) -> int:
+        """Number of the newest commit; -1 before the first. Manifests are listed, not read."""
         try:
-            return self.spark.read.parquet(f"{self.path}/manifest")
+            listed = self.spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(f"{self.path}/manifest")
         except AnalysisException as missing:
             if missing.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return None
-
-    def version(self) -> int:
-        """Number of the newest commit; -1 before the first."""
-        every = self.manifests()
-        return -1 if every is None else every.agg(F.max("v")).first()[0]
+            return -1
+        return max((int(re.search(r"/v=(\d+)/", file)[1]) for file in listed.inputFiles()), default=-1)
 
     def entries(self) -> list[Row]:
         """The newest manifest: one row for each partition and commit that holds rows of it. As many rows as the table has folders."""
-        every = self.manifests()
-        return [] if every is None else every.where((F.col("v") == self.version()) & F.col("commit").isNotNull()).collect()
+        newest = self.version()
+        if newest < 0:
+            return []
+        return self.spark.read.schema(self.entry_schema).parquet(f"{self.path}/manifest/v={newest}").where("commit is not null").collect()
+
+    @property
+    def entry_schema(self) -> StructType:
+        fields = [self.schema[x] for x in self.part] + [StructField("n", LongType())] + [StructField(f"max_{x}", self.schema[x].dataType) for x in self.maxima]
+        return StructType([*fields, StructField("commit", LongType())])
 
     def highest(self, column: str):
         """The column's maximum over the table, from the manifest alone."""
@@ -71,7 +76,7 @@ class ManifestTable:
     def commit(self, rows: DataFrame, replaced: Iterable[tuple] = ()) -> None:
         """Add rows; the partitions in ``replaced`` hold nothing but what ``rows`` has for them afterwards."""
         number, gone = self.version() + 1, set(replaced)
-        kept = [r for r in self.entries() if self._values(r) not in gone]
+        kept = [r for r in (self.entries() if number else []) if self._values(r) not in gone]
         rows.select(*self.schema.names).write.mode("overwrite").partitionBy(*self.part).parquet(f"{self.path}/data/commit={number}")
         written = self.spark.read.schema(self.schema).parquet(f"{self.path}/data/commit={number}")
         if self.k:
@@ -79,10 +84,12 @@ class ManifestTable:
             hashed.write.mode("overwrite").partitionBy(*self.part).parquet(f"{self.path}/keys/commit={number}")
         facts = [F.count(F.lit(1)).alias("n"), *[F.max(x).alias(f"max_{x}") for x in self.maxima]]
         added = written.groupBy(*self.part).agg(*facts).withColumn("commit", F.lit(number).cast("long"))
-        listed = self.spark.createDataFrame([tuple(r[x] for x in added.columns) for r in kept], added.schema).unionByName(added)
-        # One file: it is there or it is not. A table without rows still has a manifest, of one row without a commit.
-        nothing = self.spark.range(1).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in added.schema])
-        listed.unionByName(nothing).coalesce(1).withColumn("v", F.lit(number).cast("long")).write.mode("append").partitionBy("v").parquet(f"{self.path}/manifest")
+        # One file, which is there or is not. A table without rows has one, too: of one row without a commit.
+        names = self.entry_schema.names
+        listed = [tuple(r) for r in kept] + [tuple(r) for r in added.select(*names).collect()] + [(None,) * len(names)]
+        nullable = StructType([StructField(f.name, f.dataType) for f in self.entry_schema])
+        manifest = self.spark.createDataFrame(listed, nullable).withColumn("v", F.lit(number).cast("long"))
+        manifest.coalesce(1).write.mode("append").partitionBy("v").parquet(f"{self.path}/manifest")
 
     def _values(self, entry: Row) -> tuple:
         return tuple(entry[x] for x in self.part)

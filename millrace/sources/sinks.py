@@ -43,12 +43,14 @@ def export_parquet(df: DataFrame, root: str, table: str, as_of: str, max_bytes:
     seen = spark.read.schema(df.schema).parquet(sampled).count()
     a_row = sum(size for _, size in file_sizes(spark, sampled)) / max(seen, 1)
     files = max(1, min(rows, math.ceil(rows * a_row / (0.75 * max_bytes))))
-    while True:
+    while files < rows or not rows:
         df.repartition(files).write.mode("overwrite").parquet(path)
         largest = max((size for _, size in file_sizes(spark, path)), default=0)
-        if largest <= max_bytes or files >= rows:
+        if largest <= max_bytes:
             return path
-        files = min(rows, math.ceil(files * max(largest / (0.75 * max_bytes), 1.25)))
+        files = math.ceil(files * max(largest / (0.75 * max_bytes), 1.25))
+    df.write.mode("overwrite").option("maxRecordsPerFile", 1).parquet(path)
+    return path
 
 
 def backup_table(df: DataFrame, as_of: str) -> DataFrame:
