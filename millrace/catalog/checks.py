@@ -9,6 +9,7 @@ from millrace.catalog.registry import AS_OF, register
 from millrace.functions.columns import cents
 from millrace.functions.dates import add_part, day
 from millrace.operators import quality as Q
+from millrace.operators import quality_run as R
 from millrace.sources import frames
 from millrace.sources.tables import SOURCES
 
@@ -205,3 +206,46 @@ def dq_backup_integrity(t):
         },
         AS_OF,
     )
+
+
+def order_checks():
+    return {
+        "finished orders per customer": R.unique(["o_custkey"], F.col("o_orderstatus") == "F"),
+        "one order of a priority per day": R.unique(["o_orderpriority", "o_orderdate"]),
+        "priority known": R.not_null("priority", F.col("o_orderkey") % 4 != 1),
+        "status accepted": R.accepted_values("o_orderstatus", ["F", "O"]),
+        "priority not accepted": R.not_accepted_values("o_orderpriority", ["1-URGENT", "none"]),
+        "price in range": R.accepted_range("o_totalprice", 5000, 300000),
+        "finished orders are cheap": R.expression_is_true(F.col("o_totalprice") < 200000, F.col("o_orderstatus") == "F"),
+        "some order is lost": R.at_least_one("lost"),
+        "status text varies": R.not_constant("status_length"),
+        "priorities known in general": R.not_null_proportion("priority", 0.95),
+        "dates known in general": R.not_null_proportion("o_orderdate", 0.95),
+        "recent": R.recency("o_orderdate", "day", 30, "2024-01-01"),
+    }
+
+
+def order_columns(t):
+    orders = t["orders"].select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "o_orderdate", "o_totalprice")
+    return orders.withColumns({
+        "priority": F.nullif("o_orderpriority", F.lit("5-LOW")), "lost": F.when(F.col("o_orderstatus") == "X", 1), "status_length": F.length("o_orderstatus"),
+    })
+
+
+@register("dq_run_orders", """
+    with o as (select *, nullif(o_orderpriority, '5-LOW') as priority from orders),
+    found as (
+      select 'finished orders per customer' as check_id, to_json({'o_custkey': o_custkey})::varchar as key, count(*) as n_rows, null::double as measure from o where o_orderstatus = 'F' group by o_custkey having count(*) > 1
+      union all select 'one order of a priority per day', to_json({'o_orderpriority': o_orderpriority, 'o_orderdate': strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S.000')})::varchar, count(*), null from o group by o_orderpriority, o_orderdate having count(*) > 1
+      union all select 'priority known', to_json({'o_orderkey': o_orderkey})::varchar, count(*), null from o where priority is null and o_orderkey % 4 <> 1 group by o_orderkey
+      union all select 'status accepted', to_json({'o_orderstatus': o_orderstatus})::varchar, count(*), null from o where o_orderstatus not in ('F', 'O') group by o_orderstatus
+      union all select 'priority not accepted', to_json({'o_orderpriority': o_orderpriority})::varchar, count(*), null from o where o_orderpriority in ('1-URGENT', 'none') group by o_orderpriority
+      union all select 'price in range', to_json({'o_orderkey': o_orderkey})::varchar, count(*), null from o where o_totalprice < 5000 or o_totalprice > 300000 group by o_orderkey
+      union all select 'finished orders are cheap', to_json({'o_orderkey': o_orderkey})::varchar, count(*), null from o where o_orderstatus = 'F' and not o_totalprice < 200000 group by o_orderkey
+      union all select 'some order is lost', null, count(*), count(*) filter (where o_orderstatus = 'X') from o having count(*) filter (where o_orderstatus = 'X') = 0
+      union all select 'status text varies', null, count(*), 1 from o having min(length(o_orderstatus)) = max(length(o_orderstatus))
+      union all select 'priorities known in general', null, count(*), count(priority) / count(*) from o having count(priority) / count(*) not between 0.95 and 1
+      union all select 'recent', null, count(*), epoch(max(o_orderdate)) from o having max(o_orderdate) < timestamp '2023-12-02')
+    select check_id, key, n_rows, measure::double as measure from found""")
+def dq_run_orders(t):
+    return R.run_checks(order_columns(t), ["o_orderkey"], order_checks())

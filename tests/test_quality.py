@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.operators import quality as Q
+from millrace.operators import quality_run as R
 from millrace.operators.ordered import UNCHUNKED
 from tests.helpers import d, rows, ts
 
@@ -105,3 +106,51 @@ def test_closed_month(spark, as_of, limit):
 def test_failure_counts(spark):
     df = frame(spark, [(1,), (1,)], "x int")
     assert rows(Q.failure_counts({"unique": Q.dq_unique(df, "x"), "null": Q.dq_not_null(df, "x")})) == [("unique", 1)]
+
+
+def test_one_run_equals_the_single_checks(spark):
+    """Every check of the table by itself, and all in one scan."""
+    import json
+
+    df = spark.createDataFrame(
+        [(1, "a", 5.0, ts("2024-01-01"), None), (2, None, None, ts("2024-01-03"), None), (3, "a", -1.0, None, None), (3, "b", 99.0, ts("2024-01-02"), None), (None, "c", 7.0, ts("2024-01-02"), None)],
+        "id int, s string, x double, at timestamp_ntz, none int").withColumn("same", F.lit("k"))
+    even = F.col("id") != 2
+    both = {
+        "unique": (R.unique(["id"]), Q.dq_unique(df, "id")), "unique where": (R.unique(["s"], F.col("x") > 0), Q.dq_unique(df, "s", F.col("x") > 0)),
+        "pair": (R.unique(["s", "same"]), Q.dq_unique_combination(df, ["s", "same"])), "null": (R.not_null("x"), Q.dq_not_null(df, "x")), "null where": (R.not_null("s", even), Q.dq_not_null(df, "s", even)),
+        "values": (R.accepted_values("s", ["a", "b"]), Q.dq_accepted_values(df, "s", ["a", "b"])), "not values": (R.not_accepted_values("s", ["a"]), Q.dq_not_accepted_values(df, "s", ["a"])),
+        "range": (R.accepted_range("x", 0, 50), Q.dq_accepted_range(df, "x", 0, 50)), "open range": (R.accepted_range("x", 5, None, False), Q.dq_accepted_range(df, "x", 5, None, False)),
+        "expression": (R.expression_is_true(F.col("x") > 6), Q.dq_expression_is_true(df, F.col("x") > 6)), "expression where": (R.expression_is_true(F.col("x") > 6, F.col("s") == "a"), Q.dq_expression_is_true(df, F.col("x") > 6, F.col("s") == "a")),
+        "one": (R.at_least_one("none"), Q.dq_at_least_one(df, "none")), "one there": (R.at_least_one("s"), Q.dq_at_least_one(df, "s")),
+        "constant": (R.not_constant("same"), Q.dq_not_constant(df, "same")), "varies": (R.not_constant("s"), Q.dq_not_constant(df, "s")), "all null": (R.not_constant("none"), Q.dq_not_constant(df, "none")),
+        "share": (R.not_null_proportion("x", 0.9), Q.dq_not_null_proportion(df, "x", 0.9)), "share fine": (R.not_null_proportion("x", 0.1), Q.dq_not_null_proportion(df, "x", 0.1)),
+        "old": (R.recency("at", "day", 5, "2024-02-01"), Q.dq_recency(df, "at", "day", 5, "2024-02-01")), "fresh": (R.recency("at", "day", 5, "2024-01-05"), Q.dq_recency(df, "at", "day", 5, "2024-01-05")),
+    }
+    run = R.run_checks(df, ["id", "s", "x"], {name: check for name, (check, _) in both.items()})
+    found = {}
+    for r in run.collect():
+        found.setdefault(r.check_id, []).append(r)
+    for name, (check, single) in both.items():
+        mine, want = found.get(name, []), single.collect()
+        if check.key is None:
+            assert sorted(json.dumps(json.loads(r.key)) for r in mine for _ in range(r.n_rows)) == sorted(json.dumps({"id": r.id, "s": r.s, "x": r.x}) for r in want), name
+        elif check.key:
+            assert sorted((r.n_rows, str(list(json.loads(r.key).values()))) for r in mine) == sorted((r.n_records, str(list(r)[:-1])) for r in want), name
+        else:
+            assert len(mine) == len(want) and all(r.n_rows == 5 and r.key is None for r in mine), name
+    assert found["share"][0].measure == 0.8 and found["one"][0].measure == 0
+
+
+def test_one_run_over_an_empty_table(spark):
+    df = spark.createDataFrame([], "id int, at timestamp_ntz")
+    checks = {"u": R.unique(["id"]), "o": R.at_least_one("id"), "c": R.not_constant("id"), "p": R.not_null_proportion("id", 0.9), "r": R.recency("at", "day", 1, "2024-01-01")}
+    assert rows(R.run_checks(df, ["id"], checks)) == [("o", None, 0, 0.0)]
+
+
+def test_one_run_reads_the_table_once(spark):
+    from millrace.catalog import load
+    from tests.helpers import plan
+
+    text = plan(load()["dq_run_orders"](spark, "/root/testdata/sf0.001"))
+    assert text.count("FileScan") == 1 and text.count("Exchange") == 1
