@@ -9,10 +9,6 @@ from millrace.functions.columns import cents, money
 from millrace.operators import aggregates as A
 
 
-def band_cents():
-    return F.floor(F.col("cents") / F.lit(100_000))
-
-
 @register("group_agg", """
     select l_returnflag, l_linestatus, sum(l_quantity) as sum_qty,
            sum(cast(round(l_extendedprice * 100) as bigint))::bigint / 100 as sum_base_price,
@@ -95,7 +91,7 @@ def listagg_ordered(t):
     from (select l_returnflag, cast(round(l_extendedprice * 100) as bigint) as cents from lineitem) group by 1""")
 def median_stddev(t):
     lines = t["lineitem"].select("l_returnflag", cents("l_extendedprice").alias("cents"))
-    return A.median_stddev(lines, ["l_returnflag"], "cents", band_cents())
+    return A.median_stddev(lines, ["l_returnflag"], "cents")
 
 
 @register("percentile_tier", """
@@ -106,7 +102,7 @@ def median_stddev(t):
     from customer join p using (c_mktsegment)""")
 def percentile_tier(t):
     scores = t["customer"].select("c_custkey", "c_mktsegment", cents("c_acctbal").alias("cents"))
-    return A.percentile_tier(scores, ["c_mktsegment"], "cents", [(0.8, "high"), (0.6, "medium")], "low", band_cents())
+    return A.percentile_tier(scores, ["c_mktsegment"], "cents", [(0.8, "high"), (0.6, "medium")], "low")
 
 
 @register("strict_sum", """

@@ -116,7 +116,7 @@ def potential_tier(t):
         F.col("c_custkey").alias("company_id"), F.lit("2001-02-01").cast("timestamp_ntz").alias("snapshot_at"),
         F.round(F.col("c_acctbal") * 50).cast("long").alias("score"),
     )
-    return P.potential_tier(base.unionByName(again), "company_id", "snapshot_at", "score", F.floor(F.col("score") / F.lit(100_000)))
+    return P.potential_tier(base.unionByName(again), "company_id", "snapshot_at", "score")
 
 
 @register("retention_episodes", S.ctes(S.MART_ORDERS) + """

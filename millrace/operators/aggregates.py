@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.columns import ladder
 from millrace.operators.keyed import KEY, attach, packed
-from millrace.operators.ordered import order_statistics
+from millrace.operators.selection import exact_percentiles
 
 
 def group_agg(df: DataFrame, k: list[str], aggs: Mapping[str, Column]) -> DataFrame:
@@ -60,17 +60,15 @@ def listagg_over(df: DataFrame, k: list[str], col: str, most_chars: int) -> Data
     return labels.groupBy(*k).agg(F.sum(F.length(col)).alias("n_chars")).filter(F.col("n_chars") > most_chars)
 
 
-def median_stddev(df: DataFrame, k: list[str], col: str, band: Column, digits: int = 4) -> DataFrame:
+def median_stddev(df: DataFrame, k: list[str], col: str, digits: int = 4) -> DataFrame:
     """Exact median and sample standard deviation per key."""
-    middle = order_statistics(df, k, col, {"median": 0.5}, band)
-    spread = df.groupBy(*k).agg(F.round(F.stddev_samp(col), digits).alias("stddev"))
-    return attach(middle, spread, k)
+    return exact_percentiles(df, k, col, {"median": 0.5}, {"stddev": F.round(F.stddev_samp(col), digits)})
 
 
-def percentile_tier(df: DataFrame, part: list[str], col: str, tiers: list[tuple[float, str]], lowest: str, band: Column) -> DataFrame:
+def percentile_tier(df: DataFrame, part: list[str], col: str, tiers: list[tuple[float, str]], lowest: str) -> DataFrame:
     """Label every row by the highest percentile of its partition that it exceeds."""
     points = {f"_p{i}": p for i, (p, _) in enumerate(tiers)}
-    limits = order_statistics(df, part, col, points, band)
+    limits = exact_percentiles(df, part, col, points)
     steps = [(F.col(col) > F.col(f"_p{i}"), label) for i, (_, label) in enumerate(tiers)]
     return attach(df, limits, part).withColumn("tier", ladder(steps, lowest)).drop(*points)
 

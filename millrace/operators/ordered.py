@@ -133,28 +133,6 @@ def status_duration(
     return nxt.withColumn("seconds_in_state", seconds)
 
 
-def order_statistics(df: DataFrame, k: list[str], col: str, points: dict[str, float], band: Column) -> DataFrame:
-    """Exact interpolated percentiles of col per key, without gathering a key in one task.
-
-    Values are first counted, then their ranks follow from a running count along value bands
-    (``band`` must not decrease with col). out -> p in [0, 1].
-    """
-    counts = df.filter(F.col(col).isNotNull()).groupBy(*k, col).agg(F.count(F.lit(1)).alias("_n"))
-    ranked = running_total(counts, k, [col], "_n", "_upto", band)
-    total = df.groupBy(*k).agg(F.count(col).alias("_total"))
-    sized = attach(ranked, total, k) if k else ranked.withColumn("_total", total.select("_total").scalar())
-    picks, outs = [], []
-    for i, (name, p) in enumerate(points.items()):
-        position = F.lit(p) * (F.col("_total") - 1)
-        picks += [
-            F.min(F.when(F.col("_upto") > F.floor(position), F.col(col))).alias(f"_lo{i}"),
-            F.min(F.when(F.col("_upto") > F.ceil(position), F.col(col))).alias(f"_hi{i}"),
-            F.max(position - F.floor(position)).alias(f"_w{i}"),
-        ]
-        outs.append((F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * F.col(f"_w{i}")).alias(name))
-    return sized.groupBy(*k).agg(*picks).select(*k, *outs)
-
-
 def rank_in_group(df: DataFrame, k: list[str], col: str, out: str, chunk: Column | None) -> DataFrame:
     """rank() of col inside the key: 1 + rows with a smaller value, from counts per value."""
     counts = df.groupBy(*k, col).agg(F.count(F.lit(1)).alias("_n"))

@@ -168,9 +168,9 @@ def rfm_segments(orders: DataFrame, k: str, as_of: str) -> DataFrame:
     return scored.select(k, "aov", "recency", "frequency", "monetary", "r_score", "f_score", "m_score", ladder(steps).alias("rfm_segment"))
 
 
-def potential_tier(scores: DataFrame, k: str, snapshot: str, score: str, band: Column) -> DataFrame:
+def potential_tier(scores: DataFrame, k: str, snapshot: str, score: str) -> DataFrame:
     """Tier of each entity's earliest score, judged inside its snapshot."""
-    tiers = percentile_tier(scores, [snapshot], score, [(0.8, "high"), (0.6, "medium")], "low", band)
+    tiers = percentile_tier(scores, [snapshot], score, [(0.8, "high"), (0.6, "medium")], "low")
     return first_rows(tiers, [k], [snapshot, score])
 
 

@@ -9,8 +9,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.columns import ladder, sum_when
 from millrace.functions.dates import add_part, boundary_diff, day, month
-from millrace.operators.aggregates import median_stddev
-from millrace.operators.keyed import attach
+from millrace.operators.selection import exact_percentiles
 from millrace.sources.session import cut_lineage
 
 # Days of run rate, working days in them, share of sourced value that survives, months of recognition history.
@@ -86,10 +85,10 @@ def delay_statistics(orders: DataFrame, as_of: str, large_cents: int) -> DataFra
     months = dated.select("technology", "_m").distinct()
     rank = F.row_number().over(Window.partitionBy("technology").orderBy(F.col("_m").desc()))
     recent = dated.join(months.withColumn("_r", rank).filter(F.col("_r") <= DELAY_MONTHS).select("technology", "_m"), ["technology", "_m"])
-    spread = median_stddev(recent, ["technology"], "late_days", F.floor(F.col("late_days") / F.lit(30)))
-    mean = recent.groupBy("technology").agg((F.sum("late_days") / F.count(F.lit(1))).alias("mean"))
+    facts = {"stddev": F.round(F.stddev_samp("late_days"), 4), "mean": F.sum("late_days") / F.count(F.lit(1))}
+    spread = exact_percentiles(cut_lineage(recent.select("technology", "late_days"), "delays"), ["technology"], "late_days", {"median": 0.5}, facts)
     high = F.floor(F.col("median") + 0.5) + F.floor(F.col("stddev") + 0.5)
-    return attach(mean, spread, ["technology"]).select(
+    return spread.select(
         "technology", F.floor("mean").cast("int").alias("mean_delay"), F.coalesce(high, F.floor(F.col("median") + 0.5)).cast("int").alias("high_delay")
     )
 

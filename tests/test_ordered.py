@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators import aggregates as A
 from millrace.operators import ordered as O
+from millrace.operators import selection as S
 from millrace.operators import windows as W
 from tests.helpers import rows
 
@@ -62,17 +63,34 @@ def test_status_duration_skips_unknown_states(spark):
     assert {r.s: r.seconds_in_state for r in got.collect()} == {"a": 86400, "b": None}
 
 
-def test_order_statistics_are_exact(skewed):
-    got = {r.k: (r.p50, r.p90) for r in O.order_statistics(skewed, ["k"], "v", {"p50": 0.5, "p90": 0.9}, F.floor(F.col("v") / F.lit(7))).collect()}
-    want = skewed.groupBy("k").agg(F.percentile("v", 0.5).alias("a"), F.percentile("v", 0.9).alias("b")).collect()
+@pytest.mark.parametrize("kind", ["long", "int", "double", "float"])
+@pytest.mark.parametrize("factor", [1, 1_000_003, -3])
+def test_percentiles_are_exact(skewed, kind, factor):
+    typed = skewed.withColumn("v", (F.col("v") * factor - (0 if kind in ("long", "int") else 0.37)).cast(kind))
+    got = {r.k: (r.p0, r.p50, r.p90, r.p100, r.n) for r in S.exact_percentiles(typed, ["k"], "v", {"p0": 0, "p50": 0.5, "p90": 0.9, "p100": 1}, {"n": F.count("v")}).collect()}
+    want = typed.groupBy("k").agg(*[F.percentile("v", p).alias(f"p{i}") for i, p in enumerate((0.0, 0.5, 0.9, 1.0))], F.count("v").alias("n")).collect()
+    assert set(got) == {r.k for r in want}
     for r in want:
-        if r.a is not None:
-            assert got[r.k][0] == pytest.approx(r.a) and got[r.k][1] == pytest.approx(r.b)
+        assert got[r.k] == (pytest.approx(r.p0), pytest.approx(r.p1), pytest.approx(r.p2), pytest.approx(r.p3), r.n)
+
+
+def test_percentiles_over_all_bits(spark):
+    values = [-(2**63), -(2**40) - 7, -65537, -1, 0, 1, 65535, 65536, 2**33, 2**63 - 1]
+    assert S.exact_percentiles(spark.createDataFrame([], "k string, v long"), ["k"], "v", {"p": 0.5}).count() == 0
+    for some in (values, values[5:], values[3:5], [5, 5, 5], [None, None]):
+        df = spark.createDataFrame([(None, v) for v in some], "k string, v long")
+        picks = S.exact_percentiles(df, ["k"], "v", {f"p{i}": i / max(len(some) - 1, 1) for i in range(len(some))})
+        assert [tuple(r)[1:] for r in picks.collect()] == [tuple(float(v) if v is not None else None for v in sorted(some, key=lambda v: v or 0))]
+    odd = [float("-inf"), -1e300, -0.0, 0.0, 5e-324, 1.5, float("inf")]
+    df = spark.createDataFrame([(v,) for v in odd], "v double")
+    assert [r.p for r in [S.exact_percentiles(df, [], "v", {"p": i / 6}).first() for i in (1, 2, 4, 5)]] == [-1e300, 0.0, 5e-324, 1.5]
+    with pytest.raises(TypeError):
+        S.exact_percentiles(spark.createDataFrame([("x",)], "v string"), [], "v", {"p": 0.5})
 
 
 def test_median_stddev(skewed):
     values = [r.v for r in skewed.filter("k = 7 and v is not null").collect()]
-    got = {r.k: r for r in A.median_stddev(skewed, ["k"], "v", F.floor(F.col("v") / F.lit(7))).collect()}[7]
+    got = {r.k: r for r in A.median_stddev(skewed, ["k"], "v").collect()}[7]
     assert got["median"] == statistics.median(values)
     assert got["stddev"] == pytest.approx(statistics.stdev(values), abs=1e-4)
 
