@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from millrace.functions.columns import ladder
 from millrace.operators.keyed import KEY, attach, packed
 from millrace.operators.selection import exact_percentiles
+from millrace.operators.spines import dense_ids_for_labels
+from millrace.sources.session import cut_lineage
 
 
 def group_agg(df: DataFrame, k: list[str], aggs: Mapping[str, Column]) -> DataFrame:
@@ -148,16 +151,36 @@ def residual_allocation(parent: DataFrame, child: DataFrame, k: list[str], col:
     return child.select(*k, "item", col).unionByName(rest)
 
 
+def id_bitmaps(df: DataFrame, k: list[str], col: str) -> DataFrame:
+    """Exact sets of the column's values per key, as bitmaps of 32,768 ids: k, ``bucket`` and ``bits``. Rows of one bucket lie together.
+
+    Whole numbers are their own ids; other values get dense ids first. Repeats are dropped before the first shuffle and bitmaps are built
+    where a bucket's ids have come together: built from scattered ids they would be larger than the rows.
+    """
+    rows = df.where(F.col(col).isNotNull())
+    if isinstance(df.schema[col].dataType, IntegralType):
+        rows = rows.select(*k, F.col(col).cast("long").alias("_id"))
+    else:
+        rows = dense_ids_for_labels(cut_lineage(rows.select(*k, col).distinct(), "labelled"), col, "_id")
+    ids = rows.select(*k, F.bitmap_bucket_number("_id").alias("bucket"), F.bitmap_bit_position("_id").alias("_bit")).distinct()
+    return ids.repartition("bucket").groupBy("bucket", *k).agg(F.bitmap_construct_agg("_bit").alias("bits"))
+
+
 def rolling_distinct_12m(df: DataFrame, ts: str, entity: str, as_of: str, months: int = 24, span: int = 12) -> DataFrame:
     """Distinct entities active in the span months up to each of the last ``months`` months.
 
-    Rows shrink to distinct (entity, month) first; each then counts in ``span`` report months.
+    Entities become bitmaps per month and bucket of ids; the report slides a union over the months of a bucket and adds up what the unions hold. No
+    row is repeated for the months that it counts in.
     """
     this_month = F.trunc(F.lit(as_of).cast("date"), "month")
-    oldest = F.add_months(this_month, -(months + span - 2))
-    active = df.withColumn("_m", F.trunc(F.col(ts), "month")).filter(F.col("_m").between(oldest, this_month))
-    active = active.select(entity, "_m").distinct()
-    report = F.explode(F.sequence(F.col("_m"), F.add_months("_m", span - 1), F.expr("interval 1 month")))
-    spread = active.select(entity, report.alias("month"))
-    spread = spread.filter(F.col("month").between(F.add_months(this_month, -(months - 1)), this_month))
-    return spread.groupBy("month").agg(F.count_distinct(entity).alias("entities"))
+    number = lambda day: F.year(day) * 12 + F.month(day) - 1
+    last = number(this_month)
+    active = df.select(number(F.col(ts)).alias("_m"), entity).where(F.col("_m").between(last - (months + span - 2), last))
+    sets = id_bitmaps(active, ["_m"], entity).withColumn("_asked", F.lit(False))
+    # One more row a bucket and report month, so that months without own rows have their union, too.
+    asked = sets.groupBy("bucket").agg(F.max(last).alias("_last"))
+    asked = asked.select(F.explode(F.sequence(F.col("_last") - (months - 1), F.col("_last"))).alias("_m"), "bucket", F.lit(None).cast("binary").alias("bits"), F.lit(True).alias("_asked"))
+    frame = Window.partitionBy("bucket").orderBy("_m").rangeBetween(-(span - 1), 0)
+    unions = sets.select("_m", "bucket", "bits", "_asked").unionAll(asked).withColumn("_union", F.bitmap_or_agg("bits").over(frame)).where("_asked")
+    counted = unions.groupBy("_m").agg(F.sum(F.bitmap_count("_union")).alias("entities")).where("entities > 0")
+    return counted.select(F.make_date(F.floor(F.col("_m") / 12).cast("int"), F.col("_m") % 12 + 1, F.lit(1)).alias("month"), "entities")

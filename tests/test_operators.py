@@ -161,3 +161,22 @@ def test_assembly_sides_are_checked_for_repeats(spark):
 def test_listagg_over_names_the_keys_that_break_the_bound(spark):
     df = spark.createDataFrame([("a", "xx"), ("a", "xx"), ("a", "yyy"), ("b", "z"), ("c", None)], "k string, v string")
     assert rows(A.listagg_over(df, ["k"], "v", 4)) == [("a", 5)]
+
+
+@pytest.mark.parametrize("entity", ["id", "name"])
+def test_rolling_distinct_equals_counting_each_window(spark, entity):
+    import random
+    from datetime import date, datetime
+
+    rng = random.Random(3)
+    data = [(rng.choice([-5, 0, 1, 7, 32767, 32768, 32769, 70_000, 10**12]), datetime(2018 + rng.randrange(4), rng.randint(1, 12), rng.randint(1, 28))) for _ in range(150)]
+    data += [(7, datetime(2020, 5, 5))] * 100 + [(None, datetime(2020, 5, 5)), (8, None)]
+    df = spark.createDataFrame([(i, f"n{i}" if i is not None else None, t) for i, t in data], "id long, name string, t timestamp_ntz")
+    got = {r.month: r.entities for r in A.rolling_distinct_12m(df, "t", entity, "2021-03-10", months=20, span=5).collect()}
+    want = {}
+    for back in range(20):
+        m = 2021 * 12 + 2 - back
+        n = len({i for i, t in data if i is not None and t is not None and m - 4 <= t.year * 12 + t.month - 1 <= m})
+        if n:
+            want[date(m // 12, m % 12 + 1, 1)] = n
+    assert got == want
