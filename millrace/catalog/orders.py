@@ -81,8 +81,8 @@ def order_fact_frame(t):
     stages = frames.mart_orders(t).select("order_id", "is_closed", "closed_at", F.when(F.col("order_id") % 13 == 0, add_part("created_at", 2, "day")).alias("cancelled_at"))
     quotes = frames.documents(t).filter("doc_type = 'quote'").groupBy("order_id").agg(F.max(F.struct("revision", "doc_id", "subtotal_cents")).alias("_q"))
     quoted = quotes.select("order_id", F.col("_q.subtotal_cents").alias("quoted_cents"))
-    # Sides that come from the same source are joined in one plan, where they share scans and shuffles, and written once.
-    sides = cut_all({group: (lambda names=names: reduce(lambda a, b: a.join(b, "order_id", "full"), [side(t, name) for name in names])) for group, names in SIDE_GROUPS.items()}, len(SIDE_GROUPS))
+    # Sides that come from the same source are joined in one plan, where they share scans and shuffles, and written once, in buckets that the fact joins as they are.
+    sides = cut_all({group: (lambda names=names: reduce(lambda a, b: a.join(b, "order_id", "full"), [side(t, name) for name in names])) for group, names in SIDE_GROUPS.items()}, len(SIDE_GROUPS), "order_id")
     legacy = frames.legacy_orders(t).select(
         (k + 10_000_000).alias("order_id"), F.col("o_custkey").alias("contact_id"), F.col("o_orderdate").alias("created_at"), F.col("o_orderdate").alias("closed_at"),
         F.lit(True).alias("is_closed"), cents("o_totalprice").alias("closed_cents"), "channel",

@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -76,7 +77,23 @@ def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def cut_all(builds: dict[str, Callable[[], DataFrame]], at_once: int = 4) -> list[DataFrame]:
-    """cut_lineage for independent hub frames, a few jobs at a time so that small ones do not wait for each other."""
+def cut_bucketed(df: DataFrame, name: str, key: str) -> DataFrame:
+    """cut_lineage into buckets of the key, as many as the session has shuffle partitions: joins and groupings by the key need no shuffle of this frame any more.
+
+    Meant for frames that are grouped or joined by the key already: their partitions are the buckets, and a bucket is one file. Bucketing is known from the
+    catalog only; the frame is resolved, so the entry goes at once.
+    """
+    spark = df.sparkSession
+    table = f"{name.replace('-', '_')}_{uuid.uuid4().hex}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.write.bucketBy(buckets, key).sortBy(key).option("path", scratch_path(spark, name)).saveAsTable(table)
+    hub = spark.table(table)
+    spark.sql(f"DROP TABLE {table}")
+    return hub
+
+
+def cut_all(builds: dict[str, Callable[[], DataFrame]], at_once: int = 4, bucketed_by: str | None = None) -> list[DataFrame]:
+    """cut_lineage (or cut_bucketed) for independent hub frames, a few jobs at a time so that small ones do not wait for each other."""
+    cut = partial(cut_bucketed, key=bucketed_by) if bucketed_by else cut_lineage
     with ThreadPoolExecutor(at_once) as pool:
-        return list(pool.map(lambda item: cut_lineage(item[1](), item[0]), builds.items()))
+        return list(pool.map(lambda item: cut(item[1](), item[0]), builds.items()))

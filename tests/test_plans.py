@@ -27,3 +27,27 @@ def test_filters_reach_the_scan(spark):
 
 def test_status_history_needs_no_shuffle(spark):
     assert "Exchange" not in plan(entry.queries()["status_history"](spark, SF))
+
+
+def test_bucketed_sides_meet_without_a_shuffle(spark, no_broadcasts):
+    """Every scan of a side stands right below its join."""
+    lines = plan(load()["order_fact"](spark, SF)).split("\n")
+    sides = [i for i, line in enumerate(lines) if "FileScan parquet spark_catalog" in line]
+    assert len(sides) == 3
+    for i in sides:
+        above = []
+        for line in reversed(lines[:i]):
+            above.append(line)
+            if "Join" in line:
+                break
+        assert not any("Exchange" in line for line in above)
+
+
+def test_a_bucketed_frame_outlives_its_catalog_entry(spark, no_broadcasts):
+    from millrace.sources.session import cut_bucketed
+
+    before = {t.name for t in spark.catalog.listTables()}
+    left, right = (cut_bucketed(spark.range(n).selectExpr("id % 50 as k").groupBy("k").count(), "hub", "k") for n in (100, 90))
+    assert {t.name for t in spark.catalog.listTables()} == before
+    both = left.join(right.withColumnRenamed("count", "other"), "k")
+    assert "Exchange" not in plan(both) and both.count() == 50
