@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -81,3 +82,44 @@ def shingles(ids: np.ndarray, k: int) -> np.ndarray:
     for j in range(k):
         total = total * np.uint64(0x9E3779B97F4A7C15) + ids[j : j + n]
     return mixed(total + np.uint64(k))
+
+
+@lru_cache(1)
+def _word_characters() -> np.ndarray:
+    """Whether each character belongs to words."""
+    known = np.fromiter((chr(c).isalnum() for c in range(0x110000)), bool, 0x110000)
+    known[ord("_")] = True
+    return known
+
+
+class _Powers:
+    """Powers of an odd number and of its inverse modulo 2**64, as many as the longest text so far has characters."""
+
+    base = 0x9E3779B97F4A7C15
+    up = down = np.ones(1, np.uint64)
+
+    def grow(self, n: int) -> None:
+        if n > len(self.up):
+            n = max(n, 2 * len(self.up))
+            steps = [np.full(n, x, np.uint64) for x in (self.base, pow(self.base, -1, 2**64))]
+            for s in steps:
+                s[0] = 1
+            self.up, self.down = (np.cumprod(s) for s in steps)
+
+
+_POWERS = _Powers()
+
+
+def word_numbers(text: str | None) -> np.ndarray:
+    """A 64-bit number for each word of ``words(text)``, equal for equal words. Differences of one running sum over the characters, so that no word becomes a Python string."""
+    if not text:
+        return np.zeros(0, np.uint64)
+    chars = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
+    inside = np.zeros(len(chars) + 2, bool)
+    inside[1:-1] = _word_characters()[chars]
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    begins, ends = edges[::2], edges[1::2]
+    _POWERS.grow(len(chars))
+    sums = np.zeros(len(chars) + 1, np.uint64)
+    np.cumsum((chars + np.uint32(1)) * _POWERS.up[: len(chars)], out=sums[1:])
+    return mixed((sums[ends] - sums[begins]) * _POWERS.down[begins])
