@@ -18,7 +18,7 @@ from collections.abc import Callable, Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import _parse_datatype_string
@@ -223,8 +223,9 @@ def verify(survivors: DataFrame, grams: DataFrame, threshold: float) -> DataFram
 
 
 def needed_grams(docs: DataFrame, wanted: DataFrame, n: int, id_col: str, text_col: str) -> DataFrame:
-    """n-gram sets of the wanted classes (c, rep, size), each taken from the text of one of its documents."""
-    rows = docs.select(F.col(id_col).alias("rep"), F.col(text_col).alias("text")).join(wanted, F.col("rep").eqNullSafe(F.col("first_id"))).select("c", "size", "text")
+    """n-gram sets of the wanted classes (c, rep, size), each taken from the text of one of its documents, which id and text hash name: rows without an id meet only their own class."""
+    rep = F.struct(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("tag")).alias("rep")
+    rows = docs.select(rep, F.col(text_col).alias("text")).join(wanted, "rep").select("c", "size", "text")
 
     def start():
         memo = word_hashes()
@@ -250,13 +251,19 @@ def components(edges: DataFrame) -> DataFrame:
     return state.select("c", "root")
 
 
+def representative() -> Column:
+    """(id, tag) of a class's document of smallest id; of those without an id where none has one."""
+    whole = F.struct("id", "tag")
+    return F.coalesce(F.min(F.when(F.col("id").isNotNull(), whole)), F.min(whole))
+
+
 def placed(docs: DataFrame, n: int, threshold: float, tolerance: float, id_col: str, text_col: str) -> DataFrame:
     """One row per document: id, tag (text hash), root (the group's class key, null without words), class_id, n_links, n_grams."""
     drawn = cut_lineage(sketches(docs, n, id_col, text_col), "sketches")
-    classes = drawn.where(F.col("c").isNotNull()).groupBy("c").agg(F.min("id").alias("first_id"), F.count("*").alias("size"), F.first("n_grams").alias("n_grams"), F.first("sig").alias("sig"))
+    classes = drawn.where(F.col("c").isNotNull()).groupBy("c").agg(F.min("id").alias("first_id"), representative().alias("rep"), F.count("*").alias("size"), F.first("n_grams").alias("n_grams"), F.first("sig").alias("sig"))
     classes = cut_lineage(classes, "classes")
     survivors = cut_lineage(prune(candidates(classes), threshold, tolerance), "survivors")
-    wanted = survivors.where("kind = 0").select("c").distinct().join(classes.select("c", "first_id", "size"), "c")
+    wanted = survivors.where("kind = 0").select("c").distinct().join(classes.select("c", "rep", "size"), "c")
     grams = needed_grams(docs, wanted, n, id_col, text_col).dropDuplicates(["c"])
     checked = cut_lineage(verify(survivors, grams, threshold), "verified")
     roots = components(checked.where(F.col("other").isNotNull()).select(F.col("c").alias("a"), F.col("other").alias("b")))

@@ -17,7 +17,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.rows import Memo, map_rows, words
@@ -51,8 +51,8 @@ def term_columns(bits: int):
     return columns
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, learn: Column, most: int, bits: int, id_col: str, text_col: str, label_col: str) -> list[tuple[int, int, np.ndarray]]:
-    """(id, label, columns) of at most ``most`` labelled rows that ``learn`` allows."""
+def labelled_sample(docs: DataFrame, labels: DataFrame, learn: Column, most: int, bits: int, id_col: str, text_col: str, label_col: str, most_bytes: int = 64 * 2**20) -> list[tuple[int, int, np.ndarray]]:
+    """(id, label, columns) of at most ``most`` labelled rows, and ``most_bytes`` of column numbers, that ``learn`` allows; which rows is decided by the hash of their id."""
     known = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull() & learn)
     known = known.groupBy(id_col).agg(F.max(F.col(label_col).cast("int")).alias("label"))
     # At most ``most`` pairs of integers: that bounds what is broadcast.
@@ -63,12 +63,56 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, learn: Column, most: int
         columns = term_columns(bits)
         return lambda key, label, text: [(key, label, columns(text).tobytes())]
 
-    found = map_rows(rows, start, f"key {rows.dtypes[0][1]}, label int, columns binary").orderBy("key", "columns").limit(most).collect()
+    # One task orders at most ``most`` rows and stops them where the driver has had enough bytes.
+    found = map_rows(rows, start, f"key {rows.dtypes[0][1]}, label int, columns binary").orderBy("key", "columns").limit(most)
+    upto = F.sum(F.octet_length("columns")).over(Window.orderBy(F.xxhash64("key"), "key", "columns").rowsBetween(Window.unboundedPreceding, 0))
+    found = found.withColumn("upto", upto).where(F.col("upto") <= most_bytes).orderBy("key", "columns").collect()
     return [(r["key"], r["label"], np.frombuffer(r["columns"], np.int32)) for r in found]
 
 
-def fit(sample: list[tuple[int, int, np.ndarray]], bits: int = 18, rank: int = 8, steps: int = 1500, batch: int = 64, rate: float = 0.1, decay: float = 1e-4, least: int = 3, chance: float = 10.8, seed: int = 5) -> Model:
-    """At least ``steps`` adaptive gradient steps, and five rounds, on the logistic loss. Columns in fewer than ``least`` rows, or whose chi-square against the label is below ``chance``, stay zero."""
+def against_label(rows: np.ndarray, toxic: np.ndarray, n: int, share: float) -> np.ndarray:
+    """Chi-square, by one degree, of being present against the label."""
+    expected = rows * share
+    with np.errstate(divide="ignore", invalid="ignore"):
+        return np.nan_to_num((toxic - expected) ** 2 / (expected * (1 - share) * (1 - rows / n)), nan=0.0, posinf=np.inf)
+
+
+def telling_pairs(sample: list[tuple[int, int, np.ndarray]], own: np.ndarray, columns: np.ndarray, share: float, least: float = 60.0, more: float = 2.0, block: int = 512) -> np.ndarray:
+    """Of the given columns, those that with another of them say clearly more of the label than either alone: chi-square of the pair at ``least`` or over, and ``more`` times the larger own one.
+
+    Counts of pairs are products of blocks of columns, so memory holds two blocks of the sample.
+    """
+    place = np.full(len(own), -1, np.int64)
+    place[columns] = np.arange(len(columns))
+    at = [place[c][place[c] >= 0] for _, _, c in sample]
+    row, col = np.repeat(np.arange(len(at)), [len(x) for x in at]), np.concatenate(at)
+    label = np.array([y for _, y, _ in sample], np.float32)
+
+    def block_of(start: int) -> np.ndarray:
+        out = np.zeros((len(sample), min(block, len(columns) - start)), np.float32)
+        mine = (col >= start) & (col < start + block)
+        out[row[mine], col[mine] - start] = 1
+        return out
+
+    found = np.zeros(len(columns), bool)
+    for i in range(0, len(columns), block):
+        left = block_of(i)
+        for j in range(i, len(columns), block):
+            right = left if i == j else block_of(j)
+            pair = against_label(left.T @ right, (left * label[:, None]).T @ right, len(sample), share)
+            alone = np.maximum(own[columns[i : i + block]][:, None], own[columns[j : j + block]])
+            hits = (pair >= least) & (pair >= more * alone)
+            found[i : i + block] |= hits.any(axis=1)
+            found[j : j + block] |= hits.any(axis=0)
+    return columns[found]
+
+
+def fit(sample: list[tuple[int, int, np.ndarray]], bits: int = 18, rank: int = 8, steps: int = 1500, batch: int = 64, rate: float = 0.1, decay: float = 1e-4, least: int = 3, chance: float = 10.8, pair_rows: int = 30, seed: int = 5) -> Model:
+    """At least ``steps`` adaptive gradient steps, and five rounds, on the logistic loss.
+
+    Columns learn if they tell something: by themselves (in ``least`` rows or more, with a chi-square against the label of ``chance`` or more), or together with another column, whatever
+    each of them tells alone; all others stay zero.
+    """
     size = 2**bits
     rng = np.random.default_rng(seed)
     weights, factors, bias = np.zeros(size, np.float32), np.zeros((size, rank), np.float32), 0.0
@@ -82,11 +126,9 @@ def fit(sample: list[tuple[int, int, np.ndarray]], bits: int = 18, rank: int = 8
     toxic = np.zeros(size, np.int64)
     for _, label, columns in sample:
         toxic[columns] += label
-    n, share = len(y), float(y.mean())
-    expected = rows * share
-    with np.errstate(divide="ignore", invalid="ignore"):
-        chi = (toxic - expected) ** 2 / (expected * (1 - share) * (1 - rows / n))
-    useful = (rows >= least) & (np.nan_to_num(chi, nan=0.0, posinf=np.inf) >= chance)
+    own = against_label(rows, toxic, len(y), float(y.mean()))
+    useful = (rows >= least) & (own >= chance)
+    useful[telling_pairs(sample, own, np.flatnonzero(toxic >= pair_rows), float(y.mean()))] = True
     factors[useful] = rng.normal(0, 0.01, (int(useful.sum()), rank))
     data = [columns[useful[columns]] for _, _, columns in sample]
     bias = float(np.log(y.mean() / (1 - y.mean())))

@@ -2,7 +2,7 @@
 
 Lines that begin with quote marks (``>``, nested ``>>`` or ``> >``) are parsed into levels. Every quoted line is normalised (lower case, single
 spaces) and hashed, and meets the latest earlier message of the same conversation that has the line as its own. The message that
-most lines of the outermost quotation come from is the one replied to; a message without linked quotation replies to the message before it.
+most lines of the outermost quotation (the lowest level that the message quotes at) come from is the one replied to; a message without linked quotation replies to the message before it.
 Conversations come back in reply order (breadth first: by depth, then by time), without quotations and without their introductions.
 
 Defined cases: a null text is an empty message; rows whose conversation or turn is null belong to no conversation and are left out; of rows that share
@@ -59,8 +59,11 @@ def links(msgs: DataFrame) -> DataFrame:
     Own and quoted lines lie on one time line per (conversation, line hash), so a quoted line meets one message and not all that share the line.
     The time line is windowed in chunks of turns: a conversation or line that holds a large share of the table is spread over tasks.
     """
-    lines = msgs.select("conv_id", "turn", F.explode("lines").alias("x")).where(~F.col("x.intro") & (F.col("x.level") <= 1))
-    lines = lines.select("conv_id", "turn", F.col("x.level").alias("level"), normalised(F.col("x.body")).alias("key")).where(F.col("key") != "")
+    quoted = F.filter(F.transform("lines", lambda x: x["level"]), lambda n: n > 0)
+    lines = msgs.select("conv_id", "turn", F.array_min(quoted).alias("outermost"), F.explode("lines").alias("x")).where(~F.col("x.intro"))
+    # Where the author between has left nothing, the outermost quotation is a deeper one.
+    lines = lines.where((F.col("x.level") == 0) | (F.col("x.level") == F.col("outermost")))
+    lines = lines.select("conv_id", "turn", F.least("x.level", F.lit(1)).alias("level"), normalised(F.col("x.body")).alias("key")).where(F.col("key") != "")
     lines = lines.groupBy("conv_id", "turn", "level", F.xxhash64("key").alias("h1"), F.xxhash64(F.lit(1), "key").alias("h2")).agg(F.count("*").alias("n"))
     line = lines.select("conv_id", "turn", "h1", "h2", "level", "n", F.when(F.col("level") == 0, F.col("turn")).alias("own"), (F.col("turn") * 2 + 1 - F.col("level")).alias("at"))
     filled = ordered.forward_fill(line, ["conv_id", "h1", "h2"], ["at"], "own", "source", chunk=F.floor(F.col("turn") / CHUNK))

@@ -2,6 +2,8 @@ from collections import Counter
 
 import numpy as np
 
+from pyspark.sql import functions as F
+
 from millrace.llm import bayes_join
 from millrace.llm.queries import QUERIES
 from millrace.llm.rows import words
@@ -110,3 +112,12 @@ def test_null_ids_are_told_apart_by_text(spark):
     kept = [(r.doc_id, r.text) for r in bayes_join.keep_one(docs(spark, rows)).collect()]
     assert len(kept) == 5 and (1, rows[2][1]) in kept and len([t for _, t in kept if t.startswith(near)]) == 1
     assert {(None, "..."), (5, rows[5][1]), (None, "alone here")} <= set(kept)
+
+
+def test_rows_without_an_id_meet_their_own_class_only(spark):
+    rows = [(None, passage(40, 100 + i // 2) + (" tail" if i % 2 else "")) for i in range(200)]
+    table = docs(spark, rows)
+    drawn = bayes_join.sketches(table, 5, "doc_id", "text").where("c is not null")
+    wanted = drawn.groupBy("c").agg(bayes_join.representative().alias("rep"), F.count("*").alias("size"))
+    assert wanted.count() == 200 and bayes_join.needed_grams(table, wanted, 5, "doc_id", "text").count() == 200
+    assert {r.n_links for r in bayes_join.similar(table).collect()} == {1} and bayes_join.keep_one(table).count() == 100

@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from millrace.llm import factorization
-from millrace.llm.queries import QUERIES
+from millrace.llm.queries import QUERIES, toxicity_model
 from tests.llm.cases import SF, WORDS, docs, empty
 
 
@@ -40,6 +40,32 @@ def test_interactions_are_learned():
     assert sum((s >= 0.5) == y for y, s in scores) / len(scores) > 0.97
 
 
+def test_a_pair_whose_one_half_tells_nothing_alone():
+    """A group that is common in clean texts, too, and an insult that is rare: only together are they always toxic."""
+    rng = random.Random(8)
+
+    def text(insult, group):
+        return " ".join(rng.sample(WORDS, 8) + ["insult"] * insult + ["group"] * group)
+
+    rows = []
+    for i in range(8000):
+        insult, group = rng.random() < 0.05, rng.random() < 0.2
+        # Texts with the group are as often toxic as others: what the pair adds, other texts with the group lack.
+        toxic = (insult and group) or rng.random() < (0.09 if not group else 0.045)
+        rows.append((i, int(toxic), text(insult, group)))
+    columns = factorization.term_columns(12)
+    model = factorization.fit([(i, y, columns(t)) for i, y, t in rows], 12)
+    scores = {(a, b): np.mean([model.score(columns(text(a, b))) for _ in range(50)]) for a in (0, 1) for b in (0, 1)}
+    assert scores[1, 1] >= 0.7 and scores[0, 1] < 0.3 and scores[0, 0] < 0.3
+
+
+def test_the_sample_is_bounded_by_bytes(spark):
+    table = docs(spark, [(i, " ".join(f"w{i}x{j}" for j in range(100))) for i in range(60)])
+    known = labels(spark, [(i, i % 2, "x") for i in range(60)])
+    got = factorization.labelled_sample(table, known, F.lit(True), 1000, 16, "doc_id", "text", "toxic", most_bytes=10_000)
+    assert 5 < len(got) < 30 and sum(c.nbytes for _, _, c in got) <= 10_000
+
+
 def test_held_out_accuracy(spark):
     rows = [(i, " ".join(random.Random(i).choices(WORDS, k=40)) + (" vile" if i % 4 == 0 else "")) for i in range(600)]
     table = docs(spark, rows)
@@ -68,4 +94,8 @@ def test_awkward_rows(spark):
 def test_query(spark):
     rows = QUERIES["op6_toxicity"](spark, SF).collect()
     assert len(rows) == 200 and all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.7) for r in rows)
+    model = toxicity_model(spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet"))
+    columns = factorization.term_columns(model.bits)
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    assert all(abs(r.score - model.score(columns(texts[r.doc_id]))) < 1e-9 for r in rows)
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1) for r in rows)

@@ -55,3 +55,9 @@ def test_query_matches_sql(spark):
     assert "Python" not in df._jdf.queryExecution().executedPlan().toString()
     problems, _ = compare(df, SQL["op10_quotation_linking"], connect(SF))
     assert not problems, problems
+
+
+def test_a_message_that_quotes_only_deeper_levels_is_linked(spark):
+    rows = [(1, 0, "a", "first line of all\nand a second one"), (1, 1, "b", "something else"), (1, 2, "c", "more of it"), (1, 3, "d", ">> first line of all\n>>> and a second one\nmine")]
+    out = {r.turn: r for r in quotations.reply_ordered(table(spark, rows)).collect()}
+    assert (out[3].reply_to, out[3].n_linked, out[3].own_text) == (0, 1, "mine") and out[2].reply_to == 1
