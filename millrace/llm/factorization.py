@@ -77,33 +77,29 @@ def against_label(rows: np.ndarray, toxic: np.ndarray, n: int, share: float) ->
         return np.nan_to_num((toxic - expected) ** 2 / (expected * (1 - share) * (1 - rows / n)), nan=0.0, posinf=np.inf)
 
 
-def telling_pairs(sample: list[tuple[int, int, np.ndarray]], own: np.ndarray, columns: np.ndarray, share: float, least: float = 60.0, more: float = 2.0, block: int = 512) -> np.ndarray:
+def telling_pairs(sample: list[tuple[int, int, np.ndarray]], own: np.ndarray, columns: np.ndarray, share: float, least: float = 60.0, more: float = 2.0) -> np.ndarray:
     """Of the given columns, those that with another of them say clearly more of the label than either alone: chi-square of the pair at ``least`` or over, and ``more`` times the larger own one.
 
-    Counts of pairs are products of blocks of columns, so memory holds two blocks of the sample.
+    A column is a bitmap of the sample's rows; rows that hold a pair are counted in the bitmaps' intersection.
     """
-    place = np.full(len(own), -1, np.int64)
+    n, width = len(sample), -(-len(sample) // 64) * 8
+    bits = np.zeros((len(columns) + 1, width), np.uint8)  # the last is the label's
+    place = np.full(len(own), -1, np.int32)
     place[columns] = np.arange(len(columns))
-    at = [place[c][place[c] >= 0] for _, _, c in sample]
-    row, col = np.repeat(np.arange(len(at)), [len(x) for x in at]), np.concatenate(at)
-    label = np.array([y for _, y, _ in sample], np.float32)
-
-    def block_of(start: int) -> np.ndarray:
-        out = np.zeros((len(sample), min(block, len(columns) - start)), np.float32)
-        mine = (col >= start) & (col < start + block)
-        out[row[mine], col[mine] - start] = 1
-        return out
-
-    found = np.zeros(len(columns), bool)
-    for i in range(0, len(columns), block):
-        left = block_of(i)
-        for j in range(i, len(columns), block):
-            right = left if i == j else block_of(j)
-            pair = against_label(left.T @ right, (left * label[:, None]).T @ right, len(sample), share)
-            alone = np.maximum(own[columns[i : i + block]][:, None], own[columns[j : j + block]])
-            hits = (pair >= least) & (pair >= more * alone)
-            found[i : i + block] |= hits.any(axis=1)
-            found[j : j + block] |= hits.any(axis=0)
+    for row, (_, label, held) in enumerate(sample):
+        mine = place[held]
+        bits[mine[mine >= 0], row // 8] |= 1 << row % 8
+        bits[-1, row // 8] |= label << row % 8
+    words = bits.view(np.uint64)
+    found, alone = np.zeros(len(columns), bool), own[columns]
+    for i in range(len(columns) - 1):
+        both = words[i + 1 : -1] & words[i]
+        rows = np.bitwise_count(both).sum(axis=1, dtype=np.int64)
+        both &= words[-1]
+        pair = against_label(rows, np.bitwise_count(both).sum(axis=1, dtype=np.int64), n, share)
+        hits = (pair >= least) & (pair >= more * np.maximum(alone[i], alone[i + 1 :]))
+        found[i] |= hits.any()
+        found[i + 1 :] |= hits
     return columns[found]
 
 
