@@ -77,7 +77,7 @@ def against_label(rows: np.ndarray, toxic: np.ndarray, n: int, share: float) ->
         return np.nan_to_num((toxic - expected) ** 2 / (expected * (1 - share) * (1 - rows / n)), nan=0.0, posinf=np.inf)
 
 
-def telling_pairs(sample: list[tuple[int, int, np.ndarray]], own: np.ndarray, columns: np.ndarray, share: float, least: float = 60.0, more: float = 2.0) -> np.ndarray:
+def telling_pairs(sample: list[tuple[int, int, np.ndarray]], own: np.ndarray, columns: np.ndarray, share: float, least: float = 100.0, more: float = 3.0) -> np.ndarray:
     """Of the given columns, those that with another of them say clearly more of the label than either alone: chi-square of the pair at ``least`` or over, and ``more`` times the larger own one.
 
     A column is a bitmap of the sample's rows; rows that hold a pair are counted in the bitmaps' intersection.
