@@ -77,8 +77,9 @@ def against_label(rows: np.ndarray, toxic: np.ndarray, n: int, share: float) ->
         return np.nan_to_num((toxic - expected) ** 2 / (expected * (1 - share) * (1 - rows / n)), nan=0.0, posinf=np.inf)
 
 
-def telling_pairs(sample: list[tuple[int, int, np.ndarray]], own: np.ndarray, columns: np.ndarray, share: float, least: float = 100.0, more: float = 3.0) -> np.ndarray:
-    """Of the given columns, those that with another of them say clearly more of the label than either alone: chi-square of the pair at ``least`` or over, and ``more`` times the larger own one.
+def telling_pairs(sample: list[tuple[int, int, np.ndarray]], own: np.ndarray, columns: np.ndarray, share: float, held: float, least: float = 100.0, more: float = 3.0) -> np.ndarray:
+    """Of the given columns, those that with another of them say clearly more of the label than either alone: chi-square of the pair at ``least`` or over, and ``more`` times the larger own one,
+    and ``held`` toxic rows or more that hold both: pairs that only a group of copies holds teach nothing.
 
     A column is a bitmap of the sample's rows; rows that hold a pair are counted in the bitmaps' intersection.
     """
@@ -86,24 +87,26 @@ def telling_pairs(sample: list[tuple[int, int, np.ndarray]], own: np.ndarray, co
     bits = np.zeros((len(columns) + 1, width), np.uint8)  # the last is the label's
     place = np.full(len(own), -1, np.int32)
     place[columns] = np.arange(len(columns))
-    for row, (_, label, held) in enumerate(sample):
-        mine = place[held]
+    for row, (_, label, present) in enumerate(sample):
+        mine = place[present]
         bits[mine[mine >= 0], row // 8] |= 1 << row % 8
         bits[-1, row // 8] |= label << row % 8
     words = bits.view(np.uint64)
     found, alone = np.zeros(len(columns), bool), own[columns]
-    for i in range(len(columns) - 1):
-        both = words[i + 1 : -1] & words[i]
-        rows = np.bitwise_count(both).sum(axis=1, dtype=np.int64)
-        both &= words[-1]
-        pair = against_label(rows, np.bitwise_count(both).sum(axis=1, dtype=np.int64), n, share)
-        hits = (pair >= least) & (pair >= more * np.maximum(alone[i], alone[i + 1 :]))
-        found[i] |= hits.any()
-        found[i + 1 :] |= hits
+    for start in range(0, len(columns), 128):  # a few columns at a time: small, short-lived arrays
+        some = words[start : min(start + 128, len(columns))]
+        toxic = some & words[-1]
+        for i in range(start + len(some)):
+            rows = np.bitwise_count(some & words[i]).sum(axis=1, dtype=np.int64)
+            both = np.bitwise_count(toxic & words[i]).sum(axis=1, dtype=np.int64)
+            pair = against_label(rows, both, n, share)
+            hits = (both >= held) & (pair >= least) & (pair >= more * np.maximum(alone[i], alone[start : start + len(some)]))
+            found[i] |= hits.any()
+            found[start : start + len(some)] |= hits
     return columns[found]
 
 
-def fit(sample: list[tuple[int, int, np.ndarray]], bits: int = 18, rank: int = 8, steps: int = 1500, batch: int = 64, rate: float = 0.1, decay: float = 1e-4, least: int = 3, chance: float = 10.8, pair_rows: int = 30, seed: int = 5) -> Model:
+def fit(sample: list[tuple[int, int, np.ndarray]], bits: int = 18, rank: int = 8, steps: int = 1500, batch: int = 64, rate: float = 0.1, decay: float = 1e-4, least: int = 3, chance: float = 10.8, pair_rows: int = 30, pair_share: float = 0.05, seed: int = 5) -> Model:
     """At least ``steps`` adaptive gradient steps, and five rounds, on the logistic loss.
 
     Columns learn if they tell something: by themselves (in ``least`` rows or more, with a chi-square against the label of ``chance`` or more), or together with another column, whatever
@@ -124,7 +127,8 @@ def fit(sample: list[tuple[int, int, np.ndarray]], bits: int = 18, rank: int = 8
         toxic[columns] += label
     own = against_label(rows, toxic, len(y), float(y.mean()))
     useful = (rows >= least) & (own >= chance)
-    useful[telling_pairs(sample, own, np.flatnonzero(toxic >= pair_rows), float(y.mean()))] = True
+    held = max(pair_rows, pair_share * y.sum())
+    useful[telling_pairs(sample, own, np.flatnonzero(toxic >= held), float(y.mean()), held)] = True
     factors[useful] = rng.normal(0, 0.01, (int(useful.sum()), rank))
     data = [columns[useful[columns]] for _, _, columns in sample]
     bias = float(np.log(y.mean() / (1 - y.mean())))
