@@ -2,7 +2,8 @@
 
 A document's state is its text and a segment tree over its pre-tokens: a leaf stands for a few neighbouring pre-tokens and holds their characters and tokens, an inner node the sums
 of its children. Edits re-split and re-encode only from the leaf that holds the two characters before them (no pre-token looks further ahead) to the first leaf boundary after them where the
-new split falls in step with the old one; the sums above the touched leaves are then updated. What comes out equals counting the whole edited text.
+new split falls in step with the old one; what was encoded is dealt over the touched leaves and the sums above them are updated. Where that would put more than two leaves' worth into one, the tree gets
+more leaves, once for all edits of a call. What comes out equals counting the whole edited text.
 
 Defined cases: a null text counts as empty; edits outside the text are cut to it; edits must not overlap and are taken in order of their start, insertions at one place in the order given;
 null or no edits leave a document as it is; repeated rows are counted each; other columns are ignored, whatever their names; an empty table gives an empty result.
@@ -74,6 +75,17 @@ class CountTree:
             self.tokens[node] += more_tokens
             node //= 2
 
+    def split(self, full: dict[int, np.ndarray]) -> None:
+        """Builds the tree anew with the leaves in ``full`` (characters and tokens of their pre-tokens) cut into leaves of LEAF; empty leaves go."""
+        old = np.array([self.chars[self.size :], self.tokens[self.size :]], np.int64)
+        parts, upto = [], 0
+        for leaf, pieces in sorted(full.items()):
+            parts += [old[:, upto:leaf], np.add.reduceat(pieces, np.arange(0, pieces.shape[1], LEAF), axis=1)]
+            upto = leaf + 1
+        leaves = np.concatenate([*parts, old[:, upto:]], axis=1)
+        chars, tokens = leaves[:, leaves[0] > 0]
+        self.__init__(sums_of(chars).tolist(), sums_of(tokens).tolist())
+
 
 class Counter:
     def __init__(self, codec: Codec):
@@ -111,16 +123,18 @@ class Counter:
             tree.__init__(fresh.chars, fresh.tokens)
             return new, len(new)
         i, shift, redone = 0, 0, 0
+        full: dict[int, np.ndarray] = {}  # pre-tokens of leaves that got more than two leaves' worth
         while i < len(fixed):
             # The tree is in new places up to here, so old places plus the shift so far are places in it.
             left, begin = tree.leaf_at(max(0, fixed[i][0] + shift - LOOK_AHEAD))
-            last, upto, tokens, at = left, begin + tree.chars[tree.size + left], 0, begin  # ``last`` ends at ``upto`` before the shift of this region
+            last, upto, at = left, begin + tree.chars[tree.size + left], begin  # ``last`` ends at ``upto`` before the shift of this region
+            region: list[tuple[int, int]] = []
             delta, stop = 0, -1
             while i < len(fixed) and fixed[i][0] + shift - LOOK_AHEAD < upto:
                 delta, stop, i = delta + fixed[i][2] - (fixed[i][1] - fixed[i][0]), fixed[i][1] + shift, i + 1
             for m in self.split.finditer(new, begin):
                 at = m.end()
-                tokens += self.tokens_of[m.group()]
+                region.append((m.end() - m.start(), self.tokens_of[m.group()]))
                 while True:
                     while last + 1 < tree.size and (upto < stop or upto + delta < at):
                         last += 1
@@ -134,11 +148,17 @@ class Counter:
             else:
                 at, last = len(new), tree.size - 1
                 i = len(fixed)
-            for leaf in range(left + 1, last + 1):
-                tree.put(leaf, 0, 0)
-            tree.put(left, at - begin, tokens)
+            leaves = last + 1 - left
+            each = max(LEAF, -(-len(region) // leaves))
+            if each > 2 * LEAF:
+                full[left], each = np.array(region, np.int64).T, len(region)
+            for leaf in range(leaves):
+                part = region[leaf * each : (leaf + 1) * each]
+                tree.put(left + leaf, sum(c for c, _ in part), sum(n for _, n in part))
             redone += at - begin
             shift += delta
+        if full:
+            tree.split(full)
         return new, redone
 
 

@@ -95,6 +95,32 @@ def test_a_small_edit_touches_a_small_part(codec):
     assert redone < 200
 
 
+def test_a_small_edit_after_a_large_one_touches_a_small_part(codec, library):
+    counter, text = edit_counts.Counter(codec), "some words in a row " * 200
+    tree = counter.tree(text)
+    text, _ = counter.edit(text, tree, [(10, 10, "and many more of them " * 2_000), (2_000, 2_010, "a few others " * 300), (3_990, 4_000, "")])
+    assert tree.total() == len(library.encode_ordinary(text)) and tree.chars[1] == len(text)
+    for place in range(5, len(text), 4_001):
+        new, redone = counter.edit(text, tree, [(place, place + 1, "x")])
+        assert redone < 200 and new == text[:place] + "x" + text[place + 1 :] and tree.total() == len(library.encode_ordinary(new))
+        text = new
+    kept = edit_counts.CountTree.unpacked(tree.packed())
+    assert kept.size == tree.size and max(kept.chars[kept.size :]) < 200
+
+
+def test_many_growing_edits_count_like_whole_texts(codec, library):
+    counter, rng = edit_counts.Counter(codec), random.Random(6)
+    for _ in range(200):
+        text = "".join(rng.choice(POOL) for _ in range(rng.randint(1, 300)))
+        tree = counter.tree(text)
+        for _ in range(4):
+            cuts = sorted(rng.randint(0, len(text)) for _ in range(2 * rng.randint(0, 6)))
+            edits = [(a, b, "".join(rng.choice(POOL) + " " for _ in range(rng.choice([0, 1, 60, 200])))) for a, b in zip(cuts[::2], cuts[1::2], strict=True)]
+            text, _ = counter.edit(text, tree, edits)
+            assert tree.total() == len(library.encode_ordinary(text)) and tree.chars[1] == len(text)
+            assert [tree.chars[2 * i] + tree.chars[2 * i + 1] for i in range(1, tree.size)] == tree.chars[1 : tree.size]
+
+
 def test_edits_of_awkward_rows(spark, codec, library):
     state = edit_counts.build(docs(spark), codec)
     out = edit_counts.apply_edits(edit_counts.build(docs(spark), codec, edits_of=edit_counts.cleaning_edits), codec).collect()
