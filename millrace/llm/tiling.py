@@ -2,10 +2,10 @@
 
 Documents and benchmark items are sequences of word hashes. Windows of ``least`` words that occur in the benchmark are the seeds. A filter of fixed size, built from the
 benchmark's seeds, picks the stretches of each document that can match; an equi-join of seeds then names the candidate pairs. For each pair the longest matches that do not
-overlap are marked one after the other, found by running Karp-Rabin hashes of halving length. A document is contaminated by an item when the tiles cover at least
+overlap are marked one after the other, found by running Karp-Rabin sums at halved differences of length. A document is contaminated by an item when the tiles cover at least
 ``coverage`` of the item's words, in whatever order they stand.
 
-Defined cases: null and empty texts match nothing; items of fewer than ``least`` words have no seed and contaminate nothing; rows that share id and text are judged once, rows that
+Defined cases: null and empty texts match nothing; very long texts and texts of few words over and over take near-linear time; items of fewer than ``least`` words have no seed and contaminate nothing; rows that share id and text are judged once, rows that
 share an id but not the text each, and the pair's best coverage counts; null ids are judged like others; repeated items (same id) count by their best, each text by itself; an empty table gives an empty
 result; other columns are ignored, whatever their names.
 """
@@ -21,62 +21,102 @@ from pyspark.sql import functions as F
 from millrace.llm.rows import hashed, map_rows, shingles, word_hashes, words
 from millrace.sources.session import cut_lineage
 
-PRIME, BASE = (1 << 61) - 1, 1_000_003
+BASE = 0x9E3779B97F4A7C15
 BITMAP = 32_768
 
 
-def rolling(seq: list[int], size: int) -> Iterable[tuple[int, int]]:
+class Words:
+    """A sequence of word hashes with its running Karp-Rabin sums modulo 2**64, and flags of the words that no tile holds yet."""
+
+    def __init__(self, words: Iterable[int]):
+        self.words = np.asarray(words, np.uint64)
+        n = len(self.words)
+        self.sums, self.back = np.zeros(n + 1, np.uint64), powers(pow(BASE, -1, 1 << 64), n)
+        np.cumsum(self.words * powers(BASE, n), out=self.sums[1:])
+        self.free = bytearray(b"\1" * n)
+        self.settle()
+
+    def settle(self) -> None:
+        """Takes note of the flags as they are now."""
+        self.held = np.concatenate([[0], np.cumsum(np.frombuffer(self.free, np.uint8) == 0)])
+
+    def windows(self, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """Starts and hashes of all windows of ``size`` words that were free when last noted."""
+        at = np.flatnonzero(self.held[size:] == self.held[: max(0, len(self.held) - size)])
+        return at, (self.sums[at + size] - self.sums[at]) * self.back[at]
+
+    def is_free(self, at: int, size: int) -> bool:
+        """Tiles are never shorter than the window in question, so one that meets the window holds its first or last word."""
+        return bool(self.free[at] and self.free[at + size - 1])
+
+    def hold(self, at: int, size: int) -> None:
+        self.free[at : at + size] = bytes(size)
+
+
+def powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, base, np.uint64)
+    out[:1] = 1
+    return np.cumprod(out, dtype=np.uint64)
+
+
+def rolling(seq: Iterable[int], size: int) -> Iterable[tuple[int, int]]:
     """(start, Karp-Rabin hash) of all windows of ``size``."""
-    if len(seq) < size:
-        return
-    value, drop = 0, pow(BASE, size - 1, PRIME)
-    for i, x in enumerate(seq):
-        if i >= size:
-            value -= seq[i - size] * drop
-        value = (value * BASE + x) % PRIME
-        if i >= size - 1:
-            yield i - size + 1, value
-
-
-def matches_of(item: list[int], text: list[int], free_item: list[bool], free_text: list[bool], size: int) -> list[tuple[int, int, int]]:
-    """Maximal common stretches of free words, of ``size`` words at least: (length, item start, text start)."""
-    where: dict[int, list[int]] = {}
-    for at, h in rolling(text, size):
-        if all(free_text[at : at + size]):
-            where.setdefault(h, []).append(at)
-    found, done = [], set()
-    for at, h in rolling(item, size):
-        if h not in where or not all(free_item[at : at + size]):
-            continue
-        for t in where[h]:
-            if (t - at, at) in done or item[at : at + size] != text[t : t + size]:
-                continue
-            n = size
-            while at + n < len(item) and t + n < len(text) and item[at + n] == text[t + n] and free_item[at + n] and free_text[t + n]:
-                n += 1
-            done.update((t - at, at + k) for k in range(n - size + 1))
-            found.append((n, at, t))
-    return found
-
-
-def tiles(item: list[int], text: list[int], least: int) -> list[tuple[int, int, int]]:
-    """Greedy string tiling: (length, item start, text start), the longest first, no word in two tiles."""
-    free_item, free_text = [True] * len(item), [True] * len(text)
-    out, size = [], max(least, min(len(item), len(text)) // 2)
-    while True:
-        found = matches_of(item, text, free_item, free_text, size)
-        if found and (longest := max(found)[0]) > 2 * size:
-            size = longest
+    return enumerate(Words(seq).windows(size)[1].tolist())
+
+
+def longest_shared(item: Words, text: Words, least: int, most: int) -> int:
+    """The greatest size from ``least`` to ``most`` at which free windows share a hash, 0 if there is none. What shares a window shares all shorter ones, so sizes are halved."""
+
+    def shared(size: int) -> bool:
+        return bool(np.isin(item.windows(size)[1], text.windows(size)[1]).any())
+
+    if most < least or not shared(least):
+        return 0
+    if shared(most):
+        return most
+    while most - least > 1:
+        size = (least + most) // 2
+        least, most = (size, most) if shared(size) else (least, size)
+    return least
+
+
+def mark(item: Words, text: Words, size: int) -> Iterable[tuple[int, int]]:
+    """Marks equal free windows of ``size`` until there are none, leftmost in the item and then in the text first: (item start, text start)."""
+    (at, h), (to, k) = item.windows(size), text.windows(size)
+    at, h = at[np.isin(h, k)], h[np.isin(h, k)]
+    order = np.argsort(k, kind="stable")
+    to, k = to[order], k[order]
+    begins, ends = np.searchsorted(k, h, "left").tolist(), np.searchsorted(k, h, "right").tolist()
+    passed: dict[int, int] = {}  # up to here all places of a hash are held
+    for a, begin, end in zip(at.tolist(), begins, ends):
+        if not item.is_free(a, size):
             continue
-        for n, a, t in sorted(found, key=lambda m: (-m[0], m[1], m[2])):
-            if all(free_item[a : a + n]) and all(free_text[t : t + n]):
-                free_item[a : a + n], free_text[t : t + n] = [False] * n, [False] * n
-                out.append((n, a, t))
-        if found:
-            continue  # what a longer tile has cut short may still be long enough
-        if size == least:
-            return out
-        size = max(least, size // 2)
+        i = passed.get(begin, begin)
+        while i < end and not text.is_free(int(to[i]), size):
+            i += 1
+        passed[begin] = i
+        while i < end and not (text.is_free(t := int(to[i]), size) and np.array_equal(item.words[a : a + size], text.words[t : t + size])):
+            i += 1  # different words under one hash
+        if i < end:
+            item.hold(a, size)
+            text.hold(t, size)
+            yield a, t
+    item.settle()
+    text.settle()
+
+
+def tiles(item: Iterable[int], text: Iterable[int], least: int) -> list[tuple[int, int, int]]:
+    """Greedy string tiling: (length, item start, text start), the longest first, no word in two tiles.
+
+    All tiles of one length are marked in one pass, and tiles of d lengths hold d * d / 2 words: a pass is near-linear in both sequences, passes grow with the root of the shorter one at worst,
+    and places of a repeated window are never paired with one another.
+    """
+    a, t = Words(item), Words(text)
+    out, most = [], min(len(a.words), len(t.words))
+    while size := longest_shared(a, t, least, most):
+        out += [(size, i, j) for i, j in mark(a, t, size)]
+        most = size - 1
+    return out
 
 
 def seeds_of_items(benchmark: DataFrame, least: int, item_col: str, text_col: str) -> DataFrame:
@@ -150,8 +190,8 @@ def judged(docs: DataFrame, benchmark: DataFrame, least: int = 5, coverage: floa
 
     def start():
         def row(key, item, ids, text) -> Iterable[tuple]:
-            a, t = np.frombuffer(ids, np.uint64).tolist(), np.frombuffer(text, np.uint64).tolist()
-            got = tiles(a, t, least)
+            a = np.frombuffer(ids, np.uint64)
+            got = tiles(a, np.frombuffer(text, np.uint64), least)
             share = sum(n for n, _, _ in got) / len(a)
             return [(key, item, share, len(got), max(n for n, _, _ in got))] if share >= coverage else []
 

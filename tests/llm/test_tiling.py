@@ -1,4 +1,7 @@
 import random
+import time
+
+import numpy as np
 
 from millrace.llm import tiling
 from millrace.llm.queries import QUERIES
@@ -39,6 +42,34 @@ def test_tiles_equal_plain_greedy_tiling():
         assert sorted(tiling.tiles(item, text, 5)) == sorted(greedy(item, text, 5))
 
 
+def test_tiles_are_those_of_plain_greedy_tiling_in_its_order():
+    rng = random.Random(4)
+    for _ in range(400):
+        letters = rng.randint(1, 5)
+        item, text = ([rng.randint(1, letters) for _ in range(rng.randint(0, 40))] for _ in range(2))
+        for least in (1, 2, 5):
+            assert tiling.tiles(item, text, least) == greedy(item, text, least)
+
+
+def test_equal_hashes_of_other_words_make_no_tile(monkeypatch):
+    rng = random.Random(5)
+    monkeypatch.setattr(tiling.Words, "windows", lambda self, size: ((at := np.array([i for i in range(len(self.free) - size + 1) if all(self.free[i : i + size])], np.int64)), np.zeros(len(at), np.uint64)))
+    for _ in range(100):
+        item, text = ([rng.randint(1, 4) for _ in range(rng.randint(0, 20))] for _ in range(2))
+        assert tiling.tiles(item, text, 2) == greedy(item, text, 2)
+
+
+def test_words_over_and_over_take_little_time():
+    start = time.process_time()
+    assert tiling.tiles([7] * 4_000, [7] * 40_000, 5) == [(4_000, 0, 0)]
+    runs = ([7] * 10 + [8]) * 4_000
+    runs[10::11] = range(100, 4_100)
+    got = tiling.tiles([7] * 4_000, runs, 5)
+    assert len(got) == 400 and {n for n, _, _ in got} == {10}
+    assert sum(n for n, _, _ in tiling.tiles([7, 8] * 2_000, [8, 7, 7] * 13_000 + [7, 8] * 500, 5)) == 1_000
+    assert time.process_time() - start < 5
+
+
 def test_rolling_hash_equals_hash_of_window():
     seq = [random.Random(1).randint(0, 2**64 - 1) for _ in range(50)]
     assert dict(tiling.rolling(seq, 7)) == {i: next(iter(tiling.rolling(seq[i : i + 7], 7)))[1] for i in range(44)}
