@@ -6,7 +6,7 @@ import __spark_entry__ as entry
 import corpus_pipeline
 from millrace.llm import factorization, queries
 from millrace.llm.rows import words
-from tests.llm.cases import SF
+from tests.llm.cases import SF, docs, passage, texts
 from tests.llm.test_bayes_join import brute as near_copies
 from tests.llm.test_line_runs import brute as without_lines
 from tests.llm.test_tiling import greedy
@@ -42,4 +42,27 @@ def test_stages_keep_the_columns(spark):
 
 def test_every_operator_has_one_query():
     names = [n.split("_")[0] for n in queries.QUERIES]
-    assert sorted(names) == sorted(f"op{n}" for n in range(1, 11))
+    assert sorted(names) == sorted(f"op{n}" for n in range(1, 14))
+
+
+def written(frame, folder, name):
+    frame.write.parquet(f"{folder}/{name}.parquet")
+
+
+def test_awkward_rows_and_empty_tables(spark, tmp_path):
+    """Null and empty texts are clean and stay once for each distinct row; equal long texts keep the smallest id; other columns come along."""
+    item = passage(40, 9)
+    more = [(20, "lead " + item), (21, passage(80, 5)), (22, passage(80, 5) + " tail")]
+    for name, rows in [("all", texts() + more), ("none", [])]:
+        folder = str(tmp_path / name)
+        written(docs(spark, rows), folder, "documents")
+        written(spark.createDataFrame([(i, False) for i, _ in rows if i is not None], "doc_id bigint, toxic boolean"), folder, "labels")
+        written(spark.createDataFrame([(1, item)] if rows else [], "item_id bigint, text string"), folder, "benchmark")
+        before = docs(spark, rows)
+        for _, stage in corpus_pipeline.STAGES[:-1]:
+            assert stage(spark, before, folder).columns == before.columns
+        out = [r.doc_id for r in corpus_pipeline.run(spark, folder).collect()]
+        if not rows:
+            assert out == []
+        else:
+            assert {4, 5, 6, 10, 11, 21} <= set(out) and not {20, 22} & set(out)
