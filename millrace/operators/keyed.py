@@ -57,10 +57,10 @@ def order_struct(o: list[str]):
 def join_known(df: DataFrame, side: DataFrame, key: str, spread_by: str) -> DataFrame:
     """Left join on a key that many left rows lack.
 
-    Unknown keys match nothing, yet would all hash to one partition; a second key column, derived
-    from ``spread_by``, spreads them. The side holds no null keys.
+    Unknown keys match nothing, yet would all hash to one partition; a part of the key, derived from ``spread_by``, spreads them.
+    Key and part are one struct: a constant second column on the side would be folded out of the join keys. The side holds no null keys.
     """
-    spread = F.when(F.col(key).isNull(), F.pmod(F.xxhash64(spread_by), F.lit(1024))).otherwise(F.lit(0))
-    right = side.withColumnRenamed(key, "_known").withColumn("_one", F.lit(0).cast("long"))
-    cond = (F.col(key) == F.col("_known")) & (F.col("_salt") == F.col("_one"))
-    return df.withColumn("_salt", spread).join(right, cond, "left").drop("_salt", "_known", "_one")
+    spread = F.when(F.col(key).isNull(), F.pmod(F.xxhash64(spread_by), F.lit(1024)) + 1).otherwise(F.lit(0).cast("long"))
+    left = df.withColumn("_spread", F.struct(F.col(key).alias("known"), spread.alias("part")))
+    right = side.withColumn("_known", F.struct(F.col(key).alias("known"), F.lit(0).cast("long").alias("part"))).drop(key)
+    return left.join(right, F.col("_spread") == F.col("_known"), "left").drop("_spread", "_known")

@@ -3,9 +3,11 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from millrace.catalog import load
+from millrace.operators.keyed import join_known
 from tests.helpers import plan
 
 SF = "/root/testdata/sf0.001"
@@ -43,3 +45,15 @@ def test_a_bucketed_frame_outlives_its_catalog_entry(spark, no_broadcasts):
     assert {t.name for t in spark.catalog.listTables()} == before
     both = left.join(right.withColumnRenamed("count", "other"), "k")
     assert "Exchange" not in plan(both) and both.count() == 50
+
+
+def test_unknown_keys_are_spread_over_partitions(spark, no_broadcasts):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        rows = spark.range(4000).selectExpr("id", "if(id % 10 = 0, id % 7, null) as k")
+        side = spark.range(5).selectExpr("id as k", "id * 2 as v").groupBy("k").agg(F.max("v").alias("v"))
+        out = join_known(rows, side, "k", "id").withColumn("at", F.spark_partition_id()).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert sorted((r.id, r.k, r.v) for r in out) == [(i, i % 7 if i % 10 == 0 else None, i % 7 * 2 if i % 10 == 0 and i % 7 < 5 else None) for i in range(4000)]
+    assert len({r.at for r in out if r.k is None}) > 1
