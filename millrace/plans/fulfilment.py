@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.columns import all_of, count_when, is_true, ladder, text_flag
@@ -221,15 +221,14 @@ def shipment_fact(shipments: DataFrame, messages: DataFrame, orders: DataFrame,
     shipments: shipment_id, order_id, batch_id, tracking_number, created_at, received_at, delivered_at, carrier, is_cross_docking, to_warehouse, leg_override;
     orders: order_id, tracking_note.
     """
-    real = only_matching(shipments, test_orders, ["order_id"], "left_anti")
-    joined = real.join(message_rollup(messages), "tracking_number", "left")
     leg = F.when(~F.col("is_cross_docking"), "drop_shipping:customer").when(F.col("to_warehouse"), "cross_docking:warehouse").otherwise("cross_docking:customer")
     carrier = ladder([(F.lower("carrier").rlike(pattern), name) for pattern, name in carriers], F.lower("carrier"))
     received = F.coalesce("carrier_received_at", "received_at")
     delivered = F.coalesce("tracked_delivered_at", "delivered_at")
-    out = joined.withColumns({"leg": F.coalesce("leg_override", leg), "_received": received, "_delivered": delivered})
-    first = out.groupBy("order_id", "leg").agg(F.min(F.struct("created_at", "shipment_id")).alias("_f"))
-    out = out.join(first, ["order_id", "leg"])
+    # Shipments without an order belong to no leg. The others are dealt by order once: for the test orders and for the first of a leg.
+    real = shipments.filter("order_id is not null").withColumn("leg", F.coalesce("leg_override", leg)).join(test_orders, "order_id", "left_anti")
+    real = real.withColumn("_f", F.min(F.struct("created_at", "shipment_id")).over(Window.partitionBy("order_id", "leg")))
+    out = real.join(message_rollup(messages), "tracking_number", "left").withColumns({"_received": received, "_delivered": delivered})
     valid = F.col("_delivered").isNotNull() | (F.coalesce("n_messages", F.lit(0)) >= 3) | F.col("_received").isNotNull()
     facts = out.select(
         "shipment_id", "order_id", "batch_id", "tracking_number", "created_at", F.col("_received").alias("received_at"), F.col("_delivered").alias("delivered_at"),

@@ -57,3 +57,10 @@ def test_unknown_keys_are_spread_over_partitions(spark, no_broadcasts):
         spark.conf.unset("spark.sql.adaptive.enabled")
     assert sorted((r.id, r.k, r.v) for r in out) == [(i, i % 7 if i % 10 == 0 else None, i % 7 * 2 if i % 10 == 0 and i % 7 < 5 else None) for i in range(4000)]
     assert len({r.at for r in out if r.k is None}) > 1
+
+
+def test_shipments_are_dealt_by_order_once(spark, no_broadcasts):
+    """Test orders, the first of a leg and the orders without shipment: no second shuffle by order, none by order and leg."""
+    text = plan(load()["shipment_fact"](spark, SF))
+    assert len(re.findall(r"Exchange hashpartitioning\(order_id#\w+L, \d", text)) <= 2 and "Exchange hashpartitioning(order_id#" in text
+    assert not re.search(r"Exchange hashpartitioning\(order_id#\w+L, leg", text)
