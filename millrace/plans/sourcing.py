@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.columns import count_when, is_true
 from millrace.functions.dates import day, epoch_s
 from millrace.operators.joins import interval_overlap_load
-from millrace.operators.keyed import attach
 from millrace.operators.ordered import running_total
 from millrace.operators.windows import first_rows
 from millrace.sources.session import cut_lineage
@@ -89,33 +88,33 @@ def bid_behaviour(bids: DataFrame, auctions: DataFrame) -> DataFrame:
     """Current bid of each supplier in each auction against the winning bid, with the supplier's win-rate mark.
 
     Per order and supplier the best bid counts: 1 when it won, 0 when it was a losing counter-bid.
+    The bids are dealt by auction once, where they are reduced to one bid a supplier and compared, and by order and supplier once. Nothing is joined back to them, so no other
+    copy of the bids moves; an auction, with at most one current bid a supplier, stays in one task.
     """
-    current = first_rows(bids.withColumn("_inactive", ~F.col("is_active")), ["auction_id", "supplier_id"], ["_inactive", "-placed_at", "bid_id"]).drop("_inactive")
+    dealt = bids.withColumn("_inactive", ~F.col("is_active")).repartition("auction_id")
+    current = first_rows(dealt, ["auction_id", "supplier_id"], ["_inactive", "-placed_at", "bid_id"]).drop("_inactive")
     heads = auctions.select("auction_id", "winning_bid_id", "auction_type", "amount_cents")
-    out = current.join(heads, "auction_id").withColumn("is_winning", is_true(F.col("bid_id") == F.col("winning_bid_id")))
-    # the current bids feed two groupings, the ranking and the output: written once
-    out = cut_lineage(out, "current-bids")
-    place = F.struct(
-        (~F.col("is_winning")).alias("lost"), F.coalesce("response_type", F.lit("~")).alias("r"),
-        (-F.coalesce(epoch_s("placed_at"), F.lit(0))).alias("back"),
-    )
-    best = out.groupBy("order_id", "supplier_id").agg(F.min(place).alias("_best"))
-    top = F.max(F.when(F.col("is_winning"), F.struct("bid_cents", "lead_time"))).alias("_top")
-    in_auction = out.groupBy("auction_id").agg(top, count_when(F.col("response_type") == "countered").alias("n_counter"))
-    ranked = running_total(
-        out.select("auction_id", "assigned_at", "bid_id").withColumn("_one", F.lit(1)), ["auction_id"], ["assigned_at", "bid_id"], "_one", "assigned_rank",
-        F.trunc("assigned_at", "month"),
-    ).select("bid_id", "auction_id", "assigned_rank")
-    out = attach(out, best, ["order_id", "supplier_id"], null_keys=False)
-    out = attach(attach(out, in_auction, ["auction_id"], null_keys=False), ranked, ["auction_id", "bid_id"], null_keys=False)
-    is_best, won = place == F.col("_best"), F.col("_top").isNotNull()
-    return out.select(
+    out = current.join(heads, "auction_id").withColumn("is_winning", is_true(F.col("bid_id") == F.col("winning_bid_id"))).drop("winning_bid_id")
+    auction = Window.partitionBy("auction_id").orderBy("assigned_at", "bid_id")
+    whole = auction.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    out = out.withColumns({
+        "assigned_rank": F.row_number().over(auction),
+        "_top": F.max(F.when(F.col("is_winning"), F.struct("bid_cents", "lead_time"))).over(whole),
+        "n_counter": count_when(F.col("response_type") == "countered").over(whole),
+    })
+    won = F.col("_top").isNotNull()
+    rated = out.select(
         "bid_id", "auction_id", "order_id", "supplier_id", "auction_type", "is_rfq", "assigned_at", "seen_at", "placed_at", "response_type", "assigned_rank", "is_winning",
-        F.when(is_best & F.col("is_winning"), 1).when(is_best & (F.col("response_type") == "countered"), 0).alias("win_rate"),
         F.when(won, F.col("bid_cents") / F.nullif("_top.bid_cents", F.lit(0))).alias("share_of_winning_bid"),
         F.when(won, F.col("lead_time") / F.nullif("_top.lead_time", F.lit(0))).alias("share_of_winning_lead_time"),
         F.when(won, F.col("n_counter")).alias("n_counter_bids"), (F.col("amount_cents") * F.col("margin_pct") / F.lit(100)).alias("margin_cents"), "bid_cents",
     )
+    place = [~F.col("is_winning"), F.coalesce("response_type", F.lit("~")), F.coalesce("placed_at", F.lit("1970-01-01").cast("timestamp_ntz")).desc()]
+    known = F.col("order_id").isNotNull() & F.col("supplier_id").isNotNull()
+    is_best = known & (F.rank().over(Window.partitionBy("order_id", "supplier_id").orderBy(*place)) == 1)
+    win_rate = F.when(is_best & F.col("is_winning"), 1).when(is_best & (F.col("response_type") == "countered"), 0)
+    at = rated.columns.index("is_winning") + 1
+    return rated.select(*rated.columns[:at], win_rate.alias("win_rate"), *rated.columns[at:])
 
 
 def auction_funnel(behaviour: DataFrame) -> DataFrame:

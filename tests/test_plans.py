@@ -59,6 +59,11 @@ def test_unknown_keys_are_spread_over_partitions(spark, no_broadcasts):
     assert len({r.at for r in out if r.k is None}) > 1
 
 
+def test_bids_are_dealt_once_by_auction_and_once_by_order_and_supplier(spark, no_broadcasts):
+    """The other two shuffles are those of the auction heads."""
+    assert plan(load()["bid_behaviour"](spark, SF)).count("Exchange hashpartitioning") == 4
+
+
 def test_shipments_are_dealt_by_order_once(spark, no_broadcasts):
     """Test orders, the first of a leg and the orders without shipment: no second shuffle by order, none by order and leg."""
     text = plan(load()["shipment_fact"](spark, SF))
