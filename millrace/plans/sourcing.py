@@ -118,19 +118,27 @@ def bid_behaviour(bids: DataFrame, auctions: DataFrame) -> DataFrame:
 
 
 def auction_funnel(behaviour: DataFrame) -> DataFrame:
-    """Per order: bids assigned, seen, answered, countered and won in auctions."""
-    win, response = F.col("is_winning"), F.col("response_type")
-    bid = F.when(F.col("placed_at").isNotNull(), F.col("bid_id"))
-    last = F.max(F.when(win, F.struct("assigned_at", "supplier_id", "margin_cents")))
-    first = F.min(F.when(win, F.struct("assigned_at", "supplier_id", "margin_cents")))
-    return behaviour.filter(~F.col("is_rfq")).groupBy("order_id").agg(
-        F.count_distinct("auction_id").alias("n_auctions"), F.count(F.lit(1)).alias("n_assigned"),
-        F.count_distinct(F.when(F.col("seen_at").isNotNull(), F.col("bid_id"))).alias("n_seen"), F.count_distinct(bid).alias("n_responses"),
-        F.count_distinct(F.when(response.isin("accepted", "countered"), F.col("bid_id"))).alias("n_positive"),
-        F.count_distinct(F.when(response == "countered", F.col("bid_id"))).alias("n_countered"),
-        F.count_distinct(F.when(response == "rejected", F.col("bid_id"))).alias("n_rejected"),
-        F.bool_or(win).alias("has_winning_bid"), F.bool_or(win & is_true(response == "accepted")).alias("has_accepted_winning_bid"),
-        last.alias("_last"), first.alias("_first"),
+    """Per order: bids assigned, seen, answered, countered and won in auctions.
+
+    The bids are dealt by order once; distinct auctions and bids are then counted by their first row and by one row a bid, without a copy of the rows for each count.
+    """
+    win, response, placed = F.col("is_winning"), F.col("response_type"), F.col("placed_at").isNotNull()
+    won = F.when(win, F.struct("assigned_at", "supplier_id", "margin_cents"))
+    new_auction = (F.row_number().over(Window.partitionBy("order_id", "auction_id").orderBy("bid_id")) == 1) & F.col("auction_id").isNotNull()
+    flags = {
+        "n_seen": F.col("seen_at").isNotNull(), "n_responses": placed, "n_positive": response.isin("accepted", "countered"), "n_countered": response == "countered",
+        "n_rejected": response == "rejected",
+    }
+    rows = behaviour.filter(~F.col("is_rfq")).repartition("order_id").withColumn("_new_auction", new_auction)
+    per_bid = rows.groupBy("order_id", "bid_id").agg(
+        count_when(F.col("_new_auction")).alias("n_auctions"), F.count(F.lit(1)).alias("n_assigned"), *[F.bool_or(is_true(flag)).alias(name) for name, flag in flags.items()],
+        F.bool_or(win).alias("has_winning_bid"), F.bool_or(win & is_true(response == "accepted")).alias("has_accepted_winning_bid"), F.max(won).alias("_last"), F.min(won).alias("_first"),
+    )
+    known = F.col("bid_id").isNotNull()
+    return per_bid.groupBy("order_id").agg(
+        F.sum("n_auctions").alias("n_auctions"), F.sum("n_assigned").alias("n_assigned"), *[count_when(known & F.col(name)).alias(name) for name in flags],
+        F.bool_or("has_winning_bid").alias("has_winning_bid"), F.bool_or("has_accepted_winning_bid").alias("has_accepted_winning_bid"),
+        F.max("_last").alias("_last"), F.min("_first").alias("_first"),
     ).withColumns({"supplier_id": F.col("_last.supplier_id"), "winning_margin_cents": F.col("_last.margin_cents"), "first_winning_margin_cents": F.col("_first.margin_cents")}).drop("_last", "_first")
 
 

@@ -64,6 +64,11 @@ def test_bids_are_dealt_once_by_auction_and_once_by_order_and_supplier(spark, no
     assert plan(load()["bid_behaviour"](spark, SF)).count("Exchange hashpartitioning") == 4
 
 
+def test_funnel_counts_need_no_copies_of_the_bids(spark, no_broadcasts):
+    text = plan(load()["auction_funnel"](spark, SF))
+    assert "Expand" not in text and text.count("Exchange hashpartitioning") == 4
+
+
 def test_shipments_are_dealt_by_order_once(spark, no_broadcasts):
     """Test orders, the first of a leg and the orders without shipment: no second shuffle by order, none by order and leg."""
     text = plan(load()["shipment_fact"](spark, SF))
