@@ -2,7 +2,8 @@
 
 A text's terms are its distinct words and their first four and five letters, hashed to ``2**bits`` columns. The score is the logistic of a linear part
 and of the interactions of all pairs of terms, through factors of ``rank`` numbers for each column, so that pairs which matter only together count.
-The model is fitted on at most ``most`` labelled rows, those with the smallest hash of their id, and its size is fixed. Scoring reads every whole text, without a shuffle.
+The model is fitted on at most ``most`` labelled rows, those with the smallest hash of their id, in a task; the driver sees the columns that learned, and the model's size is fixed.
+Scoring reads every whole text, without a shuffle.
 
 Defined cases: null and empty texts have no terms and get the score of the intercept; rows without a label, or with a null id, are not learned from; of several labels of an id
 the largest counts; without labelled rows every score is 0.5, with labels of one kind only the share of toxic rows smoothed by one row of either kind; an empty table gives an empty
@@ -16,9 +17,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import _parse_datatype_string
 
 from millrace.llm.rows import Memo, map_rows, words
 
@@ -51,8 +55,8 @@ def term_columns(bits: int):
     return columns
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, learn: Column, most: int, bits: int, id_col: str, text_col: str, label_col: str, most_bytes: int = 64 * 2**20) -> list[tuple[int, int, np.ndarray]]:
-    """(id, label, columns) of at most ``most`` labelled rows, and ``most_bytes`` of column numbers, that ``learn`` allows; which rows is decided by the hash of their id."""
+def sample_rows(docs: DataFrame, labels: DataFrame, learn: Column, most: int, bits: int, id_col: str, text_col: str, label_col: str, most_bytes: int = 64 * 2**20) -> DataFrame:
+    """(key, label, columns) of at most ``most`` labelled rows, and ``most_bytes`` of column numbers, that ``learn`` allows, in one partition and in order of the id; which rows is decided by the hash of their id."""
     known = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull() & learn)
     known = known.groupBy(id_col).agg(F.max(F.col(label_col).cast("int")).alias("label"))
     # At most ``most`` pairs of integers: that bounds what is broadcast.
@@ -63,10 +67,15 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, learn: Column, most: int
         columns = term_columns(bits)
         return lambda key, label, text: [(key, label, columns(text).tobytes())]
 
-    # One task orders at most ``most`` rows and stops them where the driver has had enough bytes.
+    # One task orders at most ``most`` rows and stops them where there are enough bytes.
     found = map_rows(rows, start, f"key {rows.dtypes[0][1]}, label int, columns binary").orderBy("key", "columns").limit(most)
     upto = F.sum(F.octet_length("columns")).over(Window.orderBy(F.xxhash64("key"), "key", "columns").rowsBetween(Window.unboundedPreceding, 0))
-    found = found.withColumn("upto", upto).where(F.col("upto") <= most_bytes).orderBy("key", "columns").collect()
+    return found.withColumn("upto", upto).where(F.col("upto") <= most_bytes).drop("upto").coalesce(1).sortWithinPartitions("key", "columns")
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, learn: Column, most: int, bits: int, id_col: str, text_col: str, label_col: str, most_bytes: int = 64 * 2**20) -> list[tuple[int, int, np.ndarray]]:
+    """``sample_rows`` as a list."""
+    found = sample_rows(docs, labels, learn, most, bits, id_col, text_col, label_col, most_bytes).collect()
     return [(r["key"], r["label"], np.frombuffer(r["columns"], np.int32)) for r in found]
 
 
@@ -159,6 +168,27 @@ def fit(sample: list[tuple[int, int, np.ndarray]], bits: int = 18, rank: int = 8
     return Model(bits, bias, weights, factors)
 
 
+def fit_in_task(sample: DataFrame, bits: int, **options) -> Model:
+    """``fit`` where the sample lies: the driver gets the columns that learned, and not the rows."""
+    kind = _parse_datatype_string("bias double, used binary, weights binary, factors binary")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = [(None, label, np.frombuffer(columns.as_buffer(), np.int32)) for batch in batches for label, columns in zip(batch.column(0).to_pylist(), batch.column(1), strict=True)]
+        if rows:
+            model = fit(rows, bits, **options)
+            used = np.flatnonzero((model.weights != 0) | (model.factors != 0).any(1))
+            out = [model.bias, *(x.tobytes() for x in (used, model.weights[used], model.factors[used]))]
+            yield pa.RecordBatch.from_arrays([pa.array([x], t.type) for x, t in zip(out, to_arrow_schema(kind), strict=True)], schema=to_arrow_schema(kind))
+
+    found = sample.select("label", "columns").mapInArrow(run, kind).collect()
+    model = fit([], bits, **options)
+    for r in found:
+        used = np.frombuffer(r["used"], np.int64)
+        model.bias, model.weights[used] = r["bias"], np.frombuffer(r["weights"], np.float32)
+        model.factors[used] = np.frombuffer(r["factors"], np.float32).reshape(len(used), model.factors.shape[1])
+    return model
+
+
 def scorer(spark: SparkSession, model: Model) -> Callable[[str], Column]:
     """A column function from whole texts to scores. Only the text travels to Python; the model goes out once, its size is fixed by ``bits`` and ``rank``."""
     shared = spark.sparkContext.broadcast(model)
@@ -179,4 +209,4 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
 
 def learn(docs: DataFrame, labels: DataFrame, allowed: Column, most: int = 20_000, bits: int = 18, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", **options) -> Model:
-    return fit(labelled_sample(docs, labels, allowed, most, bits, id_col, text_col, label_col), bits, **options)
+    return fit_in_task(sample_rows(docs, labels, allowed, most, bits, id_col, text_col, label_col), bits, **options)

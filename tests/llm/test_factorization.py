@@ -1,4 +1,5 @@
 import itertools
+import os
 import random
 import zlib
 
@@ -99,3 +100,14 @@ def test_query(spark):
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
     assert all(abs(r.score - model.score(columns(texts[r.doc_id]))) < 1e-9 for r in rows)
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1) for r in rows)
+
+
+def test_the_sample_is_fitted_in_a_task(spark, monkeypatch):
+    rows = pairs(300, 5)
+    table, known = docs(spark, [(i, t) for i, _, t in rows]).repartition(3), labels(spark, [(i, y, "x") for i, y, _ in rows])
+    want = factorization.fit(factorization.labelled_sample(table, known, F.lit(True), 200, 12, "doc_id", "text", "toxic"), 12)
+    got = factorization.learn(table, known, F.lit(True), most=200, bits=12)
+    assert got.bias == want.bias and (got.weights == want.weights).all() and (got.factors == want.factors).all() and want.factors.any()
+    seen = lambda sample, bits, rank=8: factorization.Model(bits, float(os.getpid()) if sample else 0.0, np.ones(2**bits, np.float32), np.zeros((2**bits, rank), np.float32))
+    monkeypatch.setattr(factorization, "fit", seen)
+    assert factorization.learn(table, known, F.lit(True), bits=4).bias not in (0.0, float(os.getpid()))
