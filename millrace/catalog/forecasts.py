@@ -97,10 +97,12 @@ def qc_lines(t):
     key = F.concat_ws("-", *[F.col(x).cast("string") for x in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")], cents("l_extendedprice").cast("string"))
     nation = t["nation"].select("n_nationkey", "n_regionkey")
     origin = nation.select(F.col("n_nationkey").alias("o_nation"), F.col("n_regionkey").alias("origin_region"))
+    # Orders meet their customers before the many lines meet them, and last, so that the lines stay dealt by order.
+    orders = t["orders"].join(t["customer"], F.col("o_custkey") == F.col("c_custkey")).join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+    suppliers = t["supplier"].join(origin, F.col("s_nationkey") == F.col("o_nation"))
     rows = (
-        t["lineitem"].join(t["orders"], F.col("l_orderkey") == F.col("o_orderkey")).join(t["customer"], F.col("o_custkey") == F.col("c_custkey"))
-        .join(t["part"], F.col("l_partkey") == F.col("p_partkey")).join(t["supplier"], F.col("l_suppkey") == F.col("s_suppkey"))
-        .join(nation, F.col("c_nationkey") == F.col("n_nationkey")).join(origin, F.col("s_nationkey") == F.col("o_nation"))
+        t["lineitem"].join(t["part"], F.col("l_partkey") == F.col("p_partkey")).join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
+        .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
     )
     return rows.select(
         key.alias("line_id"), F.col("l_orderkey").alias("order_id"), F.col("l_suppkey").alias("supplier_id"), F.col("c_nationkey").alias("country"), F.col("p_type").alias("material"),

@@ -34,22 +34,25 @@ def weekly(lines: DataFrame, k: list[str]) -> DataFrame:
     return counted.groupBy(*k, "week").agg(F.count(F.lit(1)).alias("n_lines"), count_when(inside).alias("n_disputes"))
 
 
-def history_at(history: DataFrame, wanted: DataFrame, k: list[str]) -> DataFrame:
-    """Counts over the last weeks and since the start, for the weeks that are asked for.
+def history_at(rows: DataFrame, k: list[str]) -> DataFrame:
+    """Counts of CNC lines over the last weeks and since the start, for the weeks in which lines are shipped, and whether the key has a CNC line at all.
 
     Instead of a dense key x week grid, only the weeks asked for are added (with zero counts) to the weeks that have
-    lines; a range over the week number then covers the same calendar weeks.
+    lines; a range over the week number then covers the same calendar weeks. Each line gives both its entries at once, so there is one shuffle of partial sums and one of sums.
     """
-    zero = F.lit(0).cast("long")
-    asked = wanted.select(*k, "week").distinct().select(*k, "week", zero.alias("n_lines"), zero.alias("n_disputes"))
-    both = history.unionByName(asked).groupBy(*k, "week").agg(F.sum("n_lines").alias("n_lines"), F.sum("n_disputes").alias("n_disputes"))
+    made, zero, one = is_true(F.col("technology") == "CNC"), F.lit(0).cast("long"), F.lit(1).cast("long")
+    inside = is_true(F.col("disputed_at") <= add_part("delivered_at", DISPUTE_DAYS, "day"))
+    asked = F.struct(F.col("week"), zero.alias("n_lines"), zero.alias("n_disputes"), made.alias("_made"))
+    delivered = F.struct(week_index("delivered_at").alias("week"), one.alias("n_lines"), F.when(inside, one).otherwise(zero).alias("n_disputes"), made.alias("_made"))
+    entries = F.when(made & F.col("delivered_at").isNotNull(), F.array(asked, delivered)).otherwise(F.array(asked))
+    both = rows.select(*k, F.inline(entries)).groupBy(*k, "week").agg(F.sum("n_lines").alias("n_lines"), F.sum("n_disputes").alias("n_disputes"), F.max("_made").alias("_made"))
     w = Window.partitionBy(*k).orderBy("week")
     recent, running = w.rangeBetween(1 - ROWS, 0), w.rangeBetween(Window.unboundedPreceding, 0)
     sums = both.select(
         *k, "week", F.sum("n_lines").over(recent).alias("_lr"), F.sum("n_disputes").over(recent).alias("_dr"),
-        F.sum("n_lines").over(running).alias("lines_so_far"), F.sum("n_disputes").over(running).alias("_da"),
+        F.sum("n_lines").over(running).alias("lines_so_far"), F.sum("n_disputes").over(running).alias("_da"), F.max("_made").over(Window.partitionBy(*k)).alias("_known"),
     )
-    return sums.select(*k, "week", percent("_dr", "_lr").alias("recent_percent"), percent("_da", "lines_so_far").alias("running_percent"), "lines_so_far")
+    return sums.select(*k, "week", percent("_dr", "_lr").alias("recent_percent"), percent("_da", "lines_so_far").alias("running_percent"), "lines_so_far", "_known")
 
 
 def qc_risk_score(lines: DataFrame, interactions: DataFrame, checked_places: Column, as_of: str) -> DataFrame:
@@ -60,20 +63,18 @@ def qc_risk_score(lines: DataFrame, interactions: DataFrame, checked_places: Col
     """
     attributes = ["supplier_id", "material", "finish", "tolerance_key"]
     rows = lines.withColumns({"tolerance_key": F.coalesce("tolerance", F.lit("null")), "week": week_index("shipped_at")}).filter("shipped_at is not null")
-    # the joined lines feed four histories and the output: computed once
-    rows = cut_lineage(rows, "qc-lines")
+    # the joined lines feed the histories and the output: computed once; they come dealt by order, as the interactions are
+    rows = cut_lineage(rows.join(interactions, "order_id", "left"), "qc-lines")
     made = rows.filter("technology = 'CNC'").drop("week")
-    per_attribute = history_at(weekly(made, attributes), rows, attributes)
-    per_supplier = history_at(weekly(made, ["supplier_id"]), rows, ["supplier_id"]).select("supplier_id", "week", F.col("recent_percent").alias("supplier_percent"))
+    per_attribute = history_at(rows, attributes)
+    per_supplier = history_at(rows, ["supplier_id"]).select("supplier_id", "week", F.col("recent_percent").alias("supplier_percent"))
     w = Window.partitionBy("country").orderBy("week").rowsBetween(1 - ROWS, 0)
     per_country = weekly(made, ["country"]).select("country", "week", F.sum("n_lines").over(w).alias("_l"), F.sum("n_disputes").over(w).alias("_d"))
     per_country = per_country.select("country", "week", percent("_d", "_l").alias("country_percent"))
-    # attributes of suppliers without any CNC line have no history at all
-    known = made.select(*attributes).distinct().withColumn("_known", F.lit(True))
-    out = rows.join(per_attribute, [*attributes, "week"], "left").join(known, attributes, "left")
-    out = out.join(per_supplier, ["supplier_id", "week"], "left").join(per_country, ["country", "week"], "left").join(interactions, "order_id", "left")
+    out = rows.join(per_attribute, [*attributes, "week"], "left")
+    out = out.join(per_supplier, ["supplier_id", "week"], "left").join(per_country, ["country", "week"], "left")
     c = F.col
-    history = c("_known")
+    history = c("_known")  # attributes of suppliers without any CNC line have no history at all
     rules = [
         c("price_cents") > HIGH_PRICE_CENTS, c("tolerance").isNotNull(), history & (c("lines_so_far") < MIN_HISTORY), history & (c("running_percent") >= RUNNING_PERCENT),
         c("n") >= MANY_INTERACTIONS, history & (c("recent_percent") >= RECENT_PERCENT), is_true("is_cosmetic"), is_true("has_note"),

@@ -74,3 +74,30 @@ def test_shipments_are_dealt_by_order_once(spark, no_broadcasts):
     text = plan(load()["shipment_fact"](spark, SF))
     assert len(re.findall(r"Exchange hashpartitioning\(order_id#\w+L, \d", text)) <= 2 and "Exchange hashpartitioning(order_id#" in text
     assert not re.search(r"Exchange hashpartitioning\(order_id#\w+L, leg", text)
+
+
+def test_history_takes_one_pass(spark, no_broadcasts):
+    """Lines give what is asked and what was delivered at once: one shuffle of partial sums, one for the windows."""
+    from datetime import datetime, timedelta
+
+    from millrace.plans import quality_risk
+
+    day = lambda n: datetime(2000, 1, 3) + timedelta(days=n)
+    lines = [(i % 3 if i % 11 else None, ["CNC", "3DP", None][i % 5 % 3], i * 5 % 90, i * 5 % 90 + i % 9 if i % 4 else None, i * 5 % 90 + i % 31 if i % 3 else None) for i in range(200)] + [(7, "3DP", 10, 12, 13)]
+    at = lambda n: None if n is None else day(n)
+    rows = spark.createDataFrame([(k, t, at(s), at(d), at(x), s // 7) for k, t, s, d, x in lines], "key int, technology string, shipped_at timestamp_ntz, delivered_at timestamp_ntz, disputed_at timestamp_ntz, days int")
+    rows = rows.withColumn("week", quality_risk.week_index("shipped_at")).drop("days")
+    out = quality_risk.history_at(rows, ["key"])
+    assert out._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 2
+    first = min(r.week for r in rows.collect())
+    got = {(r.key, r.week - first): r for r in out.collect()}
+    for k in {x[0] for x in lines}:
+        made = [x for x in lines if x[0] == k and x[1] == "CNC"]
+        for week in {x[2] // 7 for x in lines if x[0] == k}:
+            base = min(x[2] // 7 for x in lines)
+            done = [x for x in made if x[3] is not None and x[3] // 7 <= week]
+            recent = [x for x in done if x[3] // 7 > week - 6]
+            bad = lambda some: sum(x[4] is not None and x[4] <= x[3] + 14 for x in some)
+            share = lambda some: (bad(some) * 200 + len(some)) // (len(some) * 2) if bad(some) else None
+            r = got[k, week - base]
+            assert (r.lines_so_far, r.running_percent, r.recent_percent, r._known) == (len(done), share(done), share(recent), bool(made))
