@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from functools import reduce
+from functools import partial
 
 from pyspark.sql import functions as F
 
@@ -11,9 +11,12 @@ from millrace.catalog import frame_sql as S
 from millrace.catalog.registry import AS_OF, ENTRIES, register
 from millrace.functions.columns import cents
 from millrace.functions.dates import add_part
+from millrace.operators.joins import wide_fact_assembly
 from millrace.plans import orders as P
+from millrace.plans.sourcing import marked_bids
 from millrace.sources import frames
-from millrace.sources.session import cut_all
+from millrace.sources.session import cut_all, cut_bucketed, cut_lineage
+from millrace.sources.tables import Derived
 
 # Cancellation reasons of this binding.
 CANCELLATIONS = {0: "New order created", 1: "Lead time cannot be met", 2: "Unusable files"}
@@ -71,6 +74,26 @@ ORDER_FACT = f"""{S.ctes(S.MART_ORDERS, S.LEGACY_ORDERS, S.DOCUMENTS)},
 select * from u where not (coalesce(is_cart, false) and contact_id is null and n_lines is null)"""
 
 
+def dealt_by_order(t):
+    """The tables with orders and their lines in buckets of the order, where every side of an order reads them, the day rates as a table whose size is known, so that documents stay where they are,
+    and the bids as both funnels need them.
+
+    Lines without order belong to no side of any order."""
+    hubs = {"orders": (t["orders"], "o_orderkey"), "lineitem": (t["lineitem"].filter("l_orderkey is not null"), "l_orderkey")}
+    dealt = {name: cut_bucketed(df.repartition(key), f"{name}-by-order", key) for name, (df, key) in hubs.items()}
+    t = Derived(t, dealt, {"rates": cut_lineage(frames.rates(t), "rates")})
+    return Derived(t, dealt, {"rates": t["rates"], "marked_bids": cut_bucketed(marked_bids(sourcing.behaviour(t), ["n_responses"]), "marked-bids", "order_id")})
+
+
+def order_stages(t):
+    return frames.mart_orders(t).select("order_id", "is_closed", "closed_at", F.when(F.col("order_id") % 13 == 0, add_part("created_at", 2, "day")).alias("cancelled_at"))
+
+
+def quoted(t):
+    quotes = frames.documents(t).filter("doc_type = 'quote'").groupBy("order_id").agg(F.max(F.struct("revision", "doc_id", "subtotal_cents")).alias("_q"))
+    return quotes.select("order_id", F.col("_q.subtotal_cents").alias("quoted_cents"))
+
+
 def order_fact_frame(t):
     k = F.col("o_orderkey")
     base = t["orders"].select(
@@ -78,16 +101,17 @@ def order_fact_frame(t):
         F.when((k % 17 == 0) | (k % 50 == 7), "cart").otherwise("final").alias("quote_status"), cents("o_totalprice").alias("subtotal_cents"),
         F.when(k % 13 == 0, k % 5).alias("cancel_code"), (F.col("o_custkey") % 97 == 0).alias("is_internal"),
     )
-    stages = frames.mart_orders(t).select("order_id", "is_closed", "closed_at", F.when(F.col("order_id") % 13 == 0, add_part("created_at", 2, "day")).alias("cancelled_at"))
-    quotes = frames.documents(t).filter("doc_type = 'quote'").groupBy("order_id").agg(F.max(F.struct("revision", "doc_id", "subtotal_cents")).alias("_q"))
-    quoted = quotes.select("order_id", F.col("_q.subtotal_cents").alias("quoted_cents"))
-    # Sides that come from the same source are joined in one plan, where they share scans and shuffles, and written once, in buckets that the fact joins as they are.
-    sides = cut_all({group: (lambda names=names: reduce(lambda a, b: a.join(b, "order_id", "full"), [side(t, name) for name in names])) for group, names in SIDE_GROUPS.items()}, len(SIDE_GROUPS), "order_id")
+    # Sides are built where the orders and lines were dealt. Each group is one plan on top of the order ids, and written once, in buckets that the fact joins as they are.
+    dealt = dealt_by_order(t)
+    ids = dealt["orders"].select(k.alias("order_id")).filter("order_id is not null").distinct()
+    builds = {"order-documents": [order_stages, quoted], "order-logistics": [], "order-sourcing": []}
+    builds = {group: [*first, *[partial(side, name=name) for name in SIDE_GROUPS[group]]] for group, first in builds.items()}
+    sides = cut_all({group: (lambda parts=parts: wide_fact_assembly(ids, "order_id", [build(dealt) for build in parts])) for group, parts in builds.items()}, len(builds), "order_id")
     legacy = frames.legacy_orders(t).select(
         (k + 10_000_000).alias("order_id"), F.col("o_custkey").alias("contact_id"), F.col("o_orderdate").alias("created_at"), F.col("o_orderdate").alias("closed_at"),
         F.lit(True).alias("is_closed"), cents("o_totalprice").alias("closed_cents"), "channel",
     )
-    return P.order_fact(base, [stages, quoted, *sides], legacy, CANCELLATIONS)
+    return P.order_fact(base, sides, legacy, CANCELLATIONS)
 
 
 @register("order_fact", ORDER_FACT)

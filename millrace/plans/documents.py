@@ -138,8 +138,11 @@ def reorder_detection(lines: DataFrame, identity: list[str], order: str, at: str
     return ranked.withColumn("is_reorder", F.col("rank") > 1)
 
 
-def purchase_order_increments(docs: DataFrame, orders: DataFrame, rates: DataFrame, exceptions: DataFrame, as_of: str, cut_over: str) -> DataFrame:
-    """Cost added by each successive purchase order of an order, and the day the cost is recognised."""
+def purchase_order_increments(docs: DataFrame, orders: DataFrame, rates: DataFrame, exceptions: DataFrame, as_of: str, cut_over: str, chunk: Column | None) -> DataFrame:
+    """Cost added by each successive purchase order of an order, and the day the cost is recognised.
+
+    ``chunk`` of ``finalized_at`` spreads an order over tasks; None where the documents are dealt by order already, which then stay where they are.
+    """
     pos = docs.filter("doc_type = 'purchase_order'")
     joined = pos.join(orders.select("order_id", "recognized_at", "completed_at", "delivered_at"), "order_id", "left")
     rule = ladder([
@@ -147,9 +150,7 @@ def purchase_order_increments(docs: DataFrame, orders: DataFrame, rates: DataFra
         (F.col("created_at") <= F.col("delivered_at"), F.col("delivered_at")),
     ], F.col("created_at"))
     valued = fx_convert_effective_date(joined, rates, "subtotal_cents", "currency", rule, "usd_cents")
-    steps = lag_delta(
-        valued, ["order_id"], ["finalized_at", "doc_id"], {"_cents": "subtotal_cents", "_usd": "usd_cents", "_doc": "doc_id"}, F.trunc("finalized_at", "quarter")
-    )
+    steps = lag_delta(valued, ["order_id"], ["finalized_at", "doc_id"], {"_cents": "subtotal_cents", "_usd": "usd_cents", "_doc": "doc_id"}, chunk)
     listed = exceptions.select("doc_id", F.col("recognized_at").alias("_listed"))
     steps = steps.join(listed, "doc_id", "left")
     active = pos.groupBy("order_id").agg(F.bool_or("is_active").alias("_active"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -117,34 +119,48 @@ def bid_behaviour(bids: DataFrame, auctions: DataFrame) -> DataFrame:
     return rated.select(*rated.columns[:at], win_rate.alias("win_rate"), *rated.columns[at:])
 
 
+FLAGS = {
+    "n_seen": F.col("seen_at").isNotNull(), "n_responses": F.col("placed_at").isNotNull(), "n_positive": F.col("response_type").isin("accepted", "countered"),
+    "n_countered": F.col("response_type") == "countered", "n_rejected": F.col("response_type") == "rejected", "_accepted": F.col("is_winning") & (F.col("response_type") == "accepted"),
+}
+
+
+def marked_bids(behaviour: DataFrame, flags: Sequence[str] = tuple(FLAGS)) -> DataFrame:
+    """What the funnels of an order need of its bids, dealt by order: flags in place of dates and texts, and of winning bids who won when and with which margin. Marked bids stay as they are.
+
+    A job that writes them names the flags whose counts it takes: the funnels then have no other counts.
+    """
+    if "_won" in behaviour.columns:
+        return behaviour
+    won = F.when(F.col("is_winning"), F.struct("assigned_at", "supplier_id", "margin_cents"))
+    return behaviour.select(
+        "order_id", "auction_id", "bid_id", "supplier_id", "is_rfq", "is_winning", *[is_true(FLAGS[name]).alias(name) for name in flags], won.alias("_won"),
+    ).repartition("order_id")
+
+
 def auction_funnel(behaviour: DataFrame) -> DataFrame:
     """Per order: bids assigned, seen, answered, countered and won in auctions.
 
     The bids are dealt by order once; distinct auctions and bids are then counted by their first row and by one row a bid, without a copy of the rows for each count.
     """
-    win, response, placed = F.col("is_winning"), F.col("response_type"), F.col("placed_at").isNotNull()
-    won = F.when(win, F.struct("assigned_at", "supplier_id", "margin_cents"))
     new_auction = (F.row_number().over(Window.partitionBy("order_id", "auction_id").orderBy("bid_id")) == 1) & F.col("auction_id").isNotNull()
-    flags = {
-        "n_seen": F.col("seen_at").isNotNull(), "n_responses": placed, "n_positive": response.isin("accepted", "countered"), "n_countered": response == "countered",
-        "n_rejected": response == "rejected",
-    }
-    rows = behaviour.filter(~F.col("is_rfq")).repartition("order_id").withColumn("_new_auction", new_auction)
+    rows = marked_bids(behaviour).filter(~F.col("is_rfq")).withColumn("_new_auction", new_auction)
+    flags, accepted = [n for n in FLAGS if n in rows.columns and n != "_accepted"], [F.col("_accepted")] if "_accepted" in rows.columns else []
     per_bid = rows.groupBy("order_id", "bid_id").agg(
-        count_when(F.col("_new_auction")).alias("n_auctions"), F.count(F.lit(1)).alias("n_assigned"), *[F.bool_or(is_true(flag)).alias(name) for name, flag in flags.items()],
-        F.bool_or(win).alias("has_winning_bid"), F.bool_or(win & is_true(response == "accepted")).alias("has_accepted_winning_bid"), F.max(won).alias("_last"), F.min(won).alias("_first"),
+        count_when(F.col("_new_auction")).alias("n_auctions"), F.count(F.lit(1)).alias("n_assigned"), *[F.bool_or(name).alias(name) for name in flags],
+        F.bool_or("is_winning").alias("has_winning_bid"), *[F.bool_or(x).alias("has_accepted_winning_bid") for x in accepted], F.max("_won").alias("_last"), F.min("_won").alias("_first"),
     )
     known = F.col("bid_id").isNotNull()
     return per_bid.groupBy("order_id").agg(
         F.sum("n_auctions").alias("n_auctions"), F.sum("n_assigned").alias("n_assigned"), *[count_when(known & F.col(name)).alias(name) for name in flags],
-        F.bool_or("has_winning_bid").alias("has_winning_bid"), F.bool_or("has_accepted_winning_bid").alias("has_accepted_winning_bid"),
+        F.bool_or("has_winning_bid").alias("has_winning_bid"), *[F.bool_or("has_accepted_winning_bid").alias("has_accepted_winning_bid") for _ in accepted],
         F.max("_last").alias("_last"), F.min("_first").alias("_first"),
     ).withColumns({"supplier_id": F.col("_last.supplier_id"), "winning_margin_cents": F.col("_last.margin_cents"), "first_winning_margin_cents": F.col("_first.margin_cents")}).drop("_last", "_first")
 
 
 def rfq_funnel(behaviour: DataFrame) -> DataFrame:
     """Per order: suppliers asked and answered in requests for quotation."""
-    answered = F.col("placed_at").isNotNull()
+    answered = F.col("n_responses") if "_won" in behaviour.columns else F.col("placed_at").isNotNull()
     return behaviour.filter("is_rfq").groupBy("order_id").agg(
         F.bool_or("is_winning").alias("is_sourced_by_rfq"), F.count_distinct("supplier_id").alias("n_suppliers_asked"),
         F.count_distinct(F.when(answered, F.col("supplier_id"))).alias("n_suppliers_answered"), F.count_distinct("auction_id").alias("n_rfqs"),

@@ -95,3 +95,17 @@ class Tables(Mapping):
 
     def __len__(self) -> int:
         return len(SOURCES)
+
+
+class Derived(Tables):
+    """Tables with frames in place of some: ``dealt`` ones hold their rows in buckets of the order, ``more`` are frames that the job has written once."""
+
+    def __init__(self, tables: Tables, dealt: Mapping[str, DataFrame], more: Mapping[str, DataFrame]):
+        super().__init__(tables.spark, tables.root)
+        self._frames.update({**dealt, **more})
+        self.dealt = frozenset(dealt)
+
+
+def is_dealt(t: Mapping[str, DataFrame], name: str) -> bool:
+    """Whether the rows of an order lie in one task."""
+    return name in getattr(t, "dealt", ())

@@ -37,6 +37,21 @@ def test_bucketed_sides_meet_without_a_shuffle(spark, no_broadcasts):
     assert text.count("FileScan parquet spark_catalog") == 3 and len(re.findall(r"Exchange hashpartitioning\(order_id#\w+, \d", text)) <= 3
 
 
+def test_sides_of_an_order_read_lines_where_they_were_dealt(spark, no_broadcasts):
+    """Documents, their versions and their purchase orders need no shuffle once the lines are dealt by order; nor do the funnels once bids are marked."""
+    from millrace.catalog import documents, sourcing
+    from millrace.catalog.orders import dealt_by_order, quoted
+    from millrace.sources.tables import Tables
+
+    t = dealt_by_order(Tables(spark, SF))
+    assert t["rates"].inputFiles() and set(t["rates"].columns) == {"currency", "date", "rate"}
+    for side in (quoted, sourcing.auction_funnel):
+        assert "Exchange" not in plan(side(t))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1000000")
+    for side in (documents.document_versions, documents.increments):
+        assert not re.search(r"Exchange hashpartitioning\((order_id|doc_id|currency|_group)", plan(side(t)))
+
+
 def test_a_bucketed_frame_outlives_its_catalog_entry(spark, no_broadcasts):
     from millrace.sources.session import cut_bucketed
 
