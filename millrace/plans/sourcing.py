@@ -119,13 +119,19 @@ def bid_behaviour(bids: DataFrame, auctions: DataFrame) -> DataFrame:
     return rated.select(*rated.columns[:at], win_rate.alias("win_rate"), *rated.columns[at:])
 
 
-FLAGS = {
-    "n_seen": F.col("seen_at").isNotNull(), "n_responses": F.col("placed_at").isNotNull(), "n_positive": F.col("response_type").isin("accepted", "countered"),
-    "n_countered": F.col("response_type") == "countered", "n_rejected": F.col("response_type") == "rejected", "_accepted": F.col("is_winning") & (F.col("response_type") == "accepted"),
-}
+FLAGS = ("n_seen", "n_responses", "n_positive", "n_countered", "n_rejected", "_accepted")
 
 
-def marked_bids(behaviour: DataFrame, flags: Sequence[str] = tuple(FLAGS)) -> DataFrame:
+def flag(name: str) -> Column:
+    """One of ``FLAGS``. Columns need a session, and this module is read before there is one."""
+    response = F.col("response_type")
+    return {
+        "n_seen": F.col("seen_at").isNotNull(), "n_responses": F.col("placed_at").isNotNull(), "n_positive": response.isin("accepted", "countered"),
+        "n_countered": response == "countered", "n_rejected": response == "rejected", "_accepted": F.col("is_winning") & (response == "accepted"),
+    }[name]
+
+
+def marked_bids(behaviour: DataFrame, flags: Sequence[str] = FLAGS) -> DataFrame:
     """What the funnels of an order need of its bids, dealt by order: flags in place of dates and texts, and of winning bids who won when and with which margin. Marked bids stay as they are.
 
     A job that writes them names the flags whose counts it takes: the funnels then have no other counts.
@@ -134,7 +140,7 @@ def marked_bids(behaviour: DataFrame, flags: Sequence[str] = tuple(FLAGS)) -> Da
         return behaviour
     won = F.when(F.col("is_winning"), F.struct("assigned_at", "supplier_id", "margin_cents"))
     return behaviour.select(
-        "order_id", "auction_id", "bid_id", "supplier_id", "is_rfq", "is_winning", *[is_true(FLAGS[name]).alias(name) for name in flags], won.alias("_won"),
+        "order_id", "auction_id", "bid_id", "supplier_id", "is_rfq", "is_winning", *[is_true(flag(name)).alias(name) for name in flags], won.alias("_won"),
     ).repartition("order_id")
 
 
