@@ -92,29 +92,35 @@ QC_LINES = """qc_lines as (
   join nation n_c on n_c.n_nationkey = c_nationkey join nation n_s on n_s.n_nationkey = s_nationkey)"""
 
 
-def qc_lines(t):
+def qc_order_lines(t):
+    """Lines with what their part, order and customer tell."""
     line = F.col("l_linenumber")
     key = F.concat_ws("-", *[F.col(x).cast("string") for x in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")], cents("l_extendedprice").cast("string"))
     nation = t["nation"].select("n_nationkey", "n_regionkey")
-    origin = nation.select(F.col("n_nationkey").alias("o_nation"), F.col("n_regionkey").alias("origin_region"))
     # Orders meet their customers before the many lines meet them, and last, so that the lines stay dealt by order.
     orders = t["orders"].join(t["customer"], F.col("o_custkey") == F.col("c_custkey")).join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-    suppliers = t["supplier"].join(origin, F.col("s_nationkey") == F.col("o_nation"))
-    rows = (
-        t["lineitem"].join(t["part"], F.col("l_partkey") == F.col("p_partkey")).join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
-        .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-    )
+    rows = t["lineitem"].join(t["part"], F.col("l_partkey") == F.col("p_partkey")).join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
     return rows.select(
         key.alias("line_id"), F.col("l_orderkey").alias("order_id"), F.col("l_suppkey").alias("supplier_id"), F.col("c_nationkey").alias("country"), F.col("p_type").alias("material"),
         F.concat(F.lit("F"), (F.col("p_size") % 3).cast("string")).alias("finish"), F.when(F.col("p_partkey") % 3 != 0, F.concat(F.lit("T"), (F.col("p_partkey") % 3).cast("string"))).alias("tolerance"),
         F.when(F.col("l_orderkey") % 2 == 0, "CNC").otherwise("3DP").alias("technology"), F.floor(cents("l_extendedprice") / F.lit(50)).alias("price_cents"), F.col("l_shipdate").alias("shipped_at"),
         F.when(F.col("l_partkey") % 19 != 0, add_part("l_shipdate", F.col("l_suppkey") % 6, "day")).alias("delivered_at"),
         F.when(F.col("l_returnflag") == "R", add_part("l_shipdate", F.col("l_suppkey") % 6 + line * 4, "day")).alias("disputed_at"), (F.col("l_tax") > 0.07).alias("is_cosmetic"),
-        F.when(F.col("l_linestatus") == "F", F.col("l_discount") > 0.09).alias("has_note"), (F.col("l_orderkey") % 3 != 0).alias("is_cross_docking"), F.col("s_nationkey").between(1, 8).alias("checked"),
-        F.col("n_regionkey").alias("destination_region"), "origin_region", F.col("l_quantity").cast("long").alias("quantity"), F.col("l_partkey"), "o_orderstatus", line,
+        F.when(F.col("l_linestatus") == "F", F.col("l_discount") > 0.09).alias("has_note"), (F.col("l_orderkey") % 3 != 0).alias("is_cross_docking"),
+        F.col("n_regionkey").alias("destination_region"), F.col("l_quantity").cast("long").alias("quantity"), F.col("l_partkey"), "o_orderstatus", line,
     )
 
 
+def qc_suppliers(t):
+    origin = t["nation"].select(F.col("n_nationkey").alias("o_nation"), F.col("n_regionkey").alias("origin_region"))
+    suppliers = t["supplier"].join(origin, F.col("s_nationkey") == F.col("o_nation"))
+    return suppliers.select(F.col("s_suppkey").alias("supplier_id"), F.col("s_nationkey").between(1, 8).alias("checked"), "origin_region")
+
+
+def qc_lines(t):
+    return qc_order_lines(t).join(qc_suppliers(t), "supplier_id")
+
+
 def history_sql(name, k):
     on = " and ".join(f"h.{c} = a.{c}" for c in k)
     cols = ", ".join(f"a.{c}" for c in k)
@@ -149,7 +155,7 @@ ATTRIBUTES = ["supplier_id", "material", "finish", "tolerance_key"]
     select line_id, x.order_id, should_check, x.rule_bits, case when d > 0 then d * 100 / n end as dispute_rate from x left join q on q.rule_bits = x.rule_bits""")
 def qc_risk_score(t):
     counts = t["events"].groupBy(F.col("user_id").alias("order_id")).agg(F.count(F.lit(1)).alias("n"))
-    return Q.qc_risk_score(qc_lines(t), counts, F.col("checked"), AS_OF)
+    return Q.qc_risk_score(qc_order_lines(t), counts, qc_suppliers(t), F.col("checked"), AS_OF)
 
 
 @register("qc_feature_table", f"""{S.ctes(QC_LINES)}

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -55,39 +57,72 @@ def history_at(rows: DataFrame, k: list[str]) -> DataFrame:
     return sums.select(*k, "week", percent("_dr", "_lr").alias("recent_percent"), percent("_da", "lines_so_far").alias("running_percent"), "lines_so_far", "_known")
 
 
-def qc_risk_score(lines: DataFrame, interactions: DataFrame, checked_places: Column, as_of: str) -> DataFrame:
+def with_histories(rows: DataFrame, k: list[str], parts: list[str]) -> DataFrame:
+    """The rows with what ``history_at`` tells of their week, for the keys ``k`` (recent_percent, running_percent, lines_so_far, _known) and for the part of them in ``parts`` (part_percent, of recent weeks).
+
+    Nothing is joined back: a row is an entry of its week, a delivered CNC line one more that comes in its week and one that goes ROWS weeks later, and running totals over the weeks see both histories. So rows are dealt
+    once, by ``parts``; those of one ``parts`` are sorted in one task, which holds no more than a few of them at a time. Rows that lack a part of a key have no history by it.
+    """
+    made, zero, one = is_true(F.col("technology") == "CNC"), F.lit(0).cast("long"), F.lit(1).cast("long")
+    bad = F.when(is_true(F.col("disputed_at") <= add_part("delivered_at", DISPUTE_DAYS, "day")), one).otherwise(zero)
+    row, none, week = F.struct(*rows.columns), F.when(F.lit(False), F.struct(*rows.columns)), week_index("delivered_at")
+
+    def entry(week: Column, row: Column, *counts: Column) -> Column:
+        return F.struct(week.cast("int").alias("_week"), row.alias("_row"), *[n.alias(name) for n, name in zip(counts, ("_l", "_d", "_lr", "_dr"), strict=True)])
+
+    asked = entry(F.col("week"), row, zero, zero, zero, zero)
+    delivered = [entry(week, none, one, bad, one, bad), entry(week + ROWS, none, zero, zero, -one, -bad)]
+    entries = F.when(made & F.col("delivered_at").isNotNull(), F.array(asked, *delivered)).otherwise(F.array(asked))
+    rows = rows.select(*k, made.alias("_made"), F.inline(entries))
+    for keys, names in ((parts, ("_lr", "_dr")), (k, ("_l", "_d", "_lr", "_dr"))):  # the fewer keys first, so that its dealing serves both
+        upto = Window.partitionBy(*keys).orderBy("_week").rangeBetween(Window.unboundedPreceding, 0)
+        rows = rows.select("*", *[F.sum(n).over(upto).alias(f"{n}_{len(keys)}") for n in names])
+    rows = rows.withColumn("_known", F.max("_made").over(Window.partitionBy(*k))).filter("_row is not null")
+    n, m = len(k), len(parts)
+    found = {
+        "recent_percent": (percent(f"_dr_{n}", f"_lr_{n}"), k), "running_percent": (percent(f"_d_{n}", f"_l_{n}"), k), "lines_so_far": (F.col(f"_l_{n}"), k), "_known": (F.col("_known"), k),
+        "part_percent": (percent(f"_dr_{m}", f"_lr_{m}"), parts),
+    }
+    known = lambda keys: reduce(lambda a, b: a & b, [F.col(name).isNotNull() for name in keys])
+    return rows.select("_row.*", *[F.when(known(keys), c).alias(name) for name, (c, keys) in found.items()])
+
+
+def qc_risk_score(lines: DataFrame, interactions: DataFrame, suppliers: DataFrame, checked_places: Column, as_of: str) -> DataFrame:
     """Should a line be checked, its ten rule bits in order of importance, and the dispute share of its bit string.
 
     lines: line_id, order_id, supplier_id, country, material, finish, tolerance, technology, price_cents, shipped_at,
-    delivered_at, disputed_at, is_cosmetic, has_note, is_cross_docking, supplier_place; interactions: order_id, n.
+    delivered_at, disputed_at, is_cosmetic, has_note, is_cross_docking; interactions: order_id, n; suppliers: supplier_id, supplier_place.
     """
     attributes = ["supplier_id", "material", "finish", "tolerance_key"]
     rows = lines.withColumns({"tolerance_key": F.coalesce("tolerance", F.lit("null")), "week": week_index("shipped_at")}).filter("shipped_at is not null")
-    # the joined lines feed the histories and the output: computed once; they come dealt by order, as the interactions are
-    rows = cut_lineage(rows.join(interactions, "order_id", "left"), "qc-lines")
-    made = rows.filter("technology = 'CNC'").drop("week")
-    per_attribute = history_at(rows, attributes)
-    per_supplier = history_at(rows, ["supplier_id"]).select("supplier_id", "week", F.col("recent_percent").alias("supplier_percent"))
-    w = Window.partitionBy("country").orderBy("week").rowsBetween(1 - ROWS, 0)
-    per_country = weekly(made, ["country"]).select("country", "week", F.sum("n_lines").over(w).alias("_l"), F.sum("n_disputes").over(w).alias("_d"))
-    per_country = per_country.select("country", "week", percent("_d", "_l").alias("country_percent"))
-    out = rows.join(per_attribute, [*attributes, "week"], "left")
-    out = out.join(per_supplier, ["supplier_id", "week"], "left").join(per_country, ["country", "week"], "left")
+    rows = rows.join(interactions, "order_id", "left")  # lines come dealt by order, as the interactions are
     c = F.col
+    early = [*attributes, "week", "line_id", "order_id", "country", "technology", "shipped_at", "delivered_at", "disputed_at", "is_cross_docking"]
+    facts = [c("price_cents") > HIGH_PRICE_CENTS, c("tolerance").isNotNull(), c("n") >= MANY_INTERACTIONS, is_true("is_cosmetic"), is_true("has_note")]
+    facts = {f"_rule_{i}": is_true(rule) for i, rule in enumerate(facts)}
+    # dealt by supplier before they meet the suppliers, whichever way that is done, and before each becomes several entries: both histories need them so
+    rows = rows.select(*early, *[rule.alias(name) for name, rule in facts.items()]).repartition("supplier_id").join(suppliers, "supplier_id")
+    rows = with_histories(rows.select(*early, is_true(checked_places).alias("_checked"), *facts), attributes, ["supplier_id"])
+    price, tolerance, interacted, cosmetic, note = facts
     history = c("_known")  # attributes of suppliers without any CNC line have no history at all
     rules = [
-        c("price_cents") > HIGH_PRICE_CENTS, c("tolerance").isNotNull(), history & (c("lines_so_far") < MIN_HISTORY), history & (c("running_percent") >= RUNNING_PERCENT),
-        c("n") >= MANY_INTERACTIONS, history & (c("recent_percent") >= RECENT_PERCENT), is_true("is_cosmetic"), is_true("has_note"),
-        c("supplier_percent") >= RECENT_PERCENT, c("country_percent") >= RECENT_PERCENT,
+        c(price), c(tolerance), history & (c("lines_so_far") < MIN_HISTORY), history & (c("running_percent") >= RUNNING_PERCENT),
+        c(interacted), history & (c("recent_percent") >= RECENT_PERCENT), c(cosmetic), c(note), c("part_percent") >= RECENT_PERCENT,
     ]
     bits = F.concat(*[F.when(is_true(rule), "1").otherwise("0") for rule in rules])
-    should = any_of([is_true(r) for r in rules] + [c("technology") != "CNC"]) & is_true(checked_places)
+    # countries and rates are counted from all lines, which are written once, with what is left to know of them
+    rows = cut_lineage(rows.select(*early[len(attributes):], "_checked", bits.alias("_bits")), "qc-lines")
+    w = Window.partitionBy("country").orderBy("week").rowsBetween(1 - ROWS, 0)
+    per_country = weekly(rows.drop("week").filter("technology = 'CNC'"), ["country"]).select("country", "week", F.sum("n_lines").over(w).alias("_l"), F.sum("n_disputes").over(w).alias("_d"))
+    per_country = cut_lineage(per_country.select("country", "week", percent("_d", "_l").alias("country_percent")), "qc-countries")
+    out = rows.join(per_country, ["country", "week"], "left")
+    bits = F.concat("_bits", F.when(is_true(c("country_percent") >= RECENT_PERCENT), "1").otherwise("0"))
+    should = (bits.contains("1") | is_true(c("technology") != "CNC")) & c("_checked")
     scored = out.select("line_id", "order_id", "shipped_at", "is_cross_docking", c("disputed_at").isNotNull().alias("is_disputed"), should.alias("should_check"), bits.alias("rule_bits"))
-    scored = cut_lineage(scored, "qc-scored")
     since = F.add_months(F.trunc(F.lit(as_of).cast("date"), "quarter"), -12).cast("timestamp_ntz")
     judged = scored.filter(c("is_cross_docking") & c("should_check") & (c("shipped_at") >= since))
     rates = judged.groupBy("rule_bits").agg(count_when(c("is_disputed")).alias("_d"), F.count(F.lit(1)).alias("_n")).filter("_d > 0")
-    rates = rates.select("rule_bits", (c("_d") * 100 / c("_n")).alias("dispute_rate"))
+    rates = cut_lineage(rates.select("rule_bits", (c("_d") * 100 / c("_n")).alias("dispute_rate")), "qc-rates")
     return attach(scored.drop("shipped_at", "is_cross_docking", "is_disputed"), rates, ["rule_bits"], null_keys=False)
 
 

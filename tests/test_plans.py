@@ -116,3 +116,28 @@ def test_history_takes_one_pass(spark, no_broadcasts):
             share = lambda some: (bad(some) * 200 + len(some)) // (len(some) * 2) if bad(some) else None
             r = got[k, week - base]
             assert (r.lines_so_far, r.running_percent, r.recent_percent, r._known) == (len(done), share(done), share(recent), bool(made))
+
+
+def test_both_histories_come_from_one_dealing(spark, no_broadcasts):
+    """Rows that are dealt by the fewer keys are not shuffled again and not joined, and hold what history_at tells of their week; rows without a key have no history by it."""
+    from datetime import datetime, timedelta
+
+    from millrace.plans import quality_risk
+
+    at = lambda n: None if n is None else datetime(2000, 1, 3) + timedelta(days=n)
+    lines = [
+        (i, i % 3 if i % 11 else None, "ab"[i % 2] if i % 13 else None, ["CNC", "3DP", None][i % 5 % 3], at(i * 5 % 90), at(i * 5 % 90 + i % 9 if i % 4 else None), at(i * 5 % 90 + i % 31 if i % 3 else None))
+        for i in [*range(200), 7, 7, 8]
+    ]
+    rows = spark.createDataFrame(lines, "line int, s int, m string, technology string, shipped_at timestamp_ntz, delivered_at timestamp_ntz, disputed_at timestamp_ntz")
+    rows = rows.withColumn("week", quality_risk.week_index("shipped_at"))
+    out = quality_risk.with_histories(rows.repartition("s"), ["s", "m"], ["s"])
+    text = out._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Exchange") == 1 and "Join" not in text
+    both = quality_risk.history_at(rows, ["s", "m"])
+    part = quality_risk.history_at(rows, ["s"]).select("s", "week", F.col("recent_percent").alias("part_percent"))
+    want = rows.join(both, ["s", "m", "week"], "left").join(part, ["s", "week"], "left")
+    names = ["line", "week", "recent_percent", "running_percent", "lines_so_far", "_known", "part_percent"]
+    got = sorted(map(tuple, out.select(names).collect()), key=str)
+    assert got == sorted(map(tuple, want.select(names).collect()), key=str) and len(got) == len(lines)
+    assert len({g[2] for g in got}) > 2 and len({g[6] for g in got}) > 2
